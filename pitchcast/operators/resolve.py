@@ -25,6 +25,7 @@ from ..dims import Dictionaries
 from ..functions.dates import infer_season, lenient_date
 from ..functions.scoring import brier_score, result_code
 from ..functions.text import canonical_name, strip_ws
+from ..session import materialize as _materialize
 from ..sources.schema import conform
 from .names import name_map
 
@@ -252,12 +253,26 @@ def resolve_results(p: DataFrame, fx: DataFrame, d: Dictionaries, nm: DataFrame
 
 
 def prepared_inputs(preds: DataFrame, fixtures: DataFrame, d: Dictionaries, run_date: str,
-                    kept_rounds: DataFrame | None = None):
-    """(prepared predictions, fixtures restricted to the fetch plan, name map)."""
-    p = prepare_predictions(preds, d, run_date)
+                    kept_rounds: DataFrame | None = None, materialize: bool = True):
+    """(prepared predictions, fixtures restricted to the fetch plan, name map).
+
+    Each of the three feeds several branches (single leg, both two-leg
+    orientations, dispatch).  With ``materialize`` they are computed once and
+    written to the reliable checkpoint folder (``spark.checkpoint.dir``): the
+    canonicalisation runs once per row instead of once per branch, the later
+    plans start from small leaves, and a lost executor re-reads the files
+    instead of recomputing the lineage.
+    """
+    cols = ["prediction_id", "competition", "match_type", "_hc", "_ac", "_season", "_mdate", "_lo", "_hi"]
+    p = supported(prepare_predictions(preds, d, run_date), d).select(*cols)
     fx = fixtures_in_plan(prepare_fixtures(fixtures, d, run_date, kept_rounds), fetch_plan(p, d))
-    p = supported(p, d)
-    return p, fx, _names(p, fx)
+    if materialize:
+        p = _materialize(p, "prepared-predictions")
+        fx = _materialize(fx, "prepared-fixtures")
+    nm = _names(p, fx)
+    if materialize:
+        nm = _materialize(nm, "name-map")
+    return p, fx, nm
 
 
 # --------------------------------------------------------------------------- overrides

@@ -18,6 +18,7 @@ def build_session(master: str | None = None, app: str = "pitchcast", shuffle_par
     master = master or os.environ.get("PITCHCAST_MASTER", f"local[{os.environ.get('BENCH_CPUS', '8')}]")
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -43,3 +44,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under ``spark.checkpoint.dir`` and read it back.
+
+    A lineage cut that survives executor loss (the files are on the shared
+    folder), stays columnar (later scans prune columns and push filters), and
+    computes its input exactly once.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
