@@ -51,11 +51,15 @@ def parse_responses(responses: DataFrame, raw="raw_response") -> DataFrame:
     Invalid JSON, trailing text and valid-but-not-array documents yield
     ``parse_ok = false`` (no rows downstream).
     """
-    body = strip_fence(F.col(raw))
-    v = F.when(body.rlike(_ARRAY_TEXT), F.try_parse_json(body))
-    parsed = F.when(F.schema_of_variant(v).startswith("ARRAY<"), v)
-    return (responses.withColumn("parsed", parsed)
-            .withColumn("parse_ok", F.col("parsed").isNotNull()))
+    # one projection per stage: each stage's output is referenced twice by
+    # the next, so Catalyst keeps the stages apart instead of inlining (and
+    # re-evaluating) the regex and JSON work in every reference
+    # (text that starts with '[' and parses is an array, so no type probe)
+    body = F.col("_body")
+    return (responses.withColumn("_body", strip_fence(F.col(raw)))
+            .withColumn("parsed", F.when(body.rlike(_ARRAY_TEXT), F.try_parse_json(body)))
+            .withColumn("parse_ok", F.col("parsed").isNotNull())
+            .drop("_body"))
 
 
 def _field(v, key: str, typ: str):
@@ -74,7 +78,9 @@ def build_prediction_rows(parsed: DataFrame, id_col="video_id") -> DataFrame:
     Percentages truncate to int (45.9 -> 45) and accept quoted numbers.  An
     element that is not an object is kept with ``reject = true``.
     """
-    exploded = parsed.where("parse_ok").select(
+    # a null ``parsed`` (parse failure) explodes to no rows; no filter is
+    # needed, and one would be pushed below the parse and repeat it
+    exploded = parsed.select(
         "*", F.posexplode(F.variant_get(F.col("parsed"), "$", "array<variant>")).alias("pos", "elem"))
     e = F.col("elem")
     is_obj = F.schema_of_variant(e).startswith("OBJECT<")
