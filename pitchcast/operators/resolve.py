@@ -10,7 +10,9 @@ Plan shape (see README "Resolution at scale"):
 * "first fixture in source order" is ``min_by(..., fixture_seq)`` per
   prediction, a hash aggregate with map-side partial aggregation;
 * two-leg ties only need the two earliest fixtures per (competition, home,
-  away), a ``row_number() <= 2`` that Spark turns into a map-side group limit.
+  away), a ``row_number() <= 2`` that Spark turns into a map-side group limit;
+* an empty canonical name (it matches every team) is a wildcard: that side is
+  left out of the join keys instead of being expanded to every team.
 """
 
 from __future__ import annotations
@@ -162,23 +164,47 @@ def _bucket(day: Column) -> Column:
     return F.floor(F.unix_date(day) / F.lit(BUCKET_DAYS))
 
 
+# (home side empty?, away side empty?): an empty canonical name matches every
+# team, so such a side is not expanded through the name map (which would fan
+# the prediction out to every team of the competition) but left out of the
+# join keys instead.
+WILDCARD_PATTERNS = [(False, False), (True, False), (False, True), (True, True)]
+
+
+def _expanded_branches(p: DataFrame, nm: DataFrame, home_col: str, away_col: str):
+    """[(predictions expanded to fixture-name keys, join keys)] per wildcard pattern."""
+    nm = nm.where(F.col("pred_name") != "")
+    out = []
+    for home_wild, away_wild in WILDCARD_PATTERNS:
+        side = lambda c, wild: (F.col(c) == "") if wild else (F.col(c) != "")
+        sub = p.where(side(home_col, home_wild) & side(away_col, away_wild))
+        keys = ["competition"]
+        if not home_wild:
+            sub, keys = _expand(sub, nm, home_col, "_kh"), keys + ["_kh"]
+        if not away_wild:
+            sub, keys = _expand(sub, nm, away_col, "_ka"), keys + ["_ka"]
+        out.append((sub, keys))
+    return out
+
+
 def single_leg_candidates(p: DataFrame, fx: DataFrame, nm: DataFrame) -> DataFrame:
     """Every (prediction, fixture) pair passing names, date rule and usable scores."""
-    pairs = _expand(_expand(p.select("prediction_id", "competition", "_hc", "_ac", "_lo", "_hi"),
-                            nm, "_hc", "_kh"), nm, "_ac", "_ka")
+    base = p.select("prediction_id", "competition", "_hc", "_ac", "_lo", "_hi")
     fxk = _keyed_fixtures(fx.where(F.col("_hg").isNotNull() & F.col("_ag").isNotNull()))
-    keys = ["competition", "_kh", "_ka"]
-    # predictions with a usable interval probe <= 2 date buckets + the no-date bucket
-    probe = pairs.where(F.col("_lo").isNotNull()).select(
-        "*", F.explode(F.array_distinct(F.array(_bucket(F.col("_lo")), _bucket(F.col("_hi")),
-                                                F.lit(NO_DATE_BUCKET).cast("bigint")))).alias("_b"))
     fxb = fxk.withColumn("_b", F.coalesce(_bucket(F.col("event_date")), F.lit(NO_DATE_BUCKET).cast("bigint")))
-    dated = (probe.join(fxb, keys + ["_b"])
-             .where(F.col("event_date").isNull() | F.col("event_date").between(F.col("_lo"), F.col("_hi"))))
-    # no usable date on the prediction: the rule is skipped
-    undated = pairs.where(F.col("_lo").isNull()).join(fxk, keys)
     cols = ["prediction_id"] + FIXTURE_FIELDS
-    return dated.select(*cols).unionByName(undated.select(*cols))
+    parts = []
+    for pairs, keys in _expanded_branches(base, nm, "_hc", "_ac"):
+        # a usable interval probes <= 2 date buckets + the no-date bucket
+        probe = pairs.where(F.col("_lo").isNotNull()).select(
+            "*", F.explode(F.array_distinct(F.array(_bucket(F.col("_lo")), _bucket(F.col("_hi")),
+                                                    F.lit(NO_DATE_BUCKET).cast("bigint")))).alias("_b"))
+        dated = (probe.join(fxb, keys + ["_b"])
+                 .where(F.col("event_date").isNull() | F.col("event_date").between(F.col("_lo"), F.col("_hi"))))
+        # no usable date on the prediction: the rule is skipped
+        undated = pairs.where(F.col("_lo").isNull()).join(fxk, keys)
+        parts += [dated.select(*cols), undated.select(*cols)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _first(df: DataFrame, name: str) -> DataFrame:
@@ -207,13 +233,20 @@ def resolve_two_leg(p: DataFrame, fx: DataFrame, nm: DataFrame, d: Dictionaries)
     cand = p.where((F.col("match_type") == "knockout")
                    & F.col("competition").isin(*d.aggregate_competitions))
     cand = cand.select("prediction_id", "competition", "_hc", "_ac")
-    w = Window.partitionBy("competition", "_fh", "_fa").orderBy("fixture_seq")
-    two = (fx.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 2).drop("_rn"))
-    fxk = _keyed_fixtures(two)
-    keys = ["competition", "_kh", "_ka"]
+    fxk = _keyed_fixtures(fx)
     cols = ["prediction_id"] + FIXTURE_FIELDS
-    o1 = _expand(_expand(cand, nm, "_hc", "_kh"), nm, "_ac", "_ka").join(fxk, keys).select(*cols)
-    o2 = _expand(_expand(cand, nm, "_ac", "_kh"), nm, "_hc", "_ka").join(fxk, keys).select(*cols)
+
+    def two_earliest(keys):
+        w = Window.partitionBy(*keys).orderBy("fixture_seq")
+        return fxk.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 2).drop("_rn")
+
+    def orientation(home_col, away_col):
+        return reduce(DataFrame.unionByName, [
+            sub.join(two_earliest(keys), keys).select(*cols)
+            for sub, keys in _expanded_branches(cand, nm, home_col, away_col)])
+
+    o1 = orientation("_hc", "_ac")     # predicted orientation
+    o2 = orientation("_ac", "_hc")     # reversed orientation
     leg1 = _first(o1, "leg1")
     leg2 = _first(o2.join(leg1.select("prediction_id", F.col("leg1.fixture_seq").alias("_l1")), "prediction_id")
                   .where(F.col("fixture_seq") != F.col("_l1")).drop("_l1"), "leg2")

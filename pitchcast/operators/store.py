@@ -50,8 +50,19 @@ def dedupe_latest(rows: DataFrame, key: str = "prediction_id") -> DataFrame:
 
 
 def upsert(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """existing ∪ new, latest wins per prediction, conformed to the table schema."""
-    return conform(dedupe_latest(union_batches(existing, new)))
+    """existing ∪ new, latest wins per prediction, conformed to the table schema.
+
+    Only stored rows whose id occurs in the new batch take part in the
+    latest-wins window; every other stored row passes through an anti-join
+    untouched (a broadcast probe when AQE sees a small batch), so the table is
+    not sorted per run, only the touched ids are.
+    """
+    e, n = conform(existing), conform(new)
+    ids = n.select("prediction_id").distinct()
+    untouched = e.join(ids, "prediction_id", "left_anti")
+    touched = e.join(ids, "prediction_id", "left_semi")
+    merged = dedupe_latest(union_batches(touched, n)).drop("_is_new")
+    return untouched.unionByName(conform(merged))
 
 
 def ordered_for_write(df: DataFrame, partitions: int | None = None) -> DataFrame:
