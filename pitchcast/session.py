@@ -60,3 +60,14 @@ def materialize(df, name: str):
     path = f"{base}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def ensure_parallelism(df):
+    """Spread ``df`` over at least the cluster's default parallelism before
+    CPU-heavy narrow work (regex chains).  Large inputs already arrive in many
+    scan partitions and pass through unchanged; only a few-file input pays a
+    round-robin repartition."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
