@@ -19,7 +19,7 @@ _ARRAY_TEXT = r"(?s)^\s*\[.*\]\s*$"
 
 
 def assemble_transcripts(segments: DataFrame, languages=("es", "en"), key="video_id",
-                         lang="lang", order="seq", text="text") -> DataFrame:
+                         lang="lang", order="seq", text="text", chunk: int = 1024) -> DataFrame:
     """One transcript per video: the most preferred language present, segments
     joined by a space in order.  Videos with no preferred language are dropped.
 
@@ -30,9 +30,16 @@ def assemble_transcripts(segments: DataFrame, languages=("es", "en"), key="video
     ranked = segments.where(F.col(lang).isin(*languages)).withColumn("_rank", rank)
     best = ranked.groupBy(key).agg(F.min("_rank").alias("_rank"))
     chosen = ranked.join(best, [key, "_rank"], "left_semi")
-    return (chosen.groupBy(key)
+    # two levels, so one very long video is not concatenated by a single task:
+    # consecutive runs of ``chunk`` positions are joined in parallel, then the
+    # runs are joined in order (same text: both levels use one space)
+    runs = (chosen.withColumn("_run", F.floor(F.col(order) / F.lit(chunk)))
+            .groupBy(key, "_run")
             .agg(F.min(lang).alias(lang),
-                 F.expr(f"string_agg({text}, ' ') within group (order by {order})").alias("transcript")))
+                 F.expr(f"string_agg({text}, ' ') within group (order by {order})").alias("_part")))
+    return (runs.groupBy(key)
+            .agg(F.min(lang).alias(lang),
+                 F.expr("string_agg(_part, ' ') within group (order by _run)").alias("transcript")))
 
 
 def extraction_requests(transcripts: DataFrame, text="transcript",

@@ -82,3 +82,10 @@ def test_metadata_first_item_and_empty(spark):
     df = spark.createDataFrame([("a", json.dumps(doc)), ("b", json.dumps({"items": []}))],
                                "video_id string, metadata_json string")
     assert collect(parse_metadata(df), "video_id", "publish_date", "title") == [("a", "2025-03-10", "T1")]
+
+
+def test_transcript_runs_join_in_order(spark):
+    segs = spark.createDataFrame([("v", "es", i, f"w{i}") for i in range(25)],
+                                 "video_id string, lang string, seq long, text string")
+    got = collect(X.assemble_transcripts(segs, chunk=4), "transcript")
+    assert got == [(" ".join(f"w{i}" for i in range(25)),)]
