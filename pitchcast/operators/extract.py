@@ -13,6 +13,7 @@ from .. import dims
 from ..functions.dates import lenient_date
 from ..functions.scoring import classify_match_type
 from ..functions.text import strip_fence, truncate_chars
+from ..session import ensure_parallelism
 
 # Strict JSON-array shape: the whole text must be one bracketed value.
 _ARRAY_TEXT = r"(?s)^\s*\[.*\]\s*$"
@@ -63,7 +64,7 @@ def parse_responses(responses: DataFrame, raw="raw_response") -> DataFrame:
     # re-evaluating) the regex and JSON work in every reference
     # (text that starts with '[' and parses is an array, so no type probe)
     body = F.col("_body")
-    return (responses.withColumn("_body", strip_fence(F.col(raw)))
+    return (ensure_parallelism(responses).withColumn("_body", strip_fence(F.col(raw)))
             .withColumn("parsed", F.when(body.rlike(_ARRAY_TEXT), F.try_parse_json(body)))
             .withColumn("parse_ok", F.col("parsed").isNotNull())
             .drop("_body"))

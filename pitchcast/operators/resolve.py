@@ -173,11 +173,25 @@ def _bucket(day: Column) -> Column:
 WILDCARD_PATTERNS = [(False, False), (True, False), (False, True), (True, True)]
 
 
-def _expanded_branches(p: DataFrame, nm: DataFrame, home_col: str, away_col: str):
-    """[(predictions expanded to fixture-name keys, join keys)] per wildcard pattern."""
+def present_patterns(p: DataFrame) -> set[tuple[bool, bool, bool]]:
+    """(home empty, away empty, no usable date) combinations that occur in ``p``.
+
+    At most eight rows of three booleans reach the driver; branches of the
+    candidate joins that no prediction needs are then not planned at all.
+    """
+    flags = p.select((F.col("_hc") == "").alias("hw"), (F.col("_ac") == "").alias("aw"),
+                     F.col("_lo").isNull().alias("nd")).distinct()
+    return {(bool(r["hw"]), bool(r["aw"]), bool(r["nd"])) for r in flags.collect()
+            if r["hw"] is not None and r["aw"] is not None}
+
+
+def _expanded_branches(p: DataFrame, nm: DataFrame, home_col: str, away_col: str, patterns=None):
+    """[(predictions expanded to fixture-name keys, join keys, pattern)] per wildcard pattern."""
     nm = nm.where(F.col("pred_name") != "")
     out = []
     for home_wild, away_wild in WILDCARD_PATTERNS:
+        if patterns is not None and not any(pw == (home_wild, away_wild) for pw in patterns):
+            continue
         side = lambda c, wild: (F.col(c) == "") if wild else (F.col(c) != "")
         sub = p.where(side(home_col, home_wild) & side(away_col, away_wild))
         keys = ["competition"]
@@ -185,28 +199,38 @@ def _expanded_branches(p: DataFrame, nm: DataFrame, home_col: str, away_col: str
             sub, keys = _expand(sub, nm, home_col, "_kh"), keys + ["_kh"]
         if not away_wild:
             sub, keys = _expand(sub, nm, away_col, "_ka"), keys + ["_ka"]
-        out.append((sub, keys))
+        out.append((sub, keys, (home_wild, away_wild)))
     return out
 
 
-def single_leg_candidates(p: DataFrame, fx: DataFrame, nm: DataFrame) -> DataFrame:
-    """Every (prediction, fixture) pair passing names, date rule and usable scores."""
+def single_leg_candidates(p: DataFrame, fx: DataFrame, nm: DataFrame, patterns=None) -> DataFrame:
+    """Every (prediction, fixture) pair passing names, date rule and usable scores.
+
+    ``patterns``: the (home empty, away empty, no date) combinations to plan;
+    by default the ones present in ``p`` (``present_patterns``).
+    """
+    patterns = present_patterns(p) if patterns is None else patterns
     base = p.select("prediction_id", "competition", "_hc", "_ac", "_lo", "_hi")
     fxk = _keyed_fixtures(fx.where(F.col("_hg").isNotNull() & F.col("_ag").isNotNull()))
     fxb = fxk.withColumn("_b", F.coalesce(_bucket(F.col("event_date")), F.lit(NO_DATE_BUCKET).cast("bigint")))
     cols = ["prediction_id"] + FIXTURE_FIELDS
     parts = []
-    for pairs, keys in _expanded_branches(base, nm, "_hc", "_ac"):
-        # a usable interval probes <= 2 date buckets + the no-date bucket
-        probe = pairs.where(F.col("_lo").isNotNull()).select(
-            "*", F.explode(F.array_distinct(F.array(_bucket(F.col("_lo")), _bucket(F.col("_hi")),
-                                                    F.lit(NO_DATE_BUCKET).cast("bigint")))).alias("_b"))
-        dated = (probe.join(fxb, keys + ["_b"])
-                 .where(F.col("event_date").isNull() | F.col("event_date").between(F.col("_lo"), F.col("_hi"))))
-        # no usable date on the prediction: the rule is skipped
-        undated = pairs.where(F.col("_lo").isNull()).join(fxk, keys)
-        parts += [dated.select(*cols), undated.select(*cols)]
-    return reduce(DataFrame.unionByName, parts)
+    wild = None if patterns is None else {(h, a) for h, a, _ in patterns}
+    for pairs, keys, (hw, aw) in _expanded_branches(base, nm, "_hc", "_ac", wild):
+        if patterns is None or (hw, aw, False) in patterns:
+            # a usable interval probes <= 2 date buckets + the no-date bucket
+            probe = pairs.where(F.col("_lo").isNotNull()).select(
+                "*", F.explode(F.array_distinct(F.array(_bucket(F.col("_lo")), _bucket(F.col("_hi")),
+                                                        F.lit(NO_DATE_BUCKET).cast("bigint")))).alias("_b"))
+            dated = (probe.join(fxb, keys + ["_b"])
+                     .where(F.col("event_date").isNull()
+                            | F.col("event_date").between(F.col("_lo"), F.col("_hi"))))
+            parts.append(dated.select(*cols))
+        if patterns is None or (hw, aw, True) in patterns:
+            # no usable date on the prediction: the rule is skipped
+            parts.append(pairs.where(F.col("_lo").isNull()).join(fxk, keys).select(*cols))
+    empty = fxk.select(F.lit(None).cast("string").alias("prediction_id"), *FIXTURE_FIELDS).where(F.lit(False))
+    return reduce(DataFrame.unionByName, parts, empty)
 
 
 def _first(df: DataFrame, name: str) -> DataFrame:
@@ -214,9 +238,9 @@ def _first(df: DataFrame, name: str) -> DataFrame:
     return df.groupBy("prediction_id").agg(F.min_by(s, F.col("fixture_seq")).alias(name))
 
 
-def resolve_single_leg(p: DataFrame, fx: DataFrame, nm: DataFrame) -> DataFrame:
+def resolve_single_leg(p: DataFrame, fx: DataFrame, nm: DataFrame, patterns=None) -> DataFrame:
     """(prediction_id, fixture_seq, home_goals, away_goals, actual_result, event_date)."""
-    first = _first(single_leg_candidates(p, fx, nm), "m")
+    first = _first(single_leg_candidates(p, fx, nm, patterns), "m")
     return first.select(
         "prediction_id", F.col("m.fixture_seq").alias("fixture_seq"),
         F.col("m._hg").alias("home_goals"), F.col("m._ag").alias("away_goals"),
@@ -224,7 +248,7 @@ def resolve_single_leg(p: DataFrame, fx: DataFrame, nm: DataFrame) -> DataFrame:
         F.col("m.event_date").alias("event_date"))
 
 
-def resolve_two_leg(p: DataFrame, fx: DataFrame, nm: DataFrame, d: Dictionaries) -> DataFrame:
+def resolve_two_leg(p: DataFrame, fx: DataFrame, nm: DataFrame, d: Dictionaries, patterns=None) -> DataFrame:
     """Aggregate resolution of knockout ties in the aggregate competitions.
 
     leg1 = first fixture in the predicted orientation; leg2 = first fixture in
@@ -242,13 +266,17 @@ def resolve_two_leg(p: DataFrame, fx: DataFrame, nm: DataFrame, d: Dictionaries)
         w = Window.partitionBy(*keys).orderBy("fixture_seq")
         return fxk.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 2).drop("_rn")
 
-    def orientation(home_col, away_col):
+    patterns = present_patterns(p) if patterns is None else patterns
+    wild = {(h, a) for h, a, _ in patterns}
+    empty = fxk.select(F.lit(None).cast("string").alias("prediction_id"), *FIXTURE_FIELDS).where(F.lit(False))
+
+    def orientation(home_col, away_col, present):
         return reduce(DataFrame.unionByName, [
             sub.join(two_earliest(keys), keys).select(*cols)
-            for sub, keys in _expanded_branches(cand, nm, home_col, away_col)])
+            for sub, keys, _ in _expanded_branches(cand, nm, home_col, away_col, present)], empty)
 
-    o1 = orientation("_hc", "_ac")     # predicted orientation
-    o2 = orientation("_ac", "_hc")     # reversed orientation
+    o1 = orientation("_hc", "_ac", wild)     # predicted orientation
+    o2 = orientation("_ac", "_hc", None if wild is None else {(a, h) for h, a in wild})  # reversed
     leg1 = _first(o1, "leg1")
     leg2 = _first(o2.join(leg1.select("prediction_id", F.col("leg1.fixture_seq").alias("_l1")), "prediction_id")
                   .where(F.col("fixture_seq") != F.col("_l1")).drop("_l1"), "leg2")
@@ -266,12 +294,14 @@ def resolve_two_leg(p: DataFrame, fx: DataFrame, nm: DataFrame, d: Dictionaries)
         status.alias("status"))
 
 
-def resolve_results(p: DataFrame, fx: DataFrame, d: Dictionaries, nm: DataFrame | None = None) -> DataFrame:
+def resolve_results(p: DataFrame, fx: DataFrame, d: Dictionaries, nm: DataFrame | None = None,
+                    patterns=None) -> DataFrame:
     """Dispatch: a resolved aggregate wins, anything else (incl. a tie) falls
     through to the single-leg matcher.  One row per resolved prediction."""
     nm = _names(p, fx) if nm is None else nm
-    agg = resolve_two_leg(p, fx, nm, d).where(F.col("status") == "resolved")
-    one = resolve_single_leg(p, fx, nm)
+    patterns = present_patterns(p) if patterns is None else patterns
+    agg = resolve_two_leg(p, fx, nm, d, patterns).where(F.col("status") == "resolved")
+    one = resolve_single_leg(p, fx, nm, patterns)
     a = agg.select("prediction_id", *[F.col(c).alias("a_" + c) for c in
                                       ("home_goals", "away_goals", "actual_result", "event_date")])
     s = one.select("prediction_id", *[F.col(c).alias("s_" + c) for c in
