@@ -62,7 +62,7 @@ def materialize(df, name: str):
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)   # known schema: no footer inference
 
 
 def ensure_parallelism(df):
