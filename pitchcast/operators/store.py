@@ -1,23 +1,24 @@
 """The prediction table as an idempotent, versioned parquet dataset.
 
 Upsert = union by name -> latest-wins dedupe per prediction_id -> conform ->
-range-ordered write of a *new* version directory.  Readers take the highest
-committed version, so a failed or concurrent write never clobbers the version
-being read, and re-running a batch yields the same table (latest-wins with a
-deterministic tie-break).
+range-ordered write of a *new* version directory, committed by appending one
+row to the table's ``_versions`` log.  Readers take the highest committed
+version, so a failed or concurrent write never clobbers (or exposes) a version,
+and re-running a batch yields the same table (latest-wins with a deterministic
+tie-break).
 """
 
 from __future__ import annotations
 
-import re
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import parse_video_id
 from ..sources.schema import PREDICTION_COLUMNS, conform
 
-_VERSION = re.compile(r"/version=(\d+)/")
+_LOG_SCHEMA = "version long, path string"
+_MAX_VERSION_PROBES = 100
 
 
 def new_videos(video_list: DataFrame, existing: DataFrame) -> DataFrame:
@@ -73,21 +74,48 @@ def ordered_for_write(df: DataFrame, partitions: int | None = None) -> DataFrame
     return parted.sortWithinPartitions(*keys)
 
 
+def _log_path(base: str) -> str:
+    return f"{base.rstrip('/')}/_versions"
+
+
 def latest_version_path(spark: SparkSession, base: str) -> str | None:
+    """Path of the newest committed version, from the table's commit log.
+
+    A version is committed only once its log row is appended, after its data
+    files are in place, so a half-written version is never read.
+    """
     try:
-        files = spark.read.parquet(base).inputFiles()
+        log = spark.read.schema(_LOG_SCHEMA).json(_log_path(base))
+        row = log.agg(F.max("version").alias("v")).first()
     except Exception:  # no table yet
         return None
-    versions = sorted({int(m.group(1)) for f in files for m in [_VERSION.search(f)] if m})
-    return f"{base}/version={versions[-1]:08d}" if versions else None
+    if row is None or row["v"] is None:
+        return None
+    return f"{base.rstrip('/')}/version={row['v']:08d}"
 
 
 def write_version(spark: SparkSession, df: DataFrame, base: str, partitions: int | None = None) -> str:
-    """Write ``df`` as the next version of the table at ``base``; returns its path."""
+    """Write ``df`` as the next version of the table at ``base`` and commit it; returns its path.
+
+    The data goes to a fresh ``version=N`` folder (``errorifexists``: two
+    writers can never mix files), then one row is appended to the commit log.
+    """
     current = latest_version_path(spark, base)
     nxt = 1 if current is None else int(current.rsplit("=", 1)[1]) + 1
-    path = f"{base}/version={nxt:08d}"
-    ordered_for_write(conform(df), partitions).write.mode("errorifexists").parquet(path)
+    out = ordered_for_write(conform(df), partitions)
+    for _ in range(_MAX_VERSION_PROBES):
+        path = f"{base.rstrip('/')}/version={nxt:08d}"
+        try:
+            out.write.mode("errorifexists").parquet(path)
+            break
+        except AnalysisException as e:  # folder left by a failed or concurrent writer
+            if "PATH_ALREADY_EXISTS" not in str(e) and "already exists" not in str(e):
+                raise
+            nxt += 1
+    else:
+        raise RuntimeError(f"no free version folder under {base}")
+    (spark.createDataFrame([(nxt, path)], _LOG_SCHEMA)
+     .coalesce(1).write.mode("append").json(_log_path(base)))
     return path
 
 

@@ -71,3 +71,16 @@ def test_run_counters(spark):
     new = table(spark, [("c", "v2", "A", T2, None, 0.3)])
     got = collect(S.run_counters(old, new, S.upsert(old, new)))[0]
     assert got == {"existing_rows": 2, "existing_videos": 1, "new_rows": 1, "scored": 2, "pending": 1}
+
+
+def test_uncommitted_version_is_invisible(spark, tmp_path):
+    base = str(tmp_path / "t")
+    t = table(spark, [("a", "v1", "H", T1, None, 0.1)])
+    S.write_version(spark, t, base)
+    # a crashed writer left data files but no commit-log row
+    table(spark, [("z", "v9", None, None, None, None)]).write.parquet(f"{base}/version=00000002")
+    assert collect(read_predictions(spark, base), "prediction_id") == [("a",)]
+    # the next writer skips the leftover folder and commits version 3
+    path = S.write_version(spark, table(spark, [("b", "v2", "A", T2, None, 0.2)]), base)
+    assert path.endswith("version=00000003")
+    assert collect(read_predictions(spark, base), "prediction_id") == [("b",)]
