@@ -66,11 +66,15 @@ def materialize(df, name: str):
 
 
 def ensure_parallelism(df):
-    """Spread ``df`` over at least the cluster's default parallelism before
-    CPU-heavy narrow work (regex chains).  Large inputs already arrive in many
-    scan partitions and pass through unchanged; only a few-file input pays a
-    round-robin repartition."""
+    """Spread ``df`` over the cluster's default parallelism before CPU-heavy
+    narrow work (regex chains, JSON parsing) when it reads fewer files than
+    there are cores.
+
+    Decided from metadata only (``inputFiles`` is a driver-side file-index
+    lookup, no job runs): a large table arrives as many files and passes through
+    unchanged; only a few-file input pays a round-robin repartition.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if len(df.inputFiles()) < cores:
         return df.repartition(cores)
     return df

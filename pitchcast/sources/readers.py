@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import strip_ws
 from .schema import PREDICTION_SCHEMA, empty_predictions
 
 VIDEO_LIST_SCHEMA = T.StructType([T.StructField("video_url", T.StringType())])
@@ -116,7 +115,3 @@ def read_fixture_events(spark: SparkSession, path: str, fmt: str = "json") -> Da
         F.col("intHomeScore").alias("home_score"), F.col("intAwayScore").alias("away_score"),
         F.to_date(F.try_to_timestamp(F.col("dateEvent"), F.lit("yyyy-M-d"))).alias("event_date"),
         F.col("strStatus").alias("status"))
-
-
-def trimmed(c: str):
-    return strip_ws(F.col(c))

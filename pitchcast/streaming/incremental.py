@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..operators import store as S
 from ..plans.jobs import RunParams, publish_job, resolve_job, rows_job
 from ..sources.readers import read_predictions
 
@@ -53,4 +52,4 @@ def run_available(spark: SparkSession, landing_dir: str, table_base: str, fixtur
     q.awaitTermination()
 
 
-__all__ = ["RESPONSE_SCHEMA", "process_batch", "run_available", "S"]
+__all__ = ["RESPONSE_SCHEMA", "process_batch", "run_available"]
