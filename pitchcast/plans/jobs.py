@@ -22,6 +22,7 @@ from ..operators import extract as X
 from ..operators import report as R
 from ..operators import resolve as V
 from ..operators import store as S
+from ..session import materialize, release_materialized, scratch_inputs
 from ..sources.readers import parse_metadata, read_predictions
 
 
@@ -77,13 +78,22 @@ def resolve_job(new_rows: DataFrame, table: DataFrame, fixtures: DataFrame, para
 
 def publish_job(spark: SparkSession, table_base: str, resolved: DataFrame, params: RunParams,
                 partitions: int | None = None):
-    """Upsert ``resolved`` into the table at ``table_base``; returns (new version path or None, counters)."""
+    """Upsert ``resolved`` into the table at ``table_base``; returns (new version path or None, counters).
+
+    The resolved batch is materialized once (it feeds the write and the
+    counters); afterwards every scratch copy of the run is deleted.
+    """
     existing = read_predictions(spark, table_base)
-    result = S.upsert(existing, resolved)
-    counters = S.run_counters(existing, resolved, result)
-    if params.dry_run:
-        return None, counters
-    return S.write_version(spark, result, table_base, partitions), counters
+    scratch = scratch_inputs(resolved)                    # this run's resolution copies
+    batch = materialize(resolved, "resolved-batch")       # resolution runs once
+    scratch += scratch_inputs(batch)
+    result = S.upsert(existing, batch)
+    path = None if params.dry_run else S.write_version(spark, result, table_base, partitions)
+    counters_df = S.run_counters(existing, batch, result)
+    counters = spark.createDataFrame(counters_df.collect(), counters_df.schema)   # one row
+    # nothing reads this run's scratch copies any more: free the shared folder
+    release_materialized(spark, scratch)
+    return path, counters
 
 
 def report_job(table: DataFrame, out_dir: str | None = None, fmt: str = "json") -> dict[str, DataFrame]:

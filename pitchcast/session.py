@@ -62,9 +62,36 @@ def materialize(df, name: str):
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _SCRATCH.append(path)
     return spark.read.schema(df.schema).parquet(path)   # known schema: no footer inference
 
 
+_SCRATCH: list[str] = []
+
+
+def scratch_inputs(df) -> list[str]:
+    """The ``materialize`` folders that ``df`` reads (from its input-file metadata)."""
+    files = df.inputFiles()
+    return [p for p in _SCRATCH if any(p in f for f in files)]
+
+
+def release_materialized(spark, paths=None) -> int:
+    """Delete ``materialize`` folders (default: all written by this process).
+
+    Call once nothing reads them any more (after the job's output is written),
+    so the shared checkpoint folder does not grow run after run.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    targets = list(_SCRATCH) if paths is None else [p for p in paths if p in _SCRATCH]
+    done = 0
+    for p in targets:
+        _SCRATCH.remove(p)
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        if path.getFileSystem(conf).delete(path, True):
+            done += 1
+    return done
+
+
 def ensure_parallelism(df):
     """Spread ``df`` over the cluster's default parallelism before CPU-heavy
     narrow work (regex chains, JSON parsing) when it reads fewer files than

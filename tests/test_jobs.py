@@ -75,3 +75,20 @@ def test_report_and_pending_jobs(spark, tmp_path):
     assert collect(sections["summary"])[0]["total_predictions"] == 1
     assert (tmp_path / "report" / "summary").exists()
     assert collect(J.pending_job(table, "2026-01-01"), "prediction_id") == [("CCCCCCCCCCC_001",)]
+
+
+def test_publish_releases_scratch_copies(spark, tmp_path):
+    import os
+
+    from pitchcast import session
+    rows = J.rows_job(spark.createDataFrame([("DDDDDDDDDDD", "2025-03-10", json.dumps([pred("Real Madrid", "Barcelona")]))],
+                                            "video_id string, publish_date string, raw_response string"))
+    empty = spark.createDataFrame([], "prediction_id string, actual_result string, match_date date")
+    resolved = J.resolve_job(rows, empty, fixtures(spark), PARAMS)
+    scratch = session.scratch_inputs(resolved)
+    assert len(scratch) == 3                        # predictions, fixtures, name map
+    path, counters = J.publish_job(spark, str(tmp_path / "table"), resolved, PARAMS)
+    assert path.endswith("version=00000001")
+    assert collect(counters)[0]["scored"] == 1
+    assert not any(os.path.exists(p) for p in scratch) and not set(scratch) & set(session._SCRATCH)
+    assert collect(read_predictions(spark, str(tmp_path / "table")), "actual_result") == [("H",)]
