@@ -7,7 +7,7 @@ Plan shape (see README "Resolution at scale"):
 * the date rule becomes an interval per prediction and a 46-day bucket per
   fixture, so the candidate join is an equi-join on
   (competition, fixture home, fixture away, bucket) plus a residual range test;
-* "first fixture in source order" is ``min_by(..., fixture_seq)`` per
+* "first fixture in source order" is ``min_by(field, fixture_seq)`` per
   prediction, a hash aggregate with map-side partial aggregation;
 * two-leg ties only need the two earliest fixtures per (competition, home,
   away), a ``row_number() <= 2`` that Spark turns into a map-side group limit;
@@ -234,8 +234,20 @@ def single_leg_candidates(p: DataFrame, fx: DataFrame, nm: DataFrame, patterns=N
 
 
 def _first(df: DataFrame, name: str) -> DataFrame:
-    s = F.struct(*FIXTURE_FIELDS)
-    return df.groupBy("prediction_id").agg(F.min_by(s, F.col("fixture_seq")).alias(name))
+    """The candidate with the smallest ``fixture_seq`` per prediction, as struct ``name``.
+
+    One ``min_by`` per fixed-width field (all ordered by the same, unique
+    sequence, so they pick the same fixture): fixed-width buffers keep this a
+    hash aggregate with partial aggregation, where a struct-valued ``min_by``
+    would fall back to a sort aggregate.
+    """
+    seq = F.col("fixture_seq")
+    picked = df.groupBy("prediction_id").agg(
+        F.min(seq).alias("_s"),
+        *[F.min_by(F.col(c), seq).alias("_" + c) for c in FIXTURE_FIELDS if c != "fixture_seq"])
+    fields = [F.col("_s").alias("fixture_seq")] + [F.col("_" + c).alias(c) for c in FIXTURE_FIELDS
+                                                   if c != "fixture_seq"]
+    return picked.select("prediction_id", F.struct(*fields).alias(name))
 
 
 def resolve_single_leg(p: DataFrame, fx: DataFrame, nm: DataFrame, patterns=None) -> DataFrame:

@@ -34,3 +34,9 @@ def test_scored_filter_and_columns_reach_the_scan(spark, tmp_path):
 def test_two_leg_uses_group_limit(spark):
     text = plan_text(E.queries()["resolve_two_leg"](spark, SF))
     assert "WindowGroupLimit" in text
+
+
+def test_first_pick_is_a_hash_aggregate(spark):
+    for name in ("resolve_single_leg", "resolve_two_leg", "resolve_results"):
+        text = plan_text(E.queries()[name](spark, SF))
+        assert "SortAggregate" not in text and "HashAggregate" in text, name
