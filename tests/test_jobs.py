@@ -92,3 +92,13 @@ def test_publish_releases_scratch_copies(spark, tmp_path):
     assert collect(counters)[0]["scored"] == 1
     assert not any(os.path.exists(p) for p in scratch) and not set(scratch) & set(session._SCRATCH)
     assert collect(read_predictions(spark, str(tmp_path / "table")), "actual_result") == [("H",)]
+
+
+def test_replayed_micro_batch_is_a_no_op(spark, tmp_path):
+    base = str(tmp_path / "table")
+    batch = spark.createDataFrame([("EEEEEEEEEEE", "2025-03-10", json.dumps([pred("Real Madrid", "Barcelona")]))],
+                                  "video_id string, publish_date string, raw_response string")
+    first = I.process_batch(spark, batch, base, fixtures(spark), PARAMS)
+    assert first.endswith("version=00000001")
+    assert I.process_batch(spark, batch, base, fixtures(spark), PARAMS) is None     # replay: nothing new
+    assert collect(read_predictions(spark, base), "prediction_id", "actual_result") == [("EEEEEEEEEEE_000", "H")]
