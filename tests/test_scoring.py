@@ -66,3 +66,25 @@ def test_top_pick_ties_count(spark):
     df = spark.createDataFrame([(40, 40, 20, "H"), (40, 40, 20, "D"), (40, 40, 20, "A"), (20, 30, 50, "A")],
                                "h int, d int, a int, r string")
     assert [r[0] for r in df.select(top_pick_hit("h", "d", "a", "r")).collect()] == [1, 1, 0, 1]
+
+
+def _py_brier(h, d, a, mt, r):
+    if r not in ("H", "D", "A"):
+        return None
+    ph, pd_, pa = h / 100.0, d / 100.0, a / 100.0
+    ih, id_, ia = (1.0 if r == c else 0.0 for c in "HDA")
+    if mt == "knockout":
+        tot = ph + pa
+        if tot <= 0:
+            return 0.0
+        return round(((ph / tot - ih) ** 2 + (pa / tot - ia) ** 2) / 2.0, 4)
+    return round(((ph - ih) ** 2 + (pd_ - id_) ** 2 + (pa - ia) ** 2) / 3.0, 4)
+
+
+def test_brier_grid_matches_formula(spark):
+    rows = [(h, d, 100 - h - d, mt, r) for h in range(0, 101, 5) for d in range(0, 101 - h, 5)
+            for mt in ("single", "knockout") for r in ("H", "D", "A")]
+    df = spark.createDataFrame(rows, "h int, d int, a int, mt string, r string")
+    got = df.select("h", "d", "a", "mt", "r", brier_score("h", "d", "a", "mt", "r").alias("b")).collect()
+    bad = [tuple(x) for x in got if x["b"] != _py_brier(x["h"], x["d"], x["a"], x["mt"], x["r"])]
+    assert not bad and len(got) == len(rows)
