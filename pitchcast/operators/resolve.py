@@ -370,8 +370,11 @@ def conform_overrides(raw: DataFrame) -> DataFrame:
         F.col("away_goals").cast("string").try_cast("int").alias("away_goals"),
         opt("match_date").alias("match_date"), opt("match_type").alias("match_type"), "line_no")
     rows = rows.where(F.col("prediction_id").isNotNull() & (F.col("prediction_id") != ""))
-    last = F.max_by(F.struct("home_goals", "away_goals", "match_date", "match_type"), F.col("line_no"))
-    return rows.groupBy("prediction_id").agg(last.alias("o")).select("prediction_id", "o.*")
+    # the last line per id: a hash aggregate over the fixed-width line number,
+    # then a semi-join back (a struct/string max_by would need a sort aggregate)
+    last = rows.groupBy("prediction_id").agg(F.max("line_no").alias("line_no"))
+    return (rows.join(last, ["prediction_id", "line_no"], "left_semi")
+            .select("prediction_id", "home_goals", "away_goals", "match_date", "match_type"))
 
 
 def _override_columns(base_match_date: Column, base_match_type: Column):
