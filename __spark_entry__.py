@@ -297,12 +297,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_summary_stats(spark, SMOKE_DIR)
 
 
+def _training_data():
+    """(queries, oracles) of the training-data operators; none where that subpackage is not installed."""
+    try:
+        import corpus_pipeline
+        from pitchcast.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "pitchcast.llm"):
+            raise
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return llm.queries() | {"pipeline": corpus_pipeline.run}, llm.oracle_sql() | sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return O.all_oracles()
+    return O.all_oracles() | _training_data()[1]
 
 
 __all__ = ["entry", "queries", "oracle_sql", "PREDICTION_COLUMNS"]
