@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprints, line_dedup, packing, warc
+from . import decontaminate, fingerprints, jaccard_join, line_dedup, packing, warc
 
 MODULES = {
     "op1_line_dedup": line_dedup,
@@ -10,6 +10,7 @@ MODULES = {
     "op3_decontaminate": decontaminate,
     "op5_warc": warc,
     "op7_packing": packing,
+    "op10_ngram_join": jaccard_join,
 }
 
 
