@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprints, jaccard_join, line_dedup, packing, warc
+from . import decontaminate, fingerprints, jaccard_join, langid, line_dedup, packing, toxicity, warc
 
 MODULES = {
     "op1_line_dedup": line_dedup,
@@ -10,6 +10,8 @@ MODULES = {
     "op3_decontaminate": decontaminate,
     "op5_warc": warc,
     "op7_packing": packing,
+    "op8_language_id": langid,
+    "op9_toxicity": toxicity,
     "op10_ngram_join": jaccard_join,
 }
 
