@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprints, jaccard_join, langid, line_dedup, packing, toxicity, warc
+from . import decontaminate, fingerprints, jaccard_join, langid, line_dedup, packing, suffix_dedup, toxicity, warc
 
 MODULES = {
     "op1_line_dedup": line_dedup,
     "op2_fingerprints": fingerprints,
     "op3_decontaminate": decontaminate,
     "op5_warc": warc,
+    "op6_suffix_dedup": suffix_dedup,
     "op7_packing": packing,
     "op8_language_id": langid,
     "op9_toxicity": toxicity,

@@ -60,7 +60,7 @@ def word_ranges(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
-def batched(values, limit: int = 8 << 20):
+def batched(values, limit: int = 4 << 20):
     """Lists of (index, bytes) of about ``limit`` bytes in all; a longer text is a list of its own."""
     held, size = [], 0
     for i, v in enumerate(values):
