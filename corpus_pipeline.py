@@ -10,8 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitchcast.llm.common import stored, table
 from pitchcast.llm.decontaminate import drop_leaked
+from pitchcast.llm.jaccard_join import one_of_each
 from pitchcast.llm.line_dedup import drop_repeated_lines
 from pitchcast.llm.packing import pack
+from pitchcast.llm.toxicity import drop_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier finds toxic go."""
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,6 +26,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_repeated_lines(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that share four fifths of their five-word shingles, one stays."""
+    return one_of_each(docs, words=5, percent=80)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of the benchmark go."""
     return drop_leaked(docs, table(spark, sf_dir, "benchmark"))
@@ -30,7 +42,9 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxicity),
     ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
     ("decontaminate", decontaminate),
     ("packing", packing),
 ]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprints, jaccard_join, langid, line_dedup, packing, suffix_dedup, toxicity, warc
+from . import (decontaminate, fingerprints, jaccard_join, langid, line_dedup, packing, secrets,
+               suffix_dedup, toxicity, warc)
 
 MODULES = {
     "op1_line_dedup": line_dedup,
     "op2_fingerprints": fingerprints,
     "op3_decontaminate": decontaminate,
+    "op4_secret_scan": secrets,
     "op5_warc": warc,
     "op6_suffix_dedup": suffix_dedup,
     "op7_packing": packing,
