@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, keyed, same, table, unpack
+from .common import ascii_lower, keyed, same, stored, table, unpack
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WIDTH = 10
@@ -18,6 +18,12 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
 
 
+def _word_hashes(text: Column) -> Column:
+    """A hash per word of the text lower-cased by ``lower``, which costs far less than A-Z alone. It parts words alike and
+    makes equal what A-Z alone makes equal, so windows that match are never lost; what it adds is verified away."""
+    return F.transform(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
+
+
 def _hashed(words: str, width: int) -> Column:
     """(width, pos, hash) of each window of ``width`` words; none if there are fewer words."""
     at = F.when(F.size(words) >= width, F.sequence(F.lit(1), F.size(words) - (width - 1))).otherwise(
@@ -34,24 +40,24 @@ def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col:
     words have no window; those with a null id are searched for but not listed.
     """
     items = (keyed(benchmark, item_col, text_col)
-             .select(F.col("id").cast("string").alias("item"), words_of(F.col("text")).alias("words"))
+             .select(F.col("id").cast("string").alias("item"), words_of(F.col("text")).alias("words"), _word_hashes(F.col("text")).alias("hashes"))
              .where(F.size("words") > 0).withColumn("width", F.least(F.lit(width), F.size("words"))))
     at = F.explode(F.sequence(F.lit(1), F.size("words") - F.col("width") + 1)).alias("pos")
-    cut = items.select("item", "width", "words", at).select(
-        "item", "width", F.expr("slice(words, pos, width)").alias("cut"))
-    return (cut.select("item", "width", F.xxhash64("cut").alias("hash"), F.array_join("cut", " ").alias("window"))
+    cut = items.select("item", "width", "words", "hashes", at)
+    return (cut.select("item", "width", F.expr("xxhash64(slice(hashes, pos, width))").alias("hash"),
+                       F.expr("array_join(slice(words, pos, width), ' ')").alias("window"))
             .groupBy("width", "hash", "window").agg(F.collect_set("item").alias("items")))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """One row per row of ``docs``: ``row``, ``words``, ``hits`` (pos, width), ``hit_words`` (1-based positions,
+    """One row per row of ``docs``: ``row``, ``n_words``, ``hits`` (pos, width), ``hit_words`` (1-based positions,
     distinct), ``items`` (sorted ids of the items found).
 
     The benchmark becomes a set of window hashes. Documents are scanned once: each
     window's hash meets the broadcast set without a shuffle, so a passage in a third
-    of all documents is no hot key. What meets is verified word for word when the
-    hits come back to their text. A null text has no words; an empty benchmark finds
+    of all documents is no hot key, and only what meets leaves the scan. Documents with a meeting are
+    verified word for word. A null text has no words; an empty benchmark finds
     nothing; rows that repeat an id are told apart by their text.
     """
     base = keyed(docs, id_col, text_col)
@@ -60,22 +66,29 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     wanted = windows.select(F.col("hash").alias("wanted"), F.col("width").alias("wanted_width")).distinct()
     if sum(counts.values()) <= MAX_BROADCAST_WINDOWS:
         wanted = F.broadcast(wanted)
-    arrays = [_hashed("words", w) for w in sorted(counts)] or [_hashed("words", width)]
-    scan = (base.select("id", "tag", words_of(F.col("text")).alias("words"))
-            .select("id", "tag", F.inline(F.concat(*arrays))))
-    met = scan.join(wanted, (F.col("hash") == F.col("wanted")) & (F.col("width") == F.col("wanted_width")), "left_semi")
-    found = (met.join(windows, ["width", "hash"])
-             .groupBy(F.col("id").alias("hit_id"), F.col("tag").alias("hit_tag"))
-             .agg(F.collect_set(F.struct("pos", "width", "window", "items")).alias("met")))
-    out = (base.join(found, same(base, found, ("id", "hit_id"), ("tag", "hit_tag")), "left")
-           .withColumn("words", words_of(F.col("text"))))
-    real = F.filter("met", lambda h: F.array_join(F.slice("words", h["pos"], h["width"]), " ") == h["window"])
-    out = out.withColumn("real", F.coalesce(real, F.array().cast("array<struct<pos:int,width:int,window:string,items:array<string>>>")))
-    spans = F.transform("real", lambda h: F.sequence(h["pos"], h["pos"] + h["width"] - 1))
-    return out.select("row", "words",
-                      F.transform("real", lambda h: F.struct(h["pos"].alias("pos"), h["width"].alias("width"))).alias("hits"),
-                      F.array_distinct(F.flatten(spans)).alias("hit_words"),
-                      F.array_sort(F.array_distinct(F.flatten(F.transform("real", lambda h: h["items"])))).alias("items"))
+    # a row of width 0 carries the number of words of every document past the join
+    number = F.array(F.struct(F.lit(0).alias("width"), F.size("hashes").alias("pos"), F.lit(0).cast("long").alias("hash")))
+    scan = (base.select("id", "tag", _word_hashes(F.col("text")).alias("hashes"))
+            .select("id", "tag", F.inline(F.concat(number, *(_hashed("hashes", w) for w in sorted(counts))))))
+    met = (scan.join(wanted, (F.col("hash") == F.col("wanted")) & (F.col("width") == F.col("wanted_width")), "left")
+           .where("width = 0 or wanted is not null")
+           .groupBy("id", "tag").agg(F.max(F.when(F.col("width") == 0, F.col("pos"))).alias("n_words"),
+                                     F.collect_set(F.when(F.col("width") > 0, F.struct("width", "pos", "hash"))).alias("met")))
+    met = stored(met.withColumnsRenamed({"id": "m_id", "tag": "m_tag"}), "met")   # read twice, a row per document
+    some = met.where(F.size("met") > 0)
+    words = (base.join(some, same(base, some, ("id", "m_id"), ("tag", "m_tag")))
+             .select("id", "tag", words_of(F.col("text")).alias("words"), "met").dropDuplicates(["id", "tag"]))
+    real = (words.select("id", "tag", "words", F.inline("met"))
+            .select("id", "tag", "width", "pos", "hash", F.array_join(F.slice("words", F.col("pos"), F.col("width")), " ").alias("window"))
+            .join(windows, ["width", "hash", "window"])
+            .groupBy(F.col("id").alias("r_id"), F.col("tag").alias("r_tag"))
+            .agg(F.collect_set(F.struct("pos", "width")).alias("hits"), F.collect_set("items").alias("items")))
+    rows = base.join(met, same(base, met, ("id", "m_id"), ("tag", "m_tag"))).select("row", "id", "tag", "n_words")
+    out = rows.join(real, same(rows, real, ("id", "r_id"), ("tag", "r_tag")), "left")
+    hits = F.coalesce("hits", F.array().cast("array<struct<pos:int,width:int>>"))
+    spans = F.transform(hits, lambda h: F.sequence(h["pos"], h["pos"] + h["width"] - 1))
+    return out.select("row", "n_words", hits.alias("hits"), F.array_distinct(F.flatten(spans)).alias("hit_words"),
+                      F.array_sort(F.array_distinct(F.flatten(F.coalesce("items", F.array().cast("array<array<string>>"))))).alias("items"))
 
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -85,7 +98,7 @@ def drop_leaked(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 def query(spark, sf):
     out = find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
-    return out.select("row.doc_id", F.size("words").cast("long").alias("n_words"),
+    return out.select("row.doc_id", F.col("n_words").cast("long").alias("n_words"),
                       F.size("hit_words").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                       (F.size("hit_words") > 0).alias("contaminated"))
