@@ -43,6 +43,11 @@ class Hasher:
         np.cumsum(_table()[data] * powers(BASE, len(data)), dtype=np.uint64, out=self.sums[1:])
         self.back = powers(INVERSE, len(data) + 1)
 
+    def windows(self, width: int) -> np.ndarray:
+        """The hashes of all windows of ``width`` bytes, as ``ranges`` has them."""
+        n = len(self.sums) - width
+        return mixed((self.sums[width:] - self.sums[:n]) * self.back[:n])
+
     def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((self.sums[end] - self.sums[start]) * self.back[start])
 

@@ -24,11 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import keyed, same, stored, table
-from .rolling import Hasher, batched, joined
+from .rolling import Hasher, joined
 
 WIDTH = 200
-PIECE = 2 << 20        # bytes of a text looked at together; pieces overlap by width - 1 bytes
+PIECE = 1 << 19        # bytes of a text looked at together; pieces overlap by width - 1 bytes
 MARKS = 1 << 25        # bits of a mark table (fixed)
+STRIDE = 1_000_003     # of the starts in a text, in the marks of its samples
 CROWD = 20_000         # different surroundings of one sample that a task takes in; more go another, exact way
 
 
@@ -57,22 +58,34 @@ def samples(texts: list, width: int):
             for s in range(0, max(len(t) - width + 1, 0), PIECE):
                 yield i, s, t[s:s + PIECE + width - 1]
 
-    cut = list(pieces())
-    for chunk in batched([b for _, _, b in cut], PIECE):
-        data, begin = joined([b for _, b in chunk])
+    def chunks():
+        held, size = [], 0
+        for p in pieces():
+            held.append(p)
+            size += len(p[2])
+            if size >= PIECE:
+                yield held
+                held, size = [], 0
+        if held:
+            yield held
+
+    for chunk in chunks():
+        data, begin = joined([b for _, _, b in chunk])
         hasher = Hasher(data)
-        start = np.arange(len(data) - half + 1)
-        h = hasher.ranges(start, start + half)
-        least = _sliding_least((h & np.uint64(0xFFFFFFFFF0000000)) | start.astype(np.uint64), width - half + 1)
-        piece = np.repeat(np.arange(len(chunk)), np.diff(begin))[:len(least)]
-        good = np.flatnonzero(np.arange(len(least)) + width < begin[piece + 1])   # the line feed after a text is not part of it
+        h = hasher.windows(half)
+        least = _sliding_least((h & np.uint64(0xFFFFFFFFF0000000)) | np.arange(len(h), dtype=np.uint64), width - half + 1)
+        least &= np.uint64(0xFFFFFFF)
+        edge = np.flatnonzero(least[1:] != least[:-1]) + 1
+        first, last = np.append(0, edge), np.append(edge, len(least)) - 1
+        at = least[first].astype(np.int64)
+        # of the strings that a sample stands for, those that lie in its own piece (the line feed after it left out)
+        own = np.searchsorted(begin, at, side="right") - 1
+        first, last = np.maximum(first, begin[own]), np.minimum(last, begin[own + 1] - 1 - width)
+        good = np.flatnonzero(first <= last)
         if not len(good):
             continue
-        at = (least[good] & np.uint64(0xFFFFFFF)).astype(np.int64)
-        edge = np.flatnonzero((np.diff(at, prepend=-1) != 0) | (np.diff(piece[good], prepend=-1) != 0))
-        first, last = good[edge], good[np.append(edge[1:], len(good)) - 1]
-        at, own = at[edge], piece[good[edge]]
-        where = np.array([cut[i][:2] for i, _ in chunk], np.int64).reshape(-1, 2)
+        first, last, at, own = first[good], last[good], at[good], own[good]
+        where = np.array([c[:2] for c in chunk], np.int64).reshape(-1, 2)
         around = hasher.ranges(first, last + width) ^ ((at - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         yield data, where[own, 0], begin[own] - where[own, 1], at, first, last, h[at].view(np.int64), around.view(np.int64)
 
@@ -179,14 +192,15 @@ def repeated_spans(base: DataFrame, width: int = WIDTH) -> DataFrame:
     # one member for each different surroundings of a name that has several
     crowd = around.groupBy("name").agg(F.count("*").alias("ways")).where("ways > 1")
     ones = around.join(crowd, "name").select("name", "ways", "one.tag", "one.first", "one.id")
-    ones = stored(ones.withColumn("mark", F.xxhash64("tag", "first")), "ones")
+    ones = stored(ones.withColumn("mark", F.expr(f"tag ^ (first * {STRIDE})")), "ones")
     chosen = spark.sparkContext.broadcast(_mark_table(ones, "mark"))
 
     def contents(batches):
         for batch in batches:
-            out = []
+            out, tag = [], batch.column(1).to_numpy()
             for data, text, shift, at, first, last, name, _ in samples(batch.column(2).to_pylist(), width):
-                k = np.flatnonzero(_bit(twice.value, name))
+                k = np.flatnonzero(_bit(chosen.value, tag[text] ^ ((first - shift) * STRIDE)))
+                k = k[_bit(twice.value, name[k])]
                 raw = data.tobytes()
                 out += [(t, int(n), int(f - s), int(l - s), int(c - s), raw[f:c][::-1], raw[c:l + width])
                         for t, n, f, l, c, s in zip(text[k].tolist(), name[k], first[k], last[k], at[k], shift[k])]
@@ -196,12 +210,6 @@ def repeated_spans(base: DataFrame, width: int = WIDTH) -> DataFrame:
                                              names=["id", "tag", "name", "first", "last", "at", "left", "right"])
 
     filled = texts.mapInArrow(contents, f"id {kind}, tag long, name long, first long, last long, at long, left binary, right binary")
-    @F.pandas_udf("boolean")
-    def is_chosen(place: pd.Series) -> pd.Series:
-        p = place.to_numpy()
-        return pd.Series((chosen.value[p // 32] >> (p % 32)) & 1 == 1)
-
-    filled = filled.where(is_chosen(F.expr(f"pmod(xxhash64(tag, first), {MARKS})")))
     ones_ = ones.withColumnsRenamed({"id": "o_id", "tag": "o_tag", "first": "o_first", "name": "o_name"}).drop("mark")
     members = filled.join(ones_, same(filled, ones_, ("id", "o_id"), ("tag", "o_tag"), ("first", "o_first"), ("name", "o_name"))).select(
         "id", "tag", "name", "first", "last", "at", "left", "right", "ways")
@@ -281,7 +289,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     flagged = base.withColumn("touched", touched("tag"))
     with_spans = flagged.where("touched").drop("touched")
     joined_rows = with_spans.join(per, same(with_spans, per, ("id", "s_id"), ("tag", "s_tag")), "left").select("row", "text", "spans")
-    others = flagged.where("not touched").select("row", "text", F.lit(None).cast(per.schema["spans"].dataType).alias("spans"))
+    others = flagged.where("not touched").select("row", F.col("text").cast("binary").alias("kept"), F.octet_length("text").cast("long").alias("n_bytes"),
+                                                 F.array().cast("array<struct<start:bigint,end:bigint>>").alias("removed"))
 
     @F.pandas_udf("kept binary, n_bytes long, removed array<struct<start:long,end:long>>")
     def cut(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
@@ -302,7 +311,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out.append((b"".join(kept), len(t), [{"start": a, "end": b} for a, b in merged]))
         return pd.DataFrame(out, columns=["kept", "n_bytes", "removed"])
 
-    return joined_rows.unionAll(others).select("row", cut("text", "spans").alias("c")).select("row", "c.*")
+    return joined_rows.select("row", cut("text", "spans").alias("c")).select("row", "c.*").unionAll(others)
 
 
 def query(spark, sf):
