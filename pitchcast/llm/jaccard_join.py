@@ -31,7 +31,7 @@ SKETCH = 1 << 18       # counters of the shingle frequency sketch (fixed, whatev
 MARKS = 1 << 24        # bits of the mark table of documents that met another (fixed)
 LARGEST_LIGHT = 24     # sizes looked at for the boundary
 BLOCK = 1000           # members compared with each other at a time
-SIGNATURE = 16         # 64-bit words
+SIGNATURE = 32         # 64-bit words of the short signatures
 
 
 def shingle_sets(texts: list, words: int):
@@ -108,23 +108,65 @@ def node_of(s: np.ndarray) -> tuple[int, bytes]:
     return int.from_bytes(d[:8], "little", signed=True), d[8:]
 
 
+def signature(s: np.ndarray, words: int | None = None) -> bytes:
+    """A bit for each of so many places, set where an odd number of shingles falls: one shingle more or less moves one
+    bit. Without a number of 64-bit words, a power of two with two places for each shingle at least."""
+    places = (words or max(SIGNATURE, 1 << (len(s) // 32).bit_length())) * 64
+    times = np.bincount(((s >> np.uint64(32)) % np.uint64(places)).astype(np.int64), minlength=places)
+    return np.packbits((times & 1).astype(np.uint8)).tobytes()
+
+
+class Members:
+    """Sizes and signatures of the members of a group; a signature is folded where it meets one of half its length."""
+
+    def __init__(self, signatures: list[bytes], size: np.ndarray, percent: int):
+        self.size, self.percent = size, percent
+        self.length = np.fromiter((len(b) for b in signatures), np.int64, len(signatures))
+        self.rows, self.bits = {}, {}
+        for n in np.unique(self.length).tolist():
+            who = np.flatnonzero((self.length == n) | (self.length == 2 * n))
+            full = [np.frombuffer(signatures[k], np.uint8) for k in who]
+            # place p of the longer one is place p modulo n of the shorter
+            self.bits[n] = np.stack([b if len(b) == n else b[:n] ^ b[n:] for b in full]).view(np.uint64)
+            self.rows[n] = np.full(len(signatures), -1)
+            self.rows[n][who] = np.arange(len(who))
+
+    def may_link(self, a: int, b0: int) -> np.ndarray:
+        """Which members from ``b0`` on can be similar to member ``a``, by their sizes and the bits that differ."""
+        both = self.size[b0:] + self.size[a]
+        most = both - 2 * (-(-self.percent * both // (100 + self.percent)))   # shingles that similar sets may differ in
+        near = np.flatnonzero(np.abs(self.size[b0:] - self.size[a]) <= most)
+        shorter = np.minimum(self.length[near + b0], self.length[a])
+        out = []
+        for n in np.unique(shorter).tolist():
+            some = near[shorter == n]
+            bits, row = self.bits[n], self.rows[n]
+            apart = np.bitwise_count(bits[row[some + b0]] ^ bits[row[a]]).sum(axis=1, dtype=np.int64)
+            out.append(some[apart <= most[some]] + b0)
+        return np.concatenate(out) if out else near + b0
+
+
+def with_partner(signatures: list[bytes], size: np.ndarray, left: int, percent: int) -> np.ndarray:
+    """Which members can be similar to another one (as in ``links_among``)."""
+    out = np.zeros(len(size), bool)
+    members = Members(signatures, size, percent)
+    for a in range(left or len(size)):
+        others = members.may_link(a, left or a + 1)
+        if len(others):
+            out[a] = True
+            out[others] = True
+    return out
+
+
 def links_among(ids: np.ndarray, sets: list[np.ndarray], left: int, percent: int) -> list[tuple[int, int]]:
     """A forest of links that joins all that similarity joins among the members; the first ``left`` members and the
     others are two blocks (0: one block), of which only pairs across are compared."""
     size = np.array([len(s) for s in sets], np.int64)
-    bits = np.zeros((len(sets), SIGNATURE), np.uint64)
-    for k, s in enumerate(sets):
-        place, times = np.unique((s >> np.uint64(40)) % np.uint64(SIGNATURE * 64), return_counts=True)
-        odd = place[times % 2 == 1]
-        np.bitwise_or.at(bits[k], (odd // np.uint64(64)).astype(np.int64), np.uint64(1) << (odd % np.uint64(64)))
+    members = Members([signature(s) for s in sets], size, percent)
     parent = np.arange(len(sets))
     out = []
     for a in range(left or len(sets)):
-        b0 = left or a + 1
-        apart = np.bitwise_count(bits[b0:] ^ bits[a]).sum(axis=1, dtype=np.int64)
-        both = size[b0:] + size[a]
-        most = both - 2 * (-(-percent * both // (100 + percent)))   # shingles that similar sets may differ in
-        for b in (np.flatnonzero((apart <= most) & (np.abs(size[b0:] - size[a]) <= most)) + b0).tolist():
+        for b in members.may_link(a, left or a + 1).tolist():
             ra, rb = _root(parent, a), _root(parent, b)
             if ra != rb:
                 common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
@@ -134,6 +176,20 @@ def links_among(ids: np.ndarray, sets: list[np.ndarray], left: int, percent: int
     return out
 
 
+def _groups(batches, keys: int):
+    """(key, rows) of each run of rows with equal first ``keys`` columns."""
+    key, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:keys] != key:
+                if len(rows) > 1:
+                    yield key, rows
+                key, rows = row[:keys], []
+            rows.append(row[keys:])
+    if len(rows) > 1:
+        yield key, rows
+
+
 def _root(parent: np.ndarray, a: int) -> int:
     while parent[a] != a:
         parent[a] = parent[parent[a]]
@@ -159,19 +215,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def profile(batches):
         counts = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            at, n, node, sig = [], [], [], []
+            at, n, node, sig, bits, more = [], [], [], [], [], []
             for i, s in shingle_sets(batch.column(1).to_pylist(), words):
                 counts += np.bincount((s % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) if len(s) > 1000 else 0
                 if len(s) <= 1000:
                     counts[(s % np.uint64(SKETCH)).astype(np.int64)] += 1
                 name, rest = node_of(s)
-                at.append(i), n.append(len(s)), node.append(name), sig.append(rest)
+                at.append(i), n.append(len(s)), node.append(name), sig.append(rest), bits.append(signature(s, SIGNATURE)), more.append(signature(s))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(n, pa.int32()), pa.array(node, pa.int64()),
-                                              pa.array(sig, pa.binary()), pa.nulls(len(at), pa.list_(pa.int32()))], names=["id", "n", "node", "sig", "counts"])
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([-1], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
-                                          pa.array([counts.astype(np.int32)], pa.list_(pa.int32()))], names=["id", "n", "node", "sig", "counts"])
+                                              pa.array(sig, pa.binary()), pa.array(bits, pa.binary()), pa.array(more, pa.binary()),
+                                              pa.nulls(len(at), pa.list_(pa.int32()))], names=["id", "n", "node", "sig", "bits", "more", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([-1], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
+                                          pa.array([counts.astype(np.int32)], pa.list_(pa.int32()))], names=["id", "n", "node", "sig", "bits", "more", "counts"])
 
-    seen = stored(slim.mapInArrow(profile, "id long, n int, node long, sig binary, counts array<int>"), "profile")
+    seen = stored(slim.mapInArrow(profile, "id long, n int, node long, sig binary, bits binary, more binary, counts array<int>"), "profile")
     members = seen.where("n >= 0")
     # both results are of fixed size: SKETCH numbers, and one per light size
     total = np.zeros(SKETCH, np.int64)
@@ -191,18 +248,45 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     node.append(np.full(len(t), node_of(s)[0], np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(token).view(np.int64)), pa.array(np.concatenate(node))], names=["token", "node"])
 
-    tokens = slim.select("text").mapInArrow(listed, "token long, node long")
+    tokens = stored(slim.select("text").mapInArrow(listed, "token long, node long"), "tokens")
     hubs = (tokens.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
             .where("hub <> last").select("token", "hub"))
     met = stored(tokens.join(hubs, "token").select("hub", "node").distinct(), "met")
 
-    classes = (members.where("n > 0").groupBy("node", "sig").agg(F.min("id").alias("class_id"))
+    classes = (members.where("n > 0").groupBy("node", "sig").agg(F.min("id").alias("class_id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("more").alias("more"))
                .where("class_id is not null"))
-    wanted = classes.join(met.select("node").distinct(), "node")
-    marks = np.zeros(MARKS // 32, np.int64)
+
+    # a hub's members are dealt to blocks; blocks meet in pairs, so that no task holds more than two
+    room = met.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = met.join(room, "hub").withColumn("block", F.pmod(F.xxhash64("node", "hub"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("node", "hub", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), (F.col("block") > F.col("other")).alias("right"))
+
+    # by their bits alone, most members turn out to have no partner; only the others' sets are sent
+    def promising(batches):
+        for key, rows in _groups(batches, 3):
+            left = sum(not r[0] for r in rows) if key[1] != key[2] else 0
+            if key[1] != key[2] and left in (0, len(rows)):
+                continue
+            go = with_partner([r[4] for r in rows], np.array([r[3] for r in rows], np.int64), left, percent)
+            some = [r for r, k in zip(rows, go) if k]
+            columns = [[v] * len(some) for v in key] + [[r[j] for r in some] for j in (0, 1, 2)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()))],
+                                             names=["hub", "x", "y", "right", "node", "class_id"])
+
+    # first by short signatures, then, for those that pass, by signatures in proportion to the sets
+    promised = dealt
+    for bits in ("bits", "more"):
+        brief = (promised.join(classes.select("node", "class_id", "n", bits), "node").select("hub", "x", "y", "right", "node", "class_id", "n", bits)
+                 .repartition("hub", "x", "y").sortWithinPartitions("hub", "x", "y", "right", "class_id"))
+        promised = stored(brief.mapInArrow(promising, "hub long, x int, y int, right boolean, node long, class_id long"), "promising")
+        promised, kept = promised.drop("class_id").distinct(), promised
+    promised = kept
+    wanted = promised.select("node", "class_id").distinct()
     mark = F.pmod(F.xxhash64("class_id"), F.lit(MARKS))
     words_of_marks = (wanted.select(mark.alias("mark")).groupBy(F.expr("mark div 32").alias("w"))
                       .agg(F.bit_or(F.expr("shiftleft(1L, cast(mark % 32 as int))")).alias("b")).toArrow())   # at most MARKS / 32 rows
+    marks = np.zeros(MARKS // 32, np.int64)
     marks[words_of_marks["w"].to_numpy()] = words_of_marks["b"].to_numpy()
     marked = spark.sparkContext.broadcast(marks)
 
@@ -223,34 +307,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # only the row that stands for its class: marks of other documents may coincide
     sets = sets.join(wanted.select("node", F.col("class_id").alias("id")), ["node", "id"], "left_semi")
 
-    # a hub's members are dealt to blocks; blocks meet in pairs, so that no task holds more than two
-    room = met.join(wanted.select("node").distinct(), "node").groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = met.join(room, "hub").withColumn("block", F.pmod(F.xxhash64("node", "hub"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("node", "hub", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), (F.col("block") > F.col("other")).alias("right"))
-    groups = dealt.join(sets, "node").select("hub", "x", "y", "right", "id", "shingles")
+    groups = promised.join(sets, ["node"]).where("class_id = id").select("hub", "x", "y", "right", "id", "shingles")
     groups = groups.repartition("hub", "x", "y").sortWithinPartitions("hub", "x", "y", "right", "id")
 
     def compared(batches):
-        def links(rows):
-            left = sum(not r[1] for r in rows) if key[1] != key[2] else 0
-            if key[1] != key[2] and left in (0, len(rows)):
-                return []
-            return links_among(np.array([r[2] for r in rows], np.int64), [np.frombuffer(r[3], np.uint64) for r in rows], left, percent)
-
-        key, rows = None, []
-        for batch in batches:
-            out = []
-            for hub, x, y, right, id, shingles in zip(*(c.to_pylist() for c in batch.columns)):
-                if (hub, x, y) != key:
-                    if len(rows) > 1:
-                        out += links(rows)
-                    key, rows = (hub, x, y), []
-                rows.append((hub, right, id, shingles))
-            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
-        if len(rows) > 1:
-            out = links(rows)
-            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        for key, rows in _groups(batches, 3):
+            left = sum(not r[0] for r in rows) if key[1] != key[2] else 0
+            if key[1] == key[2] or left not in (0, len(rows)):
+                out = links_among(np.array([r[1] for r in rows], np.int64), [np.frombuffer(r[2], np.uint64) for r in rows], left, percent)
+                yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     # rows that repeat an id with other texts are one document
     again = (members.where("n > 0 and id is not null").select("id", "node", "sig").distinct()
