@@ -182,7 +182,7 @@ def repeated_spans(base: DataFrame, width: int = WIDTH) -> DataFrame:
                                                   *(pa.array((x - shift)[k]) for x in (first, last))], names=["id", "tag", "name", "around", "first", "last"])
 
     found = stored(texts.mapInArrow(met, f"id {kind}, tag long, name long, around binary, first long, last long"), "samples")
-    found = found.join(again, "name")          # marks of other names may coincide
+    # (a name that stands once, and came along because its mark coincides with another's, has one surroundings that stands once)
     # whole surroundings that stand more than once: all their strings do
     around = found.groupBy("name", "around").agg(F.count("*").alias("n"), F.min(F.struct("tag", "first", "id")).alias("one"))
     around = stored(around, "around")
