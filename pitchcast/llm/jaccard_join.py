@@ -37,7 +37,7 @@ SIGNATURE = 32         # 64-bit words of the short signatures
 def shingle_sets(texts: list, words: int):
     """Yields (index, sorted distinct 64-bit shingle hashes) for each text; those with fewer words have one shingle."""
     weights = np.random.default_rng(7).integers(0, 1 << 63, max(words, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    for chunk in batched([t.encode().lower() if t else b"" for t in texts]):   # bytes.lower changes A-Z only
+    for chunk in batched((t.encode().lower() if t else b"" for t in texts), 2 << 20):   # bytes.lower changes A-Z only
         data, begin = joined([b for _, b in chunk])
         start, end = word_ranges(data)
         h = Hasher(data).ranges(start, end)

@@ -28,7 +28,7 @@ FOLDS, HELD_OUT = 3, 1
 def grams(texts: list):
     """Yields (indices of the texts, where each text's positions begin, buckets): three arrays of buckets, one for each
     length, with BUCKETS where an n-gram would leave its text."""
-    for chunk in batched([(" " + t.lower() + " ").encode("utf-32-le") if t else b"" for t in texts], 16 << 20):
+    for chunk in batched(((" " + t.lower() + " ").encode("utf-32-le") if t else b"" for t in texts), 4 << 20):
         size = np.fromiter((len(b) // 4 for _, b in chunk), np.int64, len(chunk))
         first = np.concatenate(([0], np.cumsum(size)))
         c = np.frombuffer(b"".join(b for _, b in chunk), "<u4")

@@ -46,7 +46,7 @@ def corpus_model(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, n
     def count(batches):
         kinds, moves, words = _classes(), np.zeros(KINDS * KINDS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for chunk in batched([t.encode() if t else b"" for t in batch.column(0).to_pylist()]):
+            for chunk in batched(t.encode() if t else b"" for t in batch.column(0).to_pylist()):
                 data, _ = joined([b for _, b in chunk])
                 k = kinds[data]
                 moves += np.bincount(k[:-1] * KINDS + k[1:], minlength=KINDS * KINDS)

@@ -37,7 +37,7 @@ def features(texts: list):
     buckets[first[k]:first[k + 1]]."""
     parts, counts = [], np.zeros(len(texts), np.int64)
     inside_of = _wordlike()
-    for chunk in batched([t.lower().encode() if t else b"" for t in texts]):
+    for chunk in batched(t.lower().encode() if t else b"" for t in texts):
         data, begin = joined([b for _, b in chunk])
         edge = np.flatnonzero(np.diff(inside_of[data].astype(np.int8), prepend=0, append=0))
         start, end = edge[0::2], edge[1::2]
@@ -55,13 +55,19 @@ def features(texts: list):
     return np.concatenate(([0], np.cumsum(counts))), np.concatenate(parts) if parts else np.empty(0, np.int32)
 
 
-def logits(texts: list, weights: np.ndarray, bias: float) -> np.ndarray:
-    """The sum of the weights of the distinct buckets of each text."""
-    first, buckets = features(texts)
-    hit = np.flatnonzero(weights[buckets])
-    doc = np.searchsorted(first, hit, side="right") - 1
-    distinct = np.unique(doc * BUCKETS + buckets[hit])
-    return bias + np.bincount(distinct // BUCKETS, weights=weights[distinct % BUCKETS], minlength=len(texts))
+def logits(texts: list, weights: np.ndarray, bias: float, chars: int = 1 << 20) -> np.ndarray:
+    """The sum of the weights of the distinct buckets of each text; about ``chars`` characters are looked at at a time."""
+    out, a = np.full(len(texts), bias), 0
+    ends = np.cumsum([len(t) if t else 0 for t in texts])
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + chars, side="right")))
+        first, buckets = features(texts[a:b])
+        hit = np.flatnonzero(weights[buckets])
+        doc = np.searchsorted(first, hit, side="right") - 1
+        distinct = np.unique(doc * BUCKETS + buckets[hit])
+        out[a:b] += np.bincount(distinct // BUCKETS, weights=weights[distinct % BUCKETS], minlength=b - a)
+        a = b
+    return out
 
 
 def nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = 300, rate: float = 0.05, decay: float = 1e-4):
