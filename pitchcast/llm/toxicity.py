@@ -24,6 +24,7 @@ STARTS = (4, 5, 6)        # lengths, in bytes, of the beginnings of words that a
 #: Bounds of the sample that the classifier is fitted on. Prior and scores cover all rows.
 POSITIVES, UNLABELLED, FEATURES = 2000, 6000, 2048
 THRESHOLD = 0.3
+DECAYS = (1e-4, 1e-3, 1e-2)
 FOLDS, HELD_OUT = 4, 2
 
 
@@ -70,7 +71,7 @@ def logits(texts: list, weights: np.ndarray, bias: float, chars: int = 1 << 20)
     return out
 
 
-def nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = 300, rate: float = 0.05, decay: float = 1e-4):
+def nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = 200, rate: float = 0.05, decay: float = 1e-4):
     """Weights and bias of a linear classifier by the non-negative risk with logistic loss (Adam, whole batches)."""
     x = np.concatenate([x_p, x_u]).astype(np.float32)
     n_p, n_u = len(x_p), len(x_u)
@@ -100,6 +101,15 @@ def _matrix(rows: list, chosen: np.ndarray) -> np.ndarray:
     return out
 
 
+def learn_from(pos: list, unl: list, prior: float, decay: float):
+    """(buckets, weights, bias): the buckets whose share among the positives differs most, by chance's measure, from
+    that among the unlabelled, no more of them than positives, and their weights."""
+    p, u = (np.bincount(np.concatenate(part), minlength=BUCKETS) / len(part) for part in (pos, unl))
+    z = (p - u) / np.sqrt((p * (1 - p) + 1 / len(pos)) / len(pos) + (u * (1 - u) + 1 / len(unl)) / len(unl))
+    chosen = np.sort(np.argsort(-np.abs(z), kind="stable")[:min(FEATURES, len(pos))])
+    return chosen, *nnpu(_matrix(pos, chosen), _matrix(unl, chosen), prior, decay=decay)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
     """(weights, bias), learned from rows outside the held-out fold; None without a confirmed toxic document.
 
@@ -136,12 +146,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     prior = min(max(toxic / n, 1e-3), 0.999)
     if not pos or not unl:
         return None
-    count = lambda part: np.bincount(np.concatenate(part), minlength=BUCKETS) / len(part)
-    p, u = count(pos), count(unl)
-    # the buckets whose share among the positives differs most, by chance's measure, from that among the unlabelled
-    z = (p - u) / np.sqrt((p * (1 - p) + 1 / len(pos)) / len(pos) + (u * (1 - u) + 1 / len(unl)) / len(unl))
-    chosen = np.sort(np.argsort(-np.abs(z), kind="stable")[:FEATURES])
-    w, bias = nnpu(_matrix(pos, chosen), _matrix(unl, chosen), prior)
+    # the decay of least risk on a quarter of the sample that it was not fitted on
+    def risk(decay):
+        chosen, w, bias = learn_from([r for k, r in enumerate(pos) if k % 4], [r for k, r in enumerate(unl) if k % 4], prior, decay)
+        g_p, g_u = (_matrix(part[::4], chosen) @ w + bias for part in (pos, unl))
+        return prior * np.logaddexp(0, -g_p).mean() + max(0.0, np.logaddexp(0, g_u).mean() - prior * np.logaddexp(0, g_p).mean())
+
+    chosen, w, bias = learn_from(pos, unl, prior, min(DECAYS, key=risk) if min(len(pos), len(unl)) >= 8 else DECAYS[-1])
     weights = np.zeros(BUCKETS)
     weights[chosen] = w
     return weights, bias
