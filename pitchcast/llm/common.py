@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchcast.session import ensure_checkpoint_dir
+from pitchcast.session import _SCRATCH, ensure_checkpoint_dir
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -54,4 +54,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _SCRATCH.append(path)   # release_materialized deletes it
     return spark.read.schema(df.schema).parquet(path)
