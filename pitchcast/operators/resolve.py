@@ -27,7 +27,6 @@ from ..dims import Dictionaries
 from ..functions.dates import infer_season, lenient_date
 from ..functions.scoring import brier_score, result_code
 from ..functions.text import canonical_name, strip_ws
-from ..session import ensure_parallelism
 from ..session import materialize as _materialize
 from ..sources.schema import conform
 from .names import name_map
@@ -60,7 +59,6 @@ def _dating(preds: DataFrame) -> tuple[Column, Column, Column]:
 
 def prepare_predictions(preds: DataFrame, d: Dictionaries, run_date: str) -> DataFrame:
     """Adds canonical names, season and the admissible fixture-date interval."""
-    preds = ensure_parallelism(preds)
     dated, mdate, ref = _dating(preds)
     pub = F.col("publish_date")
     lo = F.when(dated, F.date_sub(mdate, dims.DATED_TOLERANCE_DAYS)).otherwise(pub)
@@ -78,8 +76,10 @@ def prepare_predictions(preds: DataFrame, d: Dictionaries, run_date: str) -> Dat
 def prepare_fixtures(fixtures: DataFrame, d: Dictionaries, run_date: str,
                      kept_rounds: DataFrame | None = None) -> DataFrame:
     """Finished fixtures with canonical names, parsed scores and a season."""
-    fx = ensure_parallelism(fixtures.where(F.col("status") == d.finished_status))
-    if kept_rounds is not None and "round_no" in fixtures.columns:
+    fx = fixtures.where(F.col("status") == d.finished_status)
+    if kept_rounds is not None:
+        if "round_no" not in fixtures.columns:
+            raise ValueError("the round cut-off needs a round_no in each fixture")
         fx = fx.join(kept_rounds.select("competition", "season", "round_no"),
                      ["competition", "season", "round_no"], "left_semi")
     season = infer_season(F.col("competition"), F.col("event_date"), run_date, d)

@@ -18,7 +18,6 @@ from ..functions.text import parse_video_id
 from ..sources.schema import PREDICTION_COLUMNS, conform
 
 _LOG_SCHEMA = "version long, path string"
-_MAX_VERSION_PROBES = 100
 
 
 def new_videos(video_list: DataFrame, existing: DataFrame) -> DataFrame:
@@ -53,17 +52,10 @@ def dedupe_latest(rows: DataFrame, key: str = "prediction_id") -> DataFrame:
 def upsert(existing: DataFrame, new: DataFrame) -> DataFrame:
     """existing ∪ new, latest wins per prediction, conformed to the table schema.
 
-    Only stored rows whose id occurs in the new batch take part in the
-    latest-wins window; every other stored row passes through an anti-join
-    untouched (a broadcast probe when AQE sees a small batch), so the table is
-    not sorted per run, only the touched ids are.
+    All rows take part, so that a stored table that already repeats an id comes
+    out with one row for it as well.
     """
-    e, n = conform(existing), conform(new)
-    ids = n.select("prediction_id").distinct()
-    untouched = e.join(ids, "prediction_id", "left_anti")
-    touched = e.join(ids, "prediction_id", "left_semi")
-    merged = dedupe_latest(union_batches(touched, n)).drop("_is_new")
-    return untouched.unionByName(conform(merged))
+    return conform(dedupe_latest(union_batches(conform(existing), conform(new))).drop("_is_new"))
 
 
 def ordered_for_write(df: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -85,25 +77,38 @@ def latest_version_path(spark: SparkSession, base: str) -> str | None:
     files are in place, so a half-written version is never read.
     """
     try:
-        log = spark.read.schema(_LOG_SCHEMA).json(_log_path(base))
-        row = log.agg(F.max("version").alias("v")).first()
-    except Exception:  # no table yet
-        return None
-    if row is None or row["v"] is None:
-        return None
-    return f"{base.rstrip('/')}/version={row['v']:08d}"
+        log = spark.read.schema(_LOG_SCHEMA).option("mode", "FAILFAST").json(_log_path(base))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":   # no table yet; anything else is an error
+            return None
+        raise
+    last = log.agg(F.max_by("path", "version").alias("path"), F.count_if(F.col("version").isNull() | F.col("path").isNull()).alias("bad")).first()
+    if last["bad"] or last["path"] is None:
+        raise ValueError(f"the commit log of {base} cannot be read")
+    return last["path"]
 
 
-def write_version(spark: SparkSession, df: DataFrame, base: str, partitions: int | None = None) -> str:
+class StaleVersion(RuntimeError):
+    """Another writer has committed since the version that the data was built on."""
+
+
+_ANY = object()
+
+
+def write_version(spark: SparkSession, df: DataFrame, base: str, partitions: int | None = None, built_on=_ANY) -> str:
     """Write ``df`` as the next version of the table at ``base`` and commit it; returns its path.
 
-    The data goes to a fresh ``version=N`` folder (``errorifexists``: two
-    writers can never mix files), then one row is appended to the commit log.
+    The data goes to a folder that no attempt has used, then one row is appended to the commit
+    log. ``built_on`` is the path that ``latest_version_path`` gave when ``df`` was
+    read (None: no table): if another version has been committed since, nothing is
+    committed and StaleVersion is raised, so the caller reads again and retries.
     """
-    current = latest_version_path(spark, base)
-    nxt = 1 if current is None else int(current.rsplit("=", 1)[1]) + 1
+    started = latest_version_path(spark, base)
+    if built_on is not _ANY and started != built_on:
+        raise StaleVersion(base)
+    nxt = 1 if started is None else int(started.rsplit("version=", 1)[1][:8]) + 1
     out = ordered_for_write(conform(df), partitions)
-    for _ in range(_MAX_VERSION_PROBES):
+    while True:
         path = f"{base.rstrip('/')}/version={nxt:08d}"
         try:
             out.write.mode("errorifexists").parquet(path)
@@ -112,8 +117,8 @@ def write_version(spark: SparkSession, df: DataFrame, base: str, partitions: int
             if "PATH_ALREADY_EXISTS" not in str(e) and "already exists" not in str(e):
                 raise
             nxt += 1
-    else:
-        raise RuntimeError(f"no free version folder under {base}")
+    if latest_version_path(spark, base) != started:
+        raise StaleVersion(base)
     (spark.createDataFrame([(nxt, path)], _LOG_SCHEMA)
      .coalesce(1).write.mode("append").json(_log_path(base)))
     return path

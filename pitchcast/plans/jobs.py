@@ -83,12 +83,13 @@ def publish_job(spark: SparkSession, table_base: str, resolved: DataFrame, param
     The resolved batch is materialized once (it feeds the write and the
     counters); afterwards every scratch copy of the run is deleted.
     """
+    built_on = S.latest_version_path(spark, table_base)
     existing = read_predictions(spark, table_base)
     scratch = scratch_inputs(resolved)                    # this run's resolution copies
     batch = materialize(resolved, "resolved-batch")       # resolution runs once
     scratch += scratch_inputs(batch)
     result = S.upsert(existing, batch)
-    path = None if params.dry_run else S.write_version(spark, result, table_base, partitions)
+    path = None if params.dry_run else S.write_version(spark, result, table_base, partitions, built_on)
     counters_df = S.run_counters(existing, batch, result)
     counters = spark.createDataFrame(counters_df.collect(), counters_df.schema)   # one row
     # nothing reads this run's scratch copies any more: free the shared folder

@@ -12,19 +12,21 @@ def build_session(master: str | None = None, app: str = "pitchcast", shuffle_par
                   extra: dict | None = None) -> SparkSession:
     """A session with AQE on, UTC time zone and no UI (local runs and tests).
 
-    On a cluster, pass the master through spark-submit and size
+    Master, memory and shuffle partitions stay as spark-submit has them unless
+    they are passed. On a cluster, pass the master through spark-submit and size
     ``spark.sql.shuffle.partitions`` to the data (AQE coalesces small ones).
     """
-    master = master or os.environ.get("PITCHCAST_MASTER", f"local[{os.environ.get('BENCH_CPUS', '8')}]")
-    b = (SparkSession.builder.master(master).appName(app)
+    b = (SparkSession.builder.appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
-         .config("spark.driver.memory", "16g"))
+         .config("spark.sql.adaptive.skewJoin.enabled", "true"))
+    if master:
+        b = b.master(master)
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -90,18 +92,3 @@ def release_materialized(spark, paths=None) -> int:
         if path.getFileSystem(conf).delete(path, True):
             done += 1
     return done
-
-
-def ensure_parallelism(df):
-    """Spread ``df`` over the cluster's default parallelism before CPU-heavy
-    narrow work (regex chains, JSON parsing) when it reads fewer files than
-    there are cores.
-
-    Decided from metadata only (``inputFiles`` is a driver-side file-index
-    lookup, no job runs): a large table arrives as many files and passes through
-    unchanged; only a few-file input pays a round-robin repartition.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < cores:
-        return df.repartition(cores)
-    return df

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -84,3 +85,28 @@ def test_uncommitted_version_is_invisible(spark, tmp_path):
     path = S.write_version(spark, table(spark, [("b", "v2", "A", T2, None, 0.2)]), base)
     assert path.endswith("version=00000003")
     assert collect(read_predictions(spark, base), "prediction_id") == [("b",)]
+
+
+def test_unreadable_log_raises(spark, tmp_path):
+    base = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a_1", "a")], "prediction_id string, video_id string")
+    S.write_version(spark, rows, base)
+    with open(tmp_path / "t" / "_versions" / "part-damaged.json", "w") as f:
+        f.write("{not json")
+    with pytest.raises(Exception):
+        S.read_predictions(spark, base) if hasattr(S, "read_predictions") else S.latest_version_path(spark, base)
+
+
+def test_second_writer_on_the_same_base_fails(spark, tmp_path):
+    base = str(tmp_path / "t")
+    one, two = (spark.createDataFrame([(k, k)], "prediction_id string, video_id string") for k in ("a", "b"))
+    seen = S.latest_version_path(spark, base)
+    S.write_version(spark, one, base, built_on=seen)
+    with pytest.raises(S.StaleVersion):
+        S.write_version(spark, two, base, built_on=seen)
+
+
+def test_stored_duplicates_go(spark):
+    e = spark.createDataFrame([("a", "v"), ("a", "v"), ("b", "v")], "prediction_id string, video_id string")
+    n = spark.createDataFrame([("c", "v")], "prediction_id string, video_id string")
+    assert sorted(r["prediction_id"] for r in S.upsert(e, n).collect()) == ["a", "b", "c"]
