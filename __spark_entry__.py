@@ -261,7 +261,7 @@ def q_transcript_assembly(spark, sf):
 def q_extraction_requests(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.col("text").alias("transcript"))
     r = X.extraction_requests(docs)
-    return r.select("doc_id", "request", "truncated", F.char_length("request").alias("request_chars"))
+    return r.select("doc_id", "request_no", "n_requests", "request", "truncated", F.char_length("request").alias("request_chars"))
 
 
 def q_parse_responses(spark, sf):

@@ -199,9 +199,11 @@ def resolution(pred_source: str = "v_predictions") -> dict[str, str]:
 def overrides_ctes() -> dict[str, str]:
     return {
         "ovr": tv.oracle_sql(tv.OVERRIDES),
-        "ov": """select trim(prediction_id) as prediction_id, home_goals, away_goals,
+        "ov": """select trim(prediction_id) as prediction_id, cast(cast(home_goals as double) as integer) as home_goals,
+                   cast(away_goals as integer) as away_goals,
                    trim(match_date) as match_date, trim(match_type) as match_type
-                 from ovr where prediction_id is not null and trim(prediction_id) <> ''""",
+                 from ovr where home_goals <> 'x'
+                 qualify row_number() over (partition by trim(prediction_id) order by line_no desc) = 1""",
     }
 
 
@@ -461,10 +463,14 @@ def all_oracles() -> dict[str, str]:
         select r.conv_id, min(r.role) as lang, string_agg(r.text, ' ' order by r.turn) as transcript
         from ranked r join best b on r.conv_id = b.conv_id and r.rk = b.rk group by r.conv_id"""
     q["extraction_requests"] = f"""
-        select doc_id, req as request, truncated, cast(length(req) as integer) as request_chars
-        from (select doc_id, concat('Extract all match predictions from this transcript:', chr(10), chr(10),
-                                    substring(text, 1, {dims.TRANSCRIPT_CHAR_CAP})) as req,
-                     length(text) > {dims.TRANSCRIPT_CHAR_CAP} as truncated from documents) d"""
+        select doc_id, cast(k + 1 as integer) as request_no, cast(n as integer) as n_requests, req as request,
+               truncated, cast(length(req) as integer) as request_chars
+        from (select doc_id, k, n, concat('Extract all match predictions from this transcript:', chr(10), chr(10),
+                                          substring(text, k * {dims.TRANSCRIPT_CHAR_CAP} + 1, {dims.TRANSCRIPT_CHAR_CAP})) as req,
+                     length(text) > {dims.TRANSCRIPT_CHAR_CAP} as truncated
+              from (select doc_id, text, n, unnest(range(n)) as k
+                    from (select doc_id, text, greatest(1, (coalesce(length(text), 0) + {dims.TRANSCRIPT_CHAR_CAP - 1})
+                                                           // {dims.TRANSCRIPT_CHAR_CAP}) as n from documents) c) p) d"""
     q["parse_responses"] = """
         select concat('ev', lpad(cast(event_id as varchar), 9, '0')) as video_id,
                event_id % 7 in (0, 3, 4, 5, 6) as parse_ok,

@@ -62,8 +62,3 @@ def strip_fence(raw) -> Column:
     s = strip_ws(raw)
     s = F.regexp_replace(s, r"^```(?:json)?\s*", "")
     return F.regexp_replace(s, r"\s*```$", "")
-
-
-def truncate_chars(text, n: int) -> Column:
-    """First ``n`` characters (code points) of a text."""
-    return F.substring(_col(text), 1, n)

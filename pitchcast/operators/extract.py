@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import dims
 from ..functions.dates import lenient_date
 from ..functions.scoring import classify_match_type
-from ..functions.text import strip_fence, truncate_chars
+from ..functions.text import strip_fence
 
 # Strict JSON-array shape: the whole text must be one bracketed value.
 _ARRAY_TEXT = r"(?s)^\s*\[.*\]\s*$"
@@ -44,9 +44,18 @@ def assemble_transcripts(segments: DataFrame, languages=("es", "en"), key="video
 
 def extraction_requests(transcripts: DataFrame, text="transcript",
                         cap: int = dims.TRANSCRIPT_CHAR_CAP) -> DataFrame:
-    """The user message sent to the extractor: fixed prefix + first ``cap`` characters."""
-    body = truncate_chars(F.col(text), cap)
-    return transcripts.select(
+    """The user messages sent to the extractor: fixed prefix + ``cap`` characters of the text.
+
+    A longer text is sent whole, in ``n_requests`` messages in order of
+    ``request_no`` (from 1), and is marked ``truncated`` in each; a null text has
+    one null message, an empty one the prefix alone.
+    """
+    chars = F.coalesce(F.char_length(F.col(text)), F.lit(0))
+    n = F.greatest(F.ceil(chars / F.lit(cap)).cast("int"), F.lit(1))
+    pieces = transcripts.select("*", n.alias("n_requests")).select(
+        "*", F.explode(F.sequence(F.lit(1), F.col("n_requests"))).alias("request_no"))
+    body = F.substring(F.col(text), (F.col("request_no") - 1) * F.lit(cap) + 1, F.lit(cap))
+    return pieces.select(
         "*",
         F.concat(F.lit(dims.EXTRACTION_PREFIX), body).alias("request"),
         (F.char_length(F.col(text)) > cap).alias("truncated"))

@@ -4,15 +4,18 @@ Plan shape (see README "Resolution at scale"):
 
 * canonical names are computed inline (narrow, codegen), fuzzy equality is an
   equi-join through ``names.name_map`` (no nested loop);
-* the date rule becomes an interval per prediction and a 46-day bucket per
+* fixtures are first reduced to the first per (teams, day), predictions to the
+  distinct questions they ask (names, interval); the answers are joined back;
+* the date rule becomes an interval per question and a 46-day bucket per
   fixture, so the candidate join is an equi-join on
-  (competition, fixture home, fixture away, bucket) plus a residual range test;
-* "first fixture in source order" is ``min_by(field, fixture_seq)`` per
-  prediction, a hash aggregate with map-side partial aggregation;
+  (competition, home key, away key, bucket) plus a residual range test, with
+  both sides bounded per key by the days of a bucket;
+* "first fixture in source order" is ``min_by(field, fixture_seq)``, a hash
+  aggregate with map-side partial aggregation;
 * two-leg ties only need the two earliest fixtures per (competition, home,
   away), a ``row_number() <= 2`` that Spark turns into a map-side group limit;
-* an empty canonical name (it matches every team) is a wildcard: that side is
-  left out of the join keys instead of being expanded to every team.
+* an empty canonical name matches every team: it has one key of its own, under
+  which each fixture stands too, instead of being expanded to every team.
 """
 
 from __future__ import annotations
@@ -32,7 +35,9 @@ from ..sources.schema import conform
 from .names import name_map
 
 BUCKET_DAYS = 46  # wider than the 45-day window: an interval touches <= 2 buckets
-NO_DATE_BUCKET = -1
+# buckets of a fixture without a date, and of the first fixture of all days; no day's bucket is this low
+NO_DATE_BUCKET = -1_000_000_000
+EVERY_DAY_BUCKET = -2_000_000_000
 
 FIXTURE_FIELDS = ["fixture_seq", "_hg", "_ag", "event_date"]
 
@@ -153,88 +158,33 @@ def _names(p: DataFrame, fx: DataFrame) -> DataFrame:
     return name_map(pn, xn)
 
 
-def _expand(p: DataFrame, nm: DataFrame, pred_col: str, out_col: str) -> DataFrame:
-    m = nm.select("competition", F.col("pred_name").alias(pred_col), F.col("fix_name").alias(out_col))
-    return p.join(m, ["competition", pred_col])
-
-
-def _keyed_fixtures(fx: DataFrame) -> DataFrame:
-    return fx.withColumnRenamed("_fh", "_kh").withColumnRenamed("_fa", "_ka")
+ANY = "*"   # join key of "every team"; a team's key is "=" and its name, so no name can be it
 
 
 def _bucket(day: Column) -> Column:
     return F.floor(F.unix_date(day) / F.lit(BUCKET_DAYS))
 
 
-# (home side empty?, away side empty?): an empty canonical name matches every
-# team, so such a side is not expanded through the name map (which would fan
-# the prediction out to every team of the competition) but left out of the
-# join keys instead.
-WILDCARD_PATTERNS = [(False, False), (True, False), (False, True), (True, True)]
+def _day_bucket(n: int) -> Column:
+    return F.lit(n).cast("bigint")
 
 
-def present_patterns(p: DataFrame) -> set[tuple[bool, bool, bool]]:
-    """(home empty, away empty, no usable date) combinations that occur in ``p``.
+def _team_keys(name: str) -> Column:
+    """The keys a fixture side is found under: its name, and "every team"."""
+    return F.array(F.concat(F.lit("="), F.col(name)), F.lit(ANY))
 
-    At most eight rows of three booleans reach the driver; branches of the
-    candidate joins that no prediction needs are then not planned at all.
-    """
-    flags = p.select((F.col("_hc") == "").alias("hw"), (F.col("_ac") == "").alias("aw"),
-                     F.col("_lo").isNull().alias("nd")).distinct()
-    return {(bool(r["hw"]), bool(r["aw"]), bool(r["nd"])) for r in flags.collect()
-            if r["hw"] is not None and r["aw"] is not None}
-
-
-def _expanded_branches(p: DataFrame, nm: DataFrame, home_col: str, away_col: str, patterns=None):
-    """[(predictions expanded to fixture-name keys, join keys, pattern)] per wildcard pattern."""
-    nm = nm.where(F.col("pred_name") != "")
-    out = []
-    for home_wild, away_wild in WILDCARD_PATTERNS:
-        if patterns is not None and not any(pw == (home_wild, away_wild) for pw in patterns):
-            continue
-        side = lambda c, wild: (F.col(c) == "") if wild else (F.col(c) != "")
-        sub = p.where(side(home_col, home_wild) & side(away_col, away_wild))
-        keys = ["competition"]
-        if not home_wild:
-            sub, keys = _expand(sub, nm, home_col, "_kh"), keys + ["_kh"]
-        if not away_wild:
-            sub, keys = _expand(sub, nm, away_col, "_ka"), keys + ["_ka"]
-        out.append((sub, keys, (home_wild, away_wild)))
-    return out
-
-
-def single_leg_candidates(p: DataFrame, fx: DataFrame, nm: DataFrame, patterns=None) -> DataFrame:
-    """Every (prediction, fixture) pair passing names, date rule and usable scores.
-
-    ``patterns``: the (home empty, away empty, no date) combinations to plan;
-    by default the ones present in ``p`` (``present_patterns``).
-    """
-    patterns = present_patterns(p) if patterns is None else patterns
-    base = p.select("prediction_id", "competition", "_hc", "_ac", "_lo", "_hi")
-    fxk = _keyed_fixtures(fx.where(F.col("_hg").isNotNull() & F.col("_ag").isNotNull()))
-    fxb = fxk.withColumn("_b", F.coalesce(_bucket(F.col("event_date")), F.lit(NO_DATE_BUCKET).cast("bigint")))
-    cols = ["prediction_id"] + FIXTURE_FIELDS
-    parts = []
-    wild = None if patterns is None else {(h, a) for h, a, _ in patterns}
-    for pairs, keys, (hw, aw) in _expanded_branches(base, nm, "_hc", "_ac", wild):
-        if patterns is None or (hw, aw, False) in patterns:
-            # a usable interval probes <= 2 date buckets + the no-date bucket
-            probe = pairs.where(F.col("_lo").isNotNull()).select(
-                "*", F.explode(F.array_distinct(F.array(_bucket(F.col("_lo")), _bucket(F.col("_hi")),
-                                                        F.lit(NO_DATE_BUCKET).cast("bigint")))).alias("_b"))
-            dated = (probe.join(fxb, keys + ["_b"])
-                     .where(F.col("event_date").isNull()
-                            | F.col("event_date").between(F.col("_lo"), F.col("_hi"))))
-            parts.append(dated.select(*cols))
-        if patterns is None or (hw, aw, True) in patterns:
-            # no usable date on the prediction: the rule is skipped
-            parts.append(pairs.where(F.col("_lo").isNull()).join(fxk, keys).select(*cols))
-    empty = fxk.select(F.lit(None).cast("string").alias("prediction_id"), *FIXTURE_FIELDS).where(F.lit(False))
-    return reduce(DataFrame.unionByName, parts, empty)
-
-
-def _first(df: DataFrame, name: str) -> DataFrame:
-    """The candidate with the smallest ``fixture_seq`` per prediction, as struct ``name``.
+
+def _with_keys(q: DataFrame, nm: DataFrame, name: str, out: str) -> DataFrame:
+    """``q`` with the fixture keys of its names: those the name map pairs with the name, or for an empty
+    name, which every name contains, the one key of every team."""
+    named = nm.where(F.col("pred_name") != "").select("competition", F.col("pred_name").alias(name), "fix_name")
+    key = F.when(F.col(name) == "", F.lit(ANY)).otherwise(F.concat(F.lit("="), F.col("fix_name")))
+    return (q.join(named, ["competition", name], "left").withColumn(out, key)
+            .where(F.col(out).isNotNull()).drop("fix_name"))
+
+
+def _first(df: DataFrame, by: list[str]) -> DataFrame:
+    """The fixture with the smallest ``fixture_seq`` per ``by``.
 
     One ``min_by`` per fixed-width field (all ordered by the same, unique
     sequence, so they pick the same fixture): fixed-width buffers keep this a
@@ -242,25 +192,84 @@ def _first(df: DataFrame, name: str) -> DataFrame:
     would fall back to a sort aggregate.
     """
     seq = F.col("fixture_seq")
-    picked = df.groupBy("prediction_id").agg(
-        F.min(seq).alias("_s"),
-        *[F.min_by(F.col(c), seq).alias("_" + c) for c in FIXTURE_FIELDS if c != "fixture_seq"])
-    fields = [F.col("_s").alias("fixture_seq")] + [F.col("_" + c).alias(c) for c in FIXTURE_FIELDS
-                                                   if c != "fixture_seq"]
-    return picked.select("prediction_id", F.struct(*fields).alias(name))
+    return df.groupBy(*by).agg(
+        *[F.min_by(F.col(c), seq).alias(c) for c in FIXTURE_FIELDS if c not in ("fixture_seq", *by)],
+        F.min(seq).alias("fixture_seq"))
+
+
+def _answers(p: DataFrame, answers: DataFrame, on: list[str]) -> DataFrame:
+    """(prediction_id, answer fields) for the predictions whose question has an answer."""
+    a = answers.select(*[F.col(c).alias("q" + c) if c in on else F.col(c) for c in answers.columns])
+    cond = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col("q" + c)) for c in on])
+    return p.select("prediction_id", *on).join(a, cond).drop(*on, *["q" + c for c in on])
+
+
+# --------------------------------------------------------------------------- matching
+
+def first_fixtures(fx: DataFrame) -> DataFrame:
+    """Usable fixtures reduced to the first per (competition, home key, away key, day).
+
+    Fixtures that agree on these are interchangeable for "the first in source
+    order", so a pair of teams keeps one row a day however many fixtures it has.
+    ``_b`` is the day's bucket, ``NO_DATE_BUCKET`` for undated fixtures (they
+    suit every interval) or ``EVERY_DAY_BUCKET`` for the first of all days,
+    which a prediction without a usable date takes; ``_day`` is the day to test.
+    """
+    usable = fx.where(F.col("_hg").isNotNull() & F.col("_ag").isNotNull())
+    daily = _first(usable, ["competition", "_fh", "_fa", "event_date"])
+    days = F.array(
+        F.struct(F.coalesce(_bucket(F.col("event_date")), _day_bucket(NO_DATE_BUCKET)).alias("_b"),
+                 F.col("event_date").alias("_day")),
+        F.struct(_day_bucket(EVERY_DAY_BUCKET).alias("_b"), F.lit(None).cast("date").alias("_day")))
+    wide = (daily.withColumn("_kh", F.explode(_team_keys("_fh"))).withColumn("_ka", F.explode(_team_keys("_fa")))
+            .select("competition", "_kh", "_ka", *FIXTURE_FIELDS, F.inline(days)))
+    return _first(wide, ["competition", "_kh", "_ka", "_b", "_day"])
+
+
+def single_leg_questions(p: DataFrame) -> DataFrame:
+    """What the predictions ask, each question once: names and interval of days."""
+    return p.select("competition", "_hc", "_ac", "_lo", "_hi").distinct()
+
+
+def single_leg_candidates(q: DataFrame, fx: DataFrame, nm: DataFrame) -> DataFrame:
+    """(question, fixture) pairs that pass names, date rule and usable scores.
+
+    Both sides of the join are bounded per key by days, not rows: at most one
+    fixture a day, at most one question per interval. The pairs grow with the
+    distinct questions.
+    """
+    dated = F.array_distinct(F.array(_bucket(F.col("_lo")), _bucket(F.col("_hi")), _day_bucket(NO_DATE_BUCKET)))
+    probes = F.when(F.col("_lo").isNull(), F.array(_day_bucket(EVERY_DAY_BUCKET))).otherwise(dated)
+    asked = _with_keys(_with_keys(q, nm, "_hc", "_kh"), nm, "_ac", "_ka").withColumn("_b", F.explode(probes))
+    return (asked.join(first_fixtures(fx), ["competition", "_kh", "_ka", "_b"])
+            .where(F.col("_day").isNull() | F.col("_day").between(F.col("_lo"), F.col("_hi")))
+            .select(*q.columns, *FIXTURE_FIELDS))
 
 
-def resolve_single_leg(p: DataFrame, fx: DataFrame, nm: DataFrame, patterns=None) -> DataFrame:
+def resolve_single_leg(p: DataFrame, fx: DataFrame, nm: DataFrame) -> DataFrame:
     """(prediction_id, fixture_seq, home_goals, away_goals, actual_result, event_date)."""
-    first = _first(single_leg_candidates(p, fx, nm, patterns), "m")
+    q = single_leg_questions(p)
+    found = _first(single_leg_candidates(q, fx, nm), q.columns)
+    first = _first(_answers(p, found, q.columns), ["prediction_id"])
     return first.select(
-        "prediction_id", F.col("m.fixture_seq").alias("fixture_seq"),
-        F.col("m._hg").alias("home_goals"), F.col("m._ag").alias("away_goals"),
-        result_code(F.col("m._hg"), F.col("m._ag")).alias("actual_result"),
-        F.col("m.event_date").alias("event_date"))
+        "prediction_id", "fixture_seq", F.col("_hg").alias("home_goals"), F.col("_ag").alias("away_goals"),
+        result_code(F.col("_hg"), F.col("_ag")).alias("actual_result"), "event_date")
+
+
+def _two_earliest(fx: DataFrame) -> DataFrame:
+    """The two earliest fixtures per (competition, home key, away key): first per pair of teams,
+    a map-side group limit, then of those per key."""
+    def two(df, *keys):
+        w = Window.partitionBy("competition", *keys).orderBy("fixture_seq")
+        return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 2).drop("_rn")
+
+    pairs = two(fx.select("competition", "_fh", "_fa", *FIXTURE_FIELDS), "_fh", "_fa")
+    wide = (pairs.withColumn("_kh", F.explode(_team_keys("_fh"))).withColumn("_ka", F.explode(_team_keys("_fa")))
+            .select("competition", "_kh", "_ka", *FIXTURE_FIELDS))
+    return two(wide, "_kh", "_ka")
 
 
-def resolve_two_leg(p: DataFrame, fx: DataFrame, nm: DataFrame, d: Dictionaries, patterns=None) -> DataFrame:
+def resolve_two_leg(p: DataFrame, fx: DataFrame, nm: DataFrame, d: Dictionaries) -> DataFrame:
     """Aggregate resolution of knockout ties in the aggregate competitions.
 
     leg1 = first fixture in the predicted orientation; leg2 = first fixture in
@@ -268,52 +277,42 @@ def resolve_two_leg(p: DataFrame, fx: DataFrame, nm: DataFrame, d: Dictionaries,
     prechecked).  Returns one row per candidate having both legs, with
     ``status`` in {resolved, tied, unusable}.
     """
+    on = ["competition", "_hc", "_ac"]
     cand = p.where((F.col("match_type") == "knockout")
                    & F.col("competition").isin(*d.aggregate_competitions))
-    cand = cand.select("prediction_id", "competition", "_hc", "_ac")
-    fxk = _keyed_fixtures(fx)
-    cols = ["prediction_id"] + FIXTURE_FIELDS
-
-    def two_earliest(keys):
-        w = Window.partitionBy(*keys).orderBy("fixture_seq")
-        return fxk.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 2).drop("_rn")
-
-    patterns = present_patterns(p) if patterns is None else patterns
-    wild = {(h, a) for h, a, _ in patterns}
-    empty = fxk.select(F.lit(None).cast("string").alias("prediction_id"), *FIXTURE_FIELDS).where(F.lit(False))
-
-    def orientation(home_col, away_col, present):
-        return reduce(DataFrame.unionByName, [
-            sub.join(two_earliest(keys), keys).select(*cols)
-            for sub, keys, _ in _expanded_branches(cand, nm, home_col, away_col, present)], empty)
-
-    o1 = orientation("_hc", "_ac", wild)     # predicted orientation
-    o2 = orientation("_ac", "_hc", None if wild is None else {(a, h) for h, a in wild})  # reversed
-    leg1 = _first(o1, "leg1")
-    leg2 = _first(o2.join(leg1.select("prediction_id", F.col("leg1.fixture_seq").alias("_l1")), "prediction_id")
-                  .where(F.col("fixture_seq") != F.col("_l1")).drop("_l1"), "leg2")
-    legs = leg1.join(leg2, "prediction_id")
-    h1, a1, h2, a2 = (F.col("leg1._hg"), F.col("leg1._ag"), F.col("leg2._hg"), F.col("leg2._ag"))
+    q = cand.select(*on).distinct()
+    earliest = _two_earliest(fx)
+
+    def orientation(home_col, away_col):
+        asked = _with_keys(_with_keys(q, nm, home_col, "_kh"), nm, away_col, "_ka")
+        return asked.join(earliest, ["competition", "_kh", "_ka"]).select(*on, *FIXTURE_FIELDS)
+
+    def leg(df, n):
+        return _first(df, on).withColumnsRenamed({c: f"l{n}_{c}" for c in FIXTURE_FIELDS})
+
+    leg1 = leg(orientation("_hc", "_ac"), 1)
+    back = (orientation("_ac", "_hc").join(leg1.select(*on, "l1_fixture_seq"), on)
+            .where(F.col("fixture_seq") != F.col("l1_fixture_seq")).drop("l1_fixture_seq"))
+    legs = _answers(cand, leg1.join(leg(back, 2), on), on).dropDuplicates(["prediction_id"])
+    h1, a1, h2, a2 = (F.col("l1__hg"), F.col("l1__ag"), F.col("l2__hg"), F.col("l2__ag"))
     usable = h1.isNotNull() & a1.isNotNull() & h2.isNotNull() & a2.isNotNull()
     t1, t2 = h1 + a2, a1 + h2
     status = F.when(~usable, "unusable").when(t1 == t2, "tied").otherwise("resolved")
     return legs.select(
         "prediction_id",
-        F.col("leg1.fixture_seq").alias("leg1_seq"), F.col("leg2.fixture_seq").alias("leg2_seq"),
+        F.col("l1_fixture_seq").alias("leg1_seq"), F.col("l2_fixture_seq").alias("leg2_seq"),
         F.when(usable, t1).alias("home_goals"), F.when(usable, t2).alias("away_goals"),
         F.when(usable & (t1 != t2), result_code(t1, t2)).alias("actual_result"),
-        F.col("leg2.event_date").alias("event_date"),
+        F.col("l2_event_date").alias("event_date"),
         status.alias("status"))
 
 
-def resolve_results(p: DataFrame, fx: DataFrame, d: Dictionaries, nm: DataFrame | None = None,
-                    patterns=None) -> DataFrame:
+def resolve_results(p: DataFrame, fx: DataFrame, d: Dictionaries, nm: DataFrame | None = None) -> DataFrame:
     """Dispatch: a resolved aggregate wins, anything else (incl. a tie) falls
     through to the single-leg matcher.  One row per resolved prediction."""
     nm = _names(p, fx) if nm is None else nm
-    patterns = present_patterns(p) if patterns is None else patterns
-    agg = resolve_two_leg(p, fx, nm, d, patterns).where(F.col("status") == "resolved")
-    one = resolve_single_leg(p, fx, nm, patterns)
+    agg = resolve_two_leg(p, fx, nm, d).where(F.col("status") == "resolved")
+    one = resolve_single_leg(p, fx, nm)
     a = agg.select("prediction_id", *[F.col(c).alias("a_" + c) for c in
                                       ("home_goals", "away_goals", "actual_result", "event_date")])
     s = one.select("prediction_id", *[F.col(c).alias("s_" + c) for c in
@@ -334,11 +333,11 @@ def prepared_inputs(preds: DataFrame, fixtures: DataFrame, d: Dictionaries, run_
     """(prepared predictions, fixtures restricted to the fetch plan, name map).
 
     Each of the three feeds several branches (single leg, both two-leg
-    orientations, dispatch).  With ``materialize`` they are computed once and
+    orientations, dispatch).  With ``materialize`` they are computed at once and
     written to the reliable checkpoint folder (``spark.checkpoint.dir``): the
-    canonicalisation runs once per row instead of once per branch, the later
-    plans start from small leaves, and a lost executor re-reads the files
-    instead of recomputing the lineage.
+    canonicalisation runs once per row instead of once per branch, and a lost
+    executor re-reads the files instead of recomputing the lineage.  Without it
+    they stay lazy, and each branch computes them again.
     """
     cols = ["prediction_id", "competition", "match_type", "_hc", "_ac", "_season", "_mdate", "_lo", "_hi"]
     p = supported(prepare_predictions(preds, d, run_date), d).select(*cols)
@@ -357,23 +356,50 @@ def prepared_inputs(preds: DataFrame, fixtures: DataFrame, d: Dictionaries, run_
 def conform_overrides(raw: DataFrame) -> DataFrame:
     """Trimmed ids, blanks dropped, the last line per id wins.
 
-    Line order is the ``line_no`` column; without it, the order rows arrive in
-    (monotonic id: split, then position) stands in, which is file order for a
-    single file.
+    Line order is the ``line_no`` column.  Without it there is no order between
+    lines, so an id that occurs twice raises.  Goals are whole numbers, also
+    written as decimals (``2.0``); a line with other goals is no override and
+    stands in ``rejected_overrides``.
     """
-    df = raw if "line_no" in raw.columns else raw.withColumn("line_no", F.monotonically_increasing_id())
+    return _override_rows(raw).where(_usable_goals()).transform(_last_lines)
+
+
+def rejected_overrides(raw: DataFrame) -> DataFrame:
+    """The override lines whose goals are not whole numbers, as they were read."""
+    return _override_rows(raw).where(~_usable_goals()).select("prediction_id", "raw_home_goals", "raw_away_goals")
+
+
+def _usable_goals() -> Column:
+    return F.col("home_goals").isNotNull() & F.col("away_goals").isNotNull()
+
+
+def _whole(c: str) -> Column:
+    v = F.col(c).cast("string").try_cast("decimal(20,6)")
+    return F.when((v == F.floor(v)) & v.between(0, 2**31 - 1), v.cast("int"))
+
+
+def _override_rows(raw: DataFrame) -> DataFrame:
+    df = raw if "line_no" in raw.columns else raw.withColumn("line_no", F.lit(None).cast("bigint"))
     opt = lambda c: (strip_ws(F.col(c).cast("string")) if c in raw.columns
                      else F.lit(None).cast("string"))
     rows = df.select(
         strip_ws(F.col("prediction_id").cast("string")).alias("prediction_id"),
-        F.col("home_goals").cast("string").try_cast("int").alias("home_goals"),
-        F.col("away_goals").cast("string").try_cast("int").alias("away_goals"),
-        opt("match_date").alias("match_date"), opt("match_type").alias("match_type"), "line_no")
-    rows = rows.where(F.col("prediction_id").isNotNull() & (F.col("prediction_id") != ""))
+        _whole("home_goals").alias("home_goals"), _whole("away_goals").alias("away_goals"),
+        opt("match_date").alias("match_date"), opt("match_type").alias("match_type"), "line_no",
+        F.col("home_goals").cast("string").alias("raw_home_goals"),
+        F.col("away_goals").cast("string").alias("raw_away_goals"))
+    return rows.where(F.col("prediction_id").isNotNull() & (F.col("prediction_id") != ""))
+
+
+def _last_lines(rows: DataFrame) -> DataFrame:
     # the last line per id: a hash aggregate over the fixed-width line number,
     # then a semi-join back (a struct/string max_by would need a sort aggregate)
-    last = rows.groupBy("prediction_id").agg(F.max("line_no").alias("line_no"))
-    return (rows.join(last, ["prediction_id", "line_no"], "left_semi")
+    last = rows.groupBy("prediction_id").agg(F.max("line_no").alias("_last"), F.count("*").alias("_n"))
+    last = last.select(F.col("prediction_id").alias("_id"), F.when(
+        F.col("_last").isNull() & (F.col("_n") > 1),
+        F.raise_error(F.concat(F.lit("override lines without line_no repeat the id "), F.col("prediction_id"))).cast("bigint"))
+        .otherwise(F.col("_last")).alias("_last"))
+    return (rows.join(last, (F.col("prediction_id") == F.col("_id")) & F.col("line_no").eqNullSafe(F.col("_last")), "left_semi")
             .select("prediction_id", "home_goals", "away_goals", "match_date", "match_type"))
 
 
@@ -408,9 +434,9 @@ def apply_overrides(preds: DataFrame, overrides: DataFrame) -> DataFrame:
 
 def attach_results(preds: DataFrame, fixtures: DataFrame, d: Dictionaries, run_date: str,
                    fetched_at: str, overrides: DataFrame | None = None,
-                   kept_rounds: DataFrame | None = None) -> DataFrame:
+                   kept_rounds: DataFrame | None = None, materialize: bool = True) -> DataFrame:
     """Override, else resolved fixture, else pending; then score.  17 columns."""
-    p, fx, nm = prepared_inputs(preds, fixtures, d, run_date, kept_rounds)
+    p, fx, nm = prepared_inputs(preds, fixtures, d, run_date, kept_rounds, materialize)
     res = resolve_results(p, fx, d, nm)
     _, own_mdate, _ = _dating(preds)
     base = preds.withColumn("_own_mdate", own_mdate)

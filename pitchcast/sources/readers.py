@@ -6,6 +6,7 @@ pass with pruning and pushdown.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,7 +75,9 @@ def read_overrides(spark: SparkSession, path: str) -> DataFrame | None:
     """Override CSV, raw (see operators.resolve.conform_overrides); None when unusable."""
     try:
         df = spark.read.option("header", True).csv(path)
-    except Exception:  # absent file -> no overrides
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":   # only an absent file means no overrides
+            raise
         return None
     if not {"prediction_id", "home_goals", "away_goals"}.issubset(df.columns):
         return None

@@ -52,9 +52,11 @@ where hn.n_nationkey <> an.n_nationkey
 
 V_ROUNDS = """
 select event_type as competition, cast(ts as date) as season,
-       cast(extract(hour from ts) as int)+1 as round_no, count(*) as n_events,
+       cast(extract(hour from ts) as int) + 1
+         + case when extract(hour from ts) >= 12 then cast(extract(day from ts) as int) % 4 else 0 end as round_no,
+       count(*) as n_events,
        cast(sum(case when value > 20 then 1 else 0 end) as bigint) as n_finished
-from {events} where user_id % 4 = 0 group by 1,2,3
+from {events} group by 1,2,3
 """
 
 # Extractor responses, one per event: two prediction objects per array, with
@@ -116,18 +118,21 @@ select page_id,
 from {pages}
 """
 
-# Manual result corrections for every 50th order, some padded with spaces,
-# some with a date, a valid or an invalid match type.
+# A manual line for every order: whole goals, whole decimals, or (two of three) goals
+# that are no number; some padded with spaces, some with a date, a valid or an
+# invalid match type, and a second line for every fourth order.
 OVERRIDES = """
 select case when o_orderkey % 200 = 0 then concat(' ', pid, ' ') else pid end as prediction_id,
-       cast(o_orderkey % 4 as int) as home_goals,
-       cast(o_custkey % 3 as int) as away_goals,
+       case when o_orderkey % 3 <> 0 then 'x' else concat(cast((o_orderkey + line) % 4 as varchar(5)),
+            case when o_orderkey % 7 = 0 then '.0' else '' end) end as home_goals,
+       case when o_orderkey % 3 <> 0 then '1' else cast(o_custkey % 3 as varchar(5)) end as away_goals,
        case when o_orderkey % 100 = 0 then cast(cast(o_orderdate as date) + 2 as string) end as match_date,
-       case when o_orderkey % 150 = 0 then 'knockout' when o_orderkey % 250 = 0 then 'bogus' end as match_type
-from (select o_orderkey, o_custkey, o_orderdate,
+       case when o_orderkey % 150 = 0 then 'knockout' when o_orderkey % 250 = 0 then 'bogus' end as match_type,
+       cast(o_orderkey * 2 + line as bigint) as line_no
+from (select o_orderkey, o_custkey, o_orderdate, line,
              concat(lpad(cast(o_custkey as varchar(20)),11,'0'),'_',lpad(cast(o_orderkey as varchar(20)),8,'0')) as pid
-      from {orders}) o
-where o_orderkey % 50 = 0
+      from (select *, 0 as line from {orders} union all
+            select *, 1 as line from {orders} where o_orderkey % 4 = 0) l) o
 """
 
 # A later batch touching every stored prediction: re-resolved (newer fetch),

@@ -69,11 +69,14 @@ def test_transcripts_prefer_first_language_and_order(spark):
     assert got == [("v1", "es", "hola mundo"), ("v2", "en", "a b")]
 
 
-def test_requests_truncate_whole_characters(spark):
-    df = spark.createDataFrame([("t1", "ñ" * 10), ("t2", "abc")], "video_id string, transcript string")
-    got = collect(X.extraction_requests(df, cap=5).orderBy("video_id"), "request", "truncated")
+def test_requests_cover_the_whole_text(spark):
+    df = spark.createDataFrame([("t1", "ñ" * 10 + "z"), ("t2", "abc"), ("t3", ""), ("t4", None)],
+                               "video_id string, transcript string")
+    got = collect(X.extraction_requests(df, cap=5).orderBy("video_id", "request_no"),
+                  "request", "truncated", "request_no", "n_requests")
     prefix = "Extract all match predictions from this transcript:\n\n"
-    assert got == [(prefix + "ñ" * 5, True), (prefix + "abc", False)]
+    assert got == [(prefix + "ñ" * 5, True, 1, 3), (prefix + "ñ" * 5, True, 2, 3), (prefix + "z", True, 3, 3),
+                   (prefix + "abc", False, 1, 1), (prefix, False, 1, 1), (None, None, 1, 1)]
 
 
 def test_metadata_first_item_and_empty(spark):
