@@ -240,3 +240,12 @@ def test_pipeline(spark, tmp_path):
     left = {r[0] for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()}
     assert 4000 not in left and 7 not in left and {4001, None} <= left
     assert len([k for k in range(0, 3000, 6) if k in left]) <= 25 and len([k for k in range(3000) if k % 6 and k in left]) >= 2375
+
+
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op2_fingerprints", "op3_decontaminate"])
+def test_native_queries_have_no_python_or_nested_loops(spark, name):
+    from pitchcast.llm import queries as Q
+
+    text = Q.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not [f for f in ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "MapInPandas", "NestedLoopJoin",
+                            "CartesianProduct") if f in text]
