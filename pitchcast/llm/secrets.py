@@ -19,15 +19,30 @@ from pyspark.sql import functions as F
 from .common import stored, table
 from .rolling import Hasher, batched, joined, word_ranges
 
-CANDIDATE = re.compile(r"(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{12,}")
-#: Formats of issued secrets, by which findings in labelled documents are told (fixed values).
-FORMATS = r'^AKIA[0-9A-Z]{16}$|^password=[0-9a-f]{18}$|^[0-9a-f]{40}$'
-CUES = ("token", "key", "secret", "password", "passwd", "pwd", "auth", "credential", "bearer", "private", "api")
+#: A run that may be a secret wherever it stands: 8 or more with a digit, or 20 or more; dots and . ! @ $ ~ within it belong to it.
+RUN = re.compile(r"(?<![A-Za-z0-9+/_.!@$~-])(?:(?=[A-Za-z+/_.!@$~-]*[0-9])[A-Za-z0-9+/_.!@$~-]{8,}|[A-Za-z+/_.!@$~-]{20,})={0,2}")
+#: What is assigned, of any characters: a quoted value whole, another up to a blank. It counts if NAMED meets what stands before.
+ASSIGN = re.compile(r"=>|:=|[=:>]|(?<=[Bb]earer)(?=[ \t])")
+VALUE = re.compile(r"""[ \t]{0,4}(["'`])?(?:(?:[Bb]earer|[Bb]asic)[ \t]+)?((?(1)(?:(?!\1)[^\n]){6,200}(?=\1)|(?:(?!&\w+=)[^\s"'`<]){6,}))""")
+CREDENTIALS = re.compile(r"://[^\s:/@]{0,64}:([^\s@/]{3,200})@")
+CUES = ("token", "key", "secret", "password", "passwd", "passphrase", "pwd", "auth", "credential", "bearer", "private", "api")
+NAMED = re.compile(r"(?i)(?:%s)[\w.-]{0,24}[\"'`\]]{0,2}[ \t]{0,4}$" % "|".join(CUES))
+ASSIGNED = re.compile(NAMED.pattern[:-1] + r"(?:=>|:=|[=:>])[ \t]{0,4}[\"'`]?(?:(?:[Bb]earer|[Bb]asic)[ \t]+)?$|[Bb]earer[ \t]+$|://[^\s:/@]{0,64}:$")
+HASH = re.compile(r"(?i)(?:^|[^a-z])(?:commit|sha-?\d*|md5|hash|digest|checksum|revision|rev|blob|tree|parent|merge|etag|integrity|fingerprint|changeset|crc)s?[^\w]*$")
+#: Families of formats that issuers give their secrets.
+ISSUED = re.compile(r"(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[opsur]_[A-Za-z0-9]{20,}|github_pat_\w{20,}|glpat-[\w-]{16,}|xox[abeoprs]-[\w-]{10,}|[rs]k_(?:live|test)_[A-Za-z0-9]{10,}"
+                    r"|sk-[\w-]{20,}|AIza[\w-]{35}|SG\.[\w-]{10,}\.[\w-]{10,}|(?:npm|hf|pat|shpat|dop_v1|lin_api)_[A-Za-z0-9]{20,}|pypi-[\w-]{20,}|ya29\.[\w.-]{20,}"
+                    r"|eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]*)")
+#: Numbers, dates, addresses, versions, mail addresses, host and file names; and what stands in place of a secret.
+PLAIN = re.compile(r"[\d.,/_+$-]+|v?\d+(?:\.\d+)+[\w.-]*|[\w.+-]+@[\w-]+(?:\.[\w-]+)+|(?:[a-z][a-z0-9_-]*[./])+[a-z]{1,12}\d?"
+                   r"|.*(?i:x{4,}|\*{3,}|change.?me|example|your[_-]|placeholder|redacted|dummy|\$\{|%\().*")
 BUCKETS = 1 << 17
 DICTIONARY = 4096          # buckets of the most frequent words
 SAMPLE = 4000              # labelled findings of each kind that the forest is fitted on, at most
 NAMES = ("length", "digits", "upper", "lower", "hexadecimal", "distinct", "entropy", "transition", "worst_transition",
-         "dictionary", "switches", "cue_before", "cue_inside", "assigned", "quoted", "path_depth", "path_kind", "path_test", "neighbour_words")
+         "dictionary", "switches", "cue_before", "cue_inside", "assigned", "quoted", "path_depth", "path_kind", "path_test", "neighbour_words",
+         "hash_before", "issued", "plain", "named")
+ISSUED_AT = NAMES.index("issued")
 
 
 def _classes() -> np.ndarray:
@@ -64,6 +79,55 @@ def corpus_model(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, n
     return np.log((moves + 1) / (moves.sum(axis=1, keepdims=True) + KINDS)), known & (words > 0)
 
 
+def spans(text: str):
+    """(start, end) of the candidates of a text in order: values of names that tell of a secret, credentials in addresses,
+    and what else of the runs lies outside those."""
+    taken, at = [], 0
+    while m := ASSIGN.search(text, at):
+        a = m.start()
+        at = max(m.end(), a + 1)
+        if text.startswith("://", a):
+            if value := CREDENTIALS.match(text, a):
+                taken.append(value.span(1))
+                at = value.end()
+        elif (not m.group() or NAMED.search(text[max(0, a - 64):a])) and (value := VALUE.match(text, m.end())):
+            a, b = value.span(2)
+            if not value.group(1):
+                b = a + len(value.group(2).rstrip(",;)]}>").removesuffix("."))
+            if b - a >= 6:
+                taken.append((a, b))
+                at = value.end()
+    out, k = list(taken), 0
+    for m in RUN.finditer(text):
+        a, end = m.span()
+        while k < len(taken) and taken[k][1] <= a:
+            k += 1
+        rest, j = [], k
+        while j < len(taken) and taken[j][0] < end:
+            rest.append((a, taken[j][0]))
+            a = taken[j][1]
+            j += 1
+        for a, b in [*rest, (a, end)]:
+            piece = text[a:b].rstrip(".!@$~/")
+            b = a + len(piece)
+            a = b - len(piece.lstrip(".!@$~/"))
+            if b - a >= 20 or b - a >= 8 and any(c.isdigit() for c in text[a:b]):
+                out.append((a, b))
+    return sorted(out)
+
+
+def evidence(found: str, before: str) -> bool | None:
+    """True for a secret, by an issuer's format or the name that it is assigned to; False for what is plain, or named
+    as a hash; None if nothing tells, or both."""
+    if ISSUED.fullmatch(found):
+        return True
+    named = ASSIGNED.search(before)
+    not_one = bool(PLAIN.fullmatch(found) or HASH.search(before) or before.endswith("://"))
+    if named and len(set(found)) >= 5 and re.search(r"[^a-z_.]", found):
+        return None if not_one else True
+    return False if not_one and not named else None
+
+
 def describe(found: str, before: str, after: str, path: str, model) -> list[float]:
     """The features of a candidate, in the order of NAMES."""
     moves, known = model
@@ -87,11 +151,12 @@ def describe(found: str, before: str, after: str, path: str, model) -> list[floa
             float(steps.mean()), float(steps.min()), covered / len(raw), float((np.diff(group) != 0).mean()),
             float(any(c in w for w in words for c in CUES)), float(any(c in found.lower() for c in CUES)),
             float(before.rstrip(" \"'")[-1:] in ("=", ":")), float(before[-1:] in ("'", '"') and after[:1] in ("'", '"')),
-            float(len(parts)), float(sum(parts[-1].rpartition(".")[2].encode()) % 64), float("test" in path.lower() or "example" in path.lower()), float(len(words))]
+            float(len(parts)), float(sum(parts[-1].rpartition(".")[2].encode()) % 64), float("test" in path.lower() or "example" in path.lower()), float(len(words)),
+            float(bool(HASH.search(before))), float(bool(ISSUED.fullmatch(found))), float(bool(PLAIN.fullmatch(found))), float(evidence(found, before) is True)]
 
 
 def candidates(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """(id, start, end, found, features): every candidate of every whole text, in code points. Null texts and paths are
+    """(id, start, end, found, features, evidence): every candidate of every whole text, in code points. Null texts and paths are
     empty. A text is read by a pattern once, and candidates are few, so nothing is shuffled."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -99,17 +164,19 @@ def candidates(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "
 
     def scan(batches):
         for batch in batches:
-            row, start, end, found, features = [], [], [], [], []
+            row, start, end, found, features, told = [], [], [], [], [], []
             for i, (path, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
-                for m in CANDIDATE.finditer(text or ""):
-                    a, b = m.span()
-                    row.append(i), start.append(a), end.append(b), found.append(m.group())
-                    features.append(describe(m.group(), text[max(0, a - 60):a], text[b:b + 20], path, held.value))
+                for a, b in spans(text or ""):
+                    before = text[max(0, a - 60):a]
+                    row.append(i), start.append(a), end.append(b), found.append(text[a:b])
+                    features.append(describe(text[a:b], before, text[b:b + 20], path, held.value))
+                    told.append(evidence(text[a:b], before))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(end, pa.int64()),
-                                              pa.array(found, pa.string()), pa.array(features, pa.list_(pa.float64()))], names=["id", "start", "end", "found", "features"])
+                                              pa.array(found, pa.string()), pa.array(features, pa.list_(pa.float64())), pa.array(told, pa.bool_())],
+                                             names=["id", "start", "end", "found", "features", "evidence"])
 
     return (docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(path, F.lit("")).alias("path"), F.col(f"`{text_col}`").cast("string").alias("text"))
-            .mapInArrow(scan, f"id {kind}, start long, end long, found string, features array<double>"))
+            .mapInArrow(scan, f"id {kind}, start long, end long, found string, features array<double>, evidence boolean"))
 
 
 def grow(x: np.ndarray, y: np.ndarray, rng, depth: int = 8, least: int = 2):
@@ -154,40 +221,76 @@ def vote(forest: list, x: np.ndarray) -> np.ndarray:
     return out / max(len(forest), 1)
 
 
-def fit(findings: DataFrame, labelled: DataFrame) -> list:
+def examples(model, each: int = 40, seed: int = 9) -> tuple[np.ndarray, np.ndarray]:
+    """(features, labels) of made-up findings: secrets of many forms where secrets are written, hashes, names and numbers
+    where those are. A corpus whose findings are all of one form does not tell the forest of the others."""
+    rng = np.random.default_rng(seed)
+    draw = lambda chars, n: "".join(rng.choice(list(chars), n))                                             # noqa: E731
+    hexa, letters, digits = "0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    word = lambda: draw(letters[:26], int(rng.integers(4, 9)))                                             # noqa: E731
+    values = [lambda n=n: draw(hexa, n) for n in (18, 32, 40, 64)] + [
+        lambda: draw(letters + digits + "+/", 42) + "==", lambda: draw(letters + digits, int(rng.integers(16, 33))),
+        lambda: draw(letters[:26] + digits, 24), lambda: draw(letters + digits + "!@$%#.-_", int(rng.integers(8, 17))),
+        lambda: word().title() + draw(digits, 3) + draw("!@$.", 1)]
+    places = ['{} token = "', "{} password=", "{} api_key: ", '{} "secret": "', "{} Authorization: Bearer ", "{} DB_PASSWORD='", "{} auth_token="]
+    plain = [(lambda n=n: draw(hexa, n), c) for n in (32, 40, 64) for c in ("{} commit ", "{} sha256: ", "{} {} {} ", '{} checksum = "', "{} revision ", "{} (")] + [
+        (lambda: draw(digits, int(rng.integers(8, 17))), "{} {} "), (lambda: f"20{draw(digits, 2)}-0{draw(digits, 1)}-1{draw(digits, 1)}", "{} on "),
+        (lambda: f"{word()}/{word()}{draw(digits, 1)}.{word()[:3]}", "{} in "), (lambda: f"{word()}{draw(digits, 2)}@{word()}.com", "{} by "),
+        (lambda: f"{word()}_{word()}_{draw(digits, 2)}", "{} = "), (lambda: f"{word()}.{word()}", "{} password = "), (lambda: word() + word(), "{} token: "),
+        (lambda: word() + word() + word() + word(), "{} the ")]
+    x, y = [], []
+    for kind, pairs in ((1.0, [(v, c) for v in values for c in places]), (0.0, plain)):
+        for v, c in pairs:
+            for _ in range(each if not kind else max(1, each * len(plain) // (len(values) * len(places)))):
+                before = c.format(word(), word(), word())
+                x.append(describe(v(), before, before[-1] + " " if before[-1] in "'\"" else " " + word(), word(), model))
+                y.append(kind)
+    return np.array(x), np.array(y)
+
+
+def fit(findings: DataFrame, labelled: DataFrame, known: tuple[np.ndarray, np.ndarray] | None = None) -> list:
     """The forest from findings (id, start, features) and their labels (id, start, is_secret): the first SAMPLE of each
-    kind in the order of a hash of their place. Empty without labels of both kinds."""
+    kind in the order of a hash of their place; and from ``known`` (features, labels) if given. Empty without labels of both kinds."""
     rows = findings.select("id", "start", "features").join(labelled.where("is_secret is not null").dropDuplicates(["id", "start"]), ["id", "start"])
     first = lambda kind: rows.where(F.col("is_secret") == kind).orderBy(F.xxhash64("id", "start")).limit(SAMPLE)
     got = first(True).unionAll(first(False)).select("features", F.col("is_secret").cast("int").alias("y")).toArrow()
     y = got["y"].to_numpy().astype(float)
+    x = np.array(got["features"].to_pylist()).reshape(len(y), len(NAMES))
+    if known is not None:
+        x, y = np.concatenate([x, known[0]]), np.concatenate([y, known[1]])
     if not len(y) or y.min() == y.max():
         return []
-    return train(np.array(got["features"].to_pylist()), y)
+    return train(x, y)
 
 
 def judge(findings: DataFrame, forest: list) -> DataFrame:
     """``findings`` with ``score``, the share of votes for a secret, and ``is_secret``. Without a forest every candidate
-    stays, with score 1."""
+    stays, with score 1; so does one in an issuer's format, of which a forest may have seen no example."""
     held = findings.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")
     def score(features: pd.Series) -> pd.Series:
-        return pd.Series(vote(held.value, np.array(features.tolist()).reshape(len(features), -1)) if held.value else np.ones(len(features)))
+        x = np.array(features.tolist()).reshape(len(features), len(NAMES))
+        return pd.Series(np.where(x[:, ISSUED_AT] == 1, 1.0, vote(held.value, x)) if held.value and len(x) else np.ones(len(x)))
 
     return findings.withColumn("score", score("features")).withColumn("is_secret", F.col("score") >= 0.5)
 
 
-def query(spark, sf):
-    """Findings of all documents. Those in documents of ``labels`` are the labelled ones: a secret if in the format of an
-    issuer, a false positive otherwise; a fifth of them (by crc32 of the id) is held out."""
-    docs = table(spark, sf, "documents")
-    found = stored(candidates(docs, corpus_model(docs)), "candidates")
+def find_secrets(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
+    """Judged findings of all documents, with ``held_out``. Those in documents of ``labels`` of which format or context
+    tells what they are train the forest, beside the made-up ones; those of which nothing tells have no label. A fifth of
+    all documents (by crc32 of the id) is held out."""
+    model = corpus_model(docs, text_col)
+    found = stored(candidates(docs, model, id_col, text_col, path_col), "candidates")
     held_out = F.pmod(F.crc32(F.col("id").cast("string")), F.lit(5)) == 2
-    known = (found.join(table(spark, sf, "labels").select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi").where(~held_out)
-             .select("id", "start", F.col("found").rlike(FORMATS).alias("is_secret")))
-    out = judge(found, fit(found, known))
-    return out.select(F.col("id").alias("doc_id"), "start", "end", F.sha2("found", 256).alias("found_sha256"), held_out.alias("held_out"), "score", "is_secret")
+    known = (found.join(labels.select(F.col(f"`{id_col}`").alias("id")).distinct(), "id", "left_semi").where(~held_out)
+             .where("evidence is not null").select("id", "start", F.col("evidence").alias("is_secret")))
+    return judge(found, fit(found, known, examples(model))).withColumn("held_out", held_out)
+
+
+def query(spark, sf):
+    out = find_secrets(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return out.select(F.col("id").alias("doc_id"), "start", "end", F.sha2("found", 256).alias("found_sha256"), "held_out", "score", "is_secret")
 
 
 SQL = None

@@ -249,3 +249,35 @@ def test_native_queries_have_no_python_or_nested_loops(spark, name):
     text = Q.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not [f for f in ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "MapInPandas", "NestedLoopJoin",
                             "CartesianProduct") if f in text]
+
+
+def test_secrets_of_other_forms(spark):
+    r = random.Random(4)
+    draw = lambda chars, n: "".join(r.choices(chars, k=n))
+    alnum = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    made = {
+        "ghp": (lambda: "ghp_" + draw(alnum, 36), "pushed with {} today"),
+        "stripe": (lambda: "sk_live_" + draw(alnum, 24), "charge {} now"),
+        "jwt": (lambda: f"eyJhbGciOiJIUzI1NiJ9.eyJ{draw(alnum, 30)}.{draw(alnum, 43)}", "Authorization: Bearer {}"),
+        "md5": (lambda: draw("0123456789abcdef", 32), 'api_key = "{}"'),
+        "hex64": (lambda: draw("0123456789abcdef", 64), "SECRET_KEY={}"),
+        "base64": (lambda: draw(alnum + "+/", 42) + "==", 'private_key: "{}"'),
+        "short": (lambda: "Hun" + draw("0123456789", 4) + "!", "password: {}"),
+        "symbols": (lambda: "p@" + draw(alnum, 5) + ".x$" + draw(alnum, 3), "password='{}'"),
+        "letters": (lambda: draw("bcdfghjklmnpqrstvwxzBCDFGHJKLMN", 16), 'token = "{}"'),
+    }
+    hashes = {"commit": "commit {}", "bare": "merged as {} yesterday", "sum": "sha256: {}"}
+    rows, expected = [], {}
+    for k in range(600):
+        kind = r.choice([*made, *hashes])
+        value = made[kind][0]() if kind in made else draw("0123456789abcdef", 40)
+        rows.append((k, f"{text(k, 20)} {made[kind][1] if kind in made else hashes[kind]} ".replace("{}", value) + text(k + 900, 10)))
+        expected[k] = (kind, value)
+    df = docs(spark, rows).withColumn("source", F.lit("src"))
+    out = {}
+    for x in secrets.find_secrets(df, df.where("doc_id < 300").select("doc_id")).collect():
+        out.setdefault(x["id"], {})[x["found"]] = x["is_secret"]
+    for kind in [*made, *hashes]:
+        got = [out.get(k, {}).get(v) for k, (n, v) in expected.items() if n == kind]
+        assert None not in got, kind
+        assert np.mean([g == (kind in made) for g in got]) > 0.9, (kind, np.mean(got))
