@@ -38,7 +38,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sequences to train on, with their ids."""
-    return pack(docs)
+    return pack(docs, added_tokens=True)
 
 
 STAGES = [
