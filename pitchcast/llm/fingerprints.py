@@ -1,12 +1,11 @@
-"""Document fingerprints: a homomorphic multiset hash, the sum of wide vectors hashed from paragraphs modulo a power of two.
+"""Document fingerprints: a homomorphic multiset hash, the sum of wide vectors hashed from paragraphs.
 
 A vector has 120 lanes. A paragraph adds 0 or 1 to each, as the bits of two 64-bit
-hashes of it say; lanes are kept modulo 2^14, four to a long, 15 bits apart. Sums
-do not depend on the order, ``add`` and ``subtract`` insert and delete paragraphs
-without the rest of the text, and lane by lane 2*ones - paragraphs is a random
-projection with signs +1 and -1, so that differences of two sums tell how much of
-two documents is not shared. Lanes of a difference stay near the square root of
-what differs, far within 2^14, whatever the length of the texts.
+hashes of it say; each lane is a long of its own, so that no number of paragraphs
+that a text can have is lost. Sums do not depend on the order, ``add`` and
+``subtract`` insert and delete paragraphs without the rest of the text, and lane by
+lane 2*ones - paragraphs is a random projection with signs +1 and -1, so that
+differences of two sums tell how much of two documents is not shared.
 """
 
 from __future__ import annotations
@@ -17,18 +16,18 @@ from pyspark.sql import functions as F
 from .common import keyed, same, stored, table
 
 LANES = 120
-MODULUS = 1 << 14
-SHIFTS = (0, 15, 30, 45)                      # four lanes in a long
+SHIFTS = (0, 15, 30, 45)                      # four lanes in a long while a block is summed
 ONES = sum(1 << s for s in SHIFTS)
-MASK = sum((MODULUS - 1) << s for s in SHIFTS)
-BORROW = sum(MODULUS << s for s in SHIFTS)
+BLOCK = (1 << 15) - 1                         # paragraphs, so that lanes of 15 bits hold their sums
 PIECE_WORDS = 8
+LONG_RUN = 32                                 # code points
 
 
 def pieces(text: Column, words: int = PIECE_WORDS) -> Column:
     """Paragraphs are lines; a long one counts as pieces of ``words`` words, so that an edit within it leaves the
-    rest. Blank lines are no paragraphs."""
-    cut = F.regexp_extract_all(text, F.lit(r"[^\S\n]*(?:\S+[^\S\n]*){1,%d}" % words), F.lit(0))
+    rest, and a run without blanks (scripts that write none, encoded bytes) as pieces of LONG_RUN code points. Blank lines
+    are no paragraphs."""
+    cut = F.regexp_extract_all(text, F.lit(r"[^\S\n]*(?:\S{%d}[^\S\n]*|(?:\S{1,%d}(?!\S)[^\S\n]*){1,%d})" % (LONG_RUN, LONG_RUN - 1, words)), F.lit(0))
     return F.filter(cut, lambda p: p != "")
 
 
@@ -39,16 +38,28 @@ def _hashes(text: Column) -> Column:
                     F.char_length(text).cast("long").alias("chars"))
 
 
-def _sum(hashes: str) -> Column:
+def _packed(hashes: Column) -> Column:
+    """15 longs of 4 lanes: the sums over at most BLOCK hashes."""
     return F.transform(F.sequence(F.lit(0), F.lit(14)), lambda s: F.aggregate(
-        hashes, F.lit(0).cast("long"),
-        lambda acc, h: (acc + F.call_function("shiftrightunsigned", h, s).bitwiseAND(F.lit(ONES))).bitwiseAND(F.lit(MASK))))
+        hashes, F.lit(0).cast("long"), lambda acc, h: acc + F.call_function("shiftrightunsigned", h, s).bitwiseAND(F.lit(ONES))))
+
+
+def _lanes(packed: Column) -> Column:
+    return F.flatten(F.transform(packed, lambda x: F.array(*(F.shiftright(x, s).bitwiseAND(F.lit(BLOCK)) for s in SHIFTS))))
+
+
+def _sum(hashes: str) -> Column:
+    """60 longs: each lane's sum over all hashes, block by block."""
+    h = F.col(hashes)
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(h) - 1) / BLOCK).cast("int")), lambda k: _lanes(_packed(F.slice(h, k * BLOCK + 1, F.lit(BLOCK)))))
+    several = F.aggregate(blocks, F.array_repeat(F.lit(0).cast("long"), 15 * len(SHIFTS)), lambda acc, v: F.zip_with(acc, v, lambda x, y: x + y))
+    return F.when(F.size(h) <= BLOCK, _lanes(_packed(h))).otherwise(several)
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
-    """``df`` with column ``name``: struct(v: 30 longs of 4 lanes, n: paragraphs, chars)."""
+    """``df`` with column ``name``: struct(v: 120 lanes, n: paragraphs, chars)."""
     h = f"{name}_h"
-    hashed = df.select("*", F.explode(F.array(_hashes(F.col(text)))).alias(h))   # hashed once, summed 30 times
+    hashed = df.select("*", F.explode(F.array(_hashes(F.col(text)))).alias(h))   # hashed once, summed by lane
     value = F.struct(F.concat(_sum(f"{h}.a"), _sum(f"{h}.b")).alias("v"),
                      F.size(f"{h}.a").cast("long").alias("n"), F.col(f"{h}.chars").alias("chars"))
     return hashed.withColumn(name, value).drop(h)
@@ -56,31 +67,28 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
 
 def add(a: Column, b: Column) -> Column:
     """The fingerprint of both texts' paragraphs together."""
-    return F.struct(F.zip_with(a["v"], b["v"], lambda x, y: (x + y).bitwiseAND(F.lit(MASK))).alias("v"),
+    return F.struct(F.zip_with(a["v"], b["v"], lambda x, y: x + y).alias("v"),
                     (a["n"] + b["n"]).alias("n"), (a["chars"] + b["chars"]).alias("chars"))
 
 
 def subtract(a: Column, b: Column) -> Column:
     """The fingerprint of a's paragraphs without b's."""
-    return F.struct(F.zip_with(a["v"], b["v"], lambda x, y: (x + F.lit(BORROW) - y).bitwiseAND(F.lit(MASK))).alias("v"),
+    return F.struct(F.zip_with(a["v"], b["v"], lambda x, y: x - y).alias("v"),
                     (a["n"] - b["n"]).alias("n"), (a["chars"] - b["chars"]).alias("chars"))
 
 
 def as_text(fp: Column) -> Column:
-    return F.concat_ws(":", F.array_join(F.transform(fp["v"], lambda x: F.lpad(F.hex(x), 15, "0")), ""),
+    return F.concat_ws(":", F.array_join(F.transform(fp["v"], lambda x: F.hex(x)), "."),
                        F.hex(fp["n"]), F.hex(fp["chars"]))
 
 
 def _energy(v: Column, n: Column) -> Column:
-    """Sum over the lanes of the squared projection 2*ones - n, centred modulo 2^14."""
-    half = MODULUS // 2
-
-    def square(x, s):
-        ones = F.shiftright(x, s).bitwiseAND(F.lit(MODULUS - 1))
-        lane = F.pmod(F.lit(2) * ones - n + F.lit(half), F.lit(MODULUS).cast("long")) - F.lit(half)
+    """Sum over the lanes of the squared projection 2*ones - n."""
+    def square(x):
+        lane = (F.lit(2) * x - n).cast("double")
         return lane * lane
 
-    return F.aggregate(v, F.lit(0).cast("long"), lambda acc, x: acc + sum((square(x, s) for s in SHIFTS[1:]), square(x, SHIFTS[0])))
+    return F.aggregate(v, F.lit(0.0), lambda acc, x: acc + square(x))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -89,7 +97,7 @@ def likeness(a: Column, b: Column) -> Column:
     whole = _energy(a["v"], a["n"]) + _energy(b["v"], b["n"])
     apart = _energy(d["v"], d["n"])
     return F.when(whole == 0, (apart == 0).cast("double")).otherwise(
-        F.greatest(F.lit(0.0), F.lit(1.0) - apart.cast("double") / whole.cast("double")))
+        F.greatest(F.lit(0.0), F.lit(1.0) - apart / whole))
 
 
 def successors(base: DataFrame) -> DataFrame:
