@@ -20,8 +20,9 @@ def words_of(text: Column) -> Column:
 
 def _word_hashes(text: Column) -> Column:
     """A hash per word of the text lower-cased by ``lower``, which costs far less than A-Z alone. It parts words alike and
-    makes equal what A-Z alone makes equal, so windows that match are never lost; what it adds is verified away."""
-    return F.transform(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
+    makes equal what A-Z alone makes equal, so windows that match are never lost; what it adds is verified away. Only of
+    a capital sigma does ``lower`` look at the surroundings (a final one becomes another letter): it is put in lower case before."""
+    return F.transform(F.regexp_extract_all(F.lower(F.replace(text, F.lit("\u03a3"), F.lit("\u03c3"))), F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
 
 
 def _hashed(words: str, width: int) -> Column:
