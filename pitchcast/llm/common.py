@@ -56,3 +56,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     _SCRATCH.append(path)   # release_materialized deletes it
     return spark.read.schema(df.schema).parquet(path)
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, many: int = 1000) -> DataFrame:
+    """``rows`` joined with the one row of ``groups`` that has their ``key``; ``size``: how many rows hold it, of ``total``.
+
+    Groups of more than one in ``many`` of all rows are fewer than ``many``, so they are broadcast and their rows stay
+    where they are; the rest meets by a shuffle in which no key has a larger share.
+    """
+    least = max(total // many, 1)
+    held = [c for c in groups.columns if c != key]
+    hot = groups.where(F.col(size) > least).select(F.col(key).alias("hot_key"), F.struct(*held).alias("hot"))
+    near = rows.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left").drop("hot_key")
+    met = near.where("hot is not null").select(*rows.columns, *[F.col(f"hot.{c}").alias(c) for c in held])
+    rest = near.where("hot is null").drop("hot").join(groups.where(F.col(size) <= least), key)
+    return met.unionByName(rest)
