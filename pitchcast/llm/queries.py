@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (decontaminate, exact_dedup, fingerprints, jaccard_join, langid, lexical_search, line_dedup, packing, secrets,
+from . import (decontaminate, exact_dedup, fingerprints, hard_negatives, jaccard_join, langid, lexical_search, line_dedup, packing, secrets,
                suffix_dedup, toxicity, warc)
 
 MODULES = {
@@ -16,6 +16,7 @@ MODULES = {
     "op8_language_id": langid,
     "op9_toxicity": toxicity,
     "op10_ngram_join": jaccard_join,
+    "op11_hard_negatives": hard_negatives,
     "op12_ranked_search": lexical_search,
     "op13_exact_dedup": exact_dedup,
 }
