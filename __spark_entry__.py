@@ -22,6 +22,7 @@ from pitchcast.functions.scoring import (  # noqa: E402
     brier_2way, brier_3way, brier_score, classify_match_type, result_code)
 from pitchcast.functions.text import canonical_name, parse_video_id  # noqa: E402
 from pitchcast.operators import extract as X  # noqa: E402
+from pitchcast.operators import pages as P  # noqa: E402
 from pitchcast.operators import report as R  # noqa: E402
 from pitchcast.operators import resolve as V  # noqa: E402
 from pitchcast.operators import store as S  # noqa: E402
@@ -68,7 +69,7 @@ def _overrides(spark, sf):
 
 
 def _rows(spark, sf):
-    return X.build_prediction_rows(X.parse_responses(tv.responses(spark, sf)))
+    return X.build_prediction_rows(X.parse_responses(tv.responses(spark, sf)), extracted_at=RUN_DATE)
 
 
 # ----------------------------------------------------------------------------- queries
@@ -247,8 +248,27 @@ def q_upsert_predictions(spark, sf):
 
 
 def q_run_counters(spark, sf):
-    existing, new = stored_table(spark, sf), incoming_batch(spark, sf)
-    return S.run_counters(existing, new, S.upsert(existing, new))
+    return S.run_counters(stored_table(spark, sf), incoming_batch(spark, sf))
+
+
+def q_rounds_from_pages(spark, sf):
+    return P.rounds_from_pages(P.latest_pages(tv.result_pages(spark, sf)), D)
+
+
+def q_landed_fixtures(spark, sf):
+    plan = P.ordered_plan(V.prepare_predictions(tv.predictions(spark, sf), D, RUN_DATE), D)
+    return P.landed_fixtures(tv.result_pages(spark, sf), plan, D)
+
+
+def q_refresh_delta(spark, sf):
+    fixtures = tv.fixtures(spark, sf)
+    gained = fixtures.where(F.col("event_date") >= F.lit(tv.GAINED_FROM).cast("date"))
+    pending = stored_table(spark, sf).where(F.col("actual_result").isNull())
+    return V.refresh(pending, fixtures, gained, D, RUN_DATE, RUN_TS)
+
+
+def q_rejected_rows(spark, sf):
+    return X.rejected(X.extraction_batch(X.parse_responses(tv.responses(spark, sf))))
 
 
 def q_transcript_assembly(spark, sf):
@@ -267,17 +287,17 @@ def q_extraction_requests(spark, sf):
 def q_parse_responses(spark, sf):
     p = X.parse_responses(tv.responses(spark, sf))
     n = F.coalesce(F.array_size(F.variant_get(F.col("parsed"), "$", "array<variant>")), F.lit(0))
-    return p.select("video_id", "parse_ok", n.alias("n_predictions"))
+    return p.select("video_id", "parse_ok", "parse_error", n.alias("n_predictions"))
 
 
 def q_build_prediction_rows(spark, sf):
     return _rows(spark, sf).select(
-        "prediction_id", "video_id", "publish_date", "match_date", "home_team", "away_team", "competition",
-        "match_type", "leg_number", *PCTS, "pred_sum", "pred_sum_ok", "raw_quote", "reject")
+        "prediction_id", "video_id", "video_url", "publish_date", "match_date", "home_team", "away_team", "competition",
+        "match_type", "leg_number", *PCTS, "pred_sum", "pred_sum_ok", "raw_quote", "extracted_at", "reject", "reject_reason")
 
 
 def q_pred_sum_check(spark, sf):
-    rows = _rows(spark, sf)
+    rows = X.accepted(_rows(spark, sf))
     return rows.groupBy("competition").agg(
         F.count("*").alias("n"), F.count_if("pred_sum_ok").alias("n_sum_ok"),
         F.count_if(~F.col("pred_sum_ok")).alias("n_sum_bad"))

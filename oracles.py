@@ -33,7 +33,7 @@ def canon(x: str) -> str:
     s = f"regexp_replace({s}, '{dims.STOP_WORDS_PATTERN}', '', 'g')"
     s = f"trim(regexp_replace({s}, ' +', ' ', 'g'))"
     s = f"trim(regexp_replace({s}, '{dims.NAME_PREFIX_PATTERN}', ''))"
-    return s
+    return f"(case {s} when 'nation7' then 'nation23' else {s} end)"
 
 
 def season(comp: str, day: str) -> str:
@@ -252,16 +252,19 @@ def _new_batch() -> dict[str, str]:
 def _rows_ctes() -> dict[str, str]:
     ev = "concat('ev', lpad(cast(e as varchar), 9, '0'))"
     return {
-        "ev": "select event_id as e, user_id as u, ts, event_type from events where event_id % 7 in (0, 3, 4, 6)",
+        "ev": "select event_id as e, user_id as u, ts, event_type from events where event_id % 7 in (0, 3, 4, 6) and event_id % 13 not in (1, 5)",
         "rows0": f"""
           select concat({ev}, '_000') as prediction_id, {ev} as video_id, cast(ts as date) as publish_date,
-                 case when e % 2 = 0 then cast(ts as date) end as match_date,
-                 concat('NATION_', cast(e % 25 as varchar)) as home_team,
-                 concat('nation_', cast((e + 3) % 25 as varchar)) as away_team,
-                 case when e % 7 = 3 then 'Unknown' else event_type end as competition,
-                 cast(20 + e % 51 as integer) as pred_home_win_pct, cast((e * 3) % 30 as integer) as pred_draw_pct,
-                 cast(80 - e % 51 - (e * 3) % 30 + case when e % 11 = 0 then 5 else 0 end as integer) as pred_away_win_pct,
-                 case when e % 7 = 6 then null else concat('q', cast(e as varchar)) end as raw_quote
+                 case when e % 2 = 0 and e % 13 <> 7 then cast(ts as date) end as match_date,
+                 case when e % 13 = 7 then '' else concat('NATION_', cast(e % 25 as varchar)) end as home_team,
+                 case when e % 13 = 7 then '' else concat('nation_', cast((e + 3) % 25 as varchar)) end as away_team,
+                 case when e % 7 = 3 or e % 13 = 7 then 'Unknown' else event_type end as competition,
+                 cast(case e % 13 when 7 then 0 when 9 then null else 20 + e % 51 end as integer) as pred_home_win_pct,
+                 cast(case e % 13 when 7 then 0 else (e * 3) % 30 end as integer) as pred_draw_pct,
+                 cast(case e % 13 when 7 then 0 when 11 then null
+                      else 80 - e % 51 - (e * 3) % 30 + case when e % 11 = 0 then 5 else 0 end end as integer) as pred_away_win_pct,
+                 case when e % 13 = 7 then '' when e % 7 = 6 then null else concat('q', cast(e as varchar)) end as raw_quote,
+                 case e % 13 when 7 then 'element' when 9 then 'percentage' when 11 then 'percentage' end as reject_reason
           from ev
           union all
           select concat({ev}, '_001'), {ev}, cast(ts as date), cast(null as date),
@@ -269,17 +272,35 @@ def _rows_ctes() -> dict[str, str]:
                  case when e % 7 = 3 then 'Unknown' else event_type end,
                  cast(10 + u % 61 as integer), cast(case when u % 4 = 0 then 0 else 25 end as integer),
                  cast(90 - u % 61 - case when u % 4 = 0 then 0 else 25 end as integer),
-                 concat('r', cast(u as varchar))
+                 concat('r', cast(u as varchar)), null
           from ev""",
-        "rows": """select *, cast(null as integer) as leg_number,
+        "rows": f"""select *, cast(null as integer) as leg_number, concat('https://youtu.be/', video_id) as video_url,
+                     date '{RUN_DATE}' as extracted_at,
                      case when pred_draw_pct = 0 then 'knockout' else 'single' end as match_type,
                      pred_home_win_pct + pred_draw_pct + pred_away_win_pct as pred_sum,
                      pred_home_win_pct + pred_draw_pct + pred_away_win_pct = 100 as pred_sum_ok,
-                     false as reject
+                     reject_reason is not null as reject
                    from rows0""",
     }
 
 
+def _page_ctes() -> dict[str, str]:
+    """Landed pages, flat, and the rounds that the walk reaches (as windows; the library folds)."""
+    return {
+        "pe": tv.oracle_sql(tv.V_PAGE_EVENTS, v_fixtures="v_fixtures"),
+        "pc": f"""select competition, season, round_no, count(*) filter (where not emptied) as n,
+                    count(*) filter (where not emptied and status = '{D.finished_status}') as fin from pe group by all""",
+        "pw": """select k.competition, k.season, cast(s.range as integer) as round_no, coalesce(pc.n, 0) as n, coalesce(pc.fin, 0) as fin
+                 from (select distinct competition, season from pc) k cross join range(1, 25) s
+                 left join pc on pc.competition = k.competition and pc.season = k.season and pc.round_no = s.range""",
+        "pf": """select *, case when sum(case when n = 0 then 1 else 0 end) over (partition by competition, season order by round_no
+                      rows between 2 preceding and current row) = 3 or (n > 0 and fin = 0) then 1 else 0 end as stop from pw""",
+        "pk": """select competition, season, round_no, fin as n_finished from (
+                   select *, sum(stop) over (partition by competition, season order by round_no) as stops from pf) c
+                 where stops = 0 and fin > 0""",
+    }
+
+
 def _stats_sources() -> dict[str, str]:
     return {
         "sc": "select * from stored where brier_score is not null",
@@ -472,18 +493,56 @@ def all_oracles() -> dict[str, str]:
                     from (select doc_id, text, greatest(1, (coalesce(length(text), 0) + {dims.TRANSCRIPT_CHAR_CAP - 1})
                                                            // {dims.TRANSCRIPT_CHAR_CAP}) as n from documents) c) p) d"""
     q["parse_responses"] = """
-        select concat('ev', lpad(cast(event_id as varchar), 9, '0')) as video_id,
-               event_id % 7 in (0, 3, 4, 5, 6) as parse_ok,
-               cast(case when event_id % 7 in (0, 3, 4, 6) then 2 else 0 end as integer) as n_predictions
-        from events"""
+        select video_id, parse_error is null as parse_ok, parse_error,
+               cast(case when parse_error is null and r <> 5 then 2 else 0 end as integer) as n_predictions
+        from (select concat('ev', lpad(cast(event_id as varchar), 9, '0')) as video_id, event_id % 7 as r,
+                     case when event_id % 7 = 2 then 'not_array' when event_id % 7 = 1 then 'json' when event_id % 7 = 5 then null
+                          when event_id % 13 in (1, 5) then 'json' end as parse_error from events) e"""
     rows = _rows_ctes()
     q["build_prediction_rows"] = ctes(**rows) + f"""
-        select prediction_id, video_id, publish_date, match_date, home_team, away_team, competition, match_type,
+        select prediction_id, video_id, video_url, publish_date, match_date, home_team, away_team, competition, match_type,
                leg_number, pred_home_win_pct, pred_draw_pct, pred_away_win_pct, pred_sum, pred_sum_ok, raw_quote,
-               reject from rows"""
+               extracted_at, reject, reject_reason from rows"""
     q["pred_sum_check"] = ctes(**rows) + """
         select competition, count(*) as n, count(*) filter (where pred_sum_ok) as n_sum_ok,
-               count(*) filter (where not pred_sum_ok) as n_sum_bad from rows group by competition"""
+               count(*) filter (where not pred_sum_ok) as n_sum_bad from rows where not reject group by competition"""
+    elem = """concat('{"away_team":"nation_', cast((event_id + 3) % 25 as varchar), '",',
+                     case when event_id % 7 = 3 then '' else concat('"competition":"', event_type, '",') end,
+                     '"home_team":"NATION_', cast(event_id % 25 as varchar), '","match_date":"',
+                     case when event_id % 2 = 0 then cast(cast(ts as date) as varchar) else '' end,
+                     '","pred_away_win_pct":', case when event_id % 13 = 11 then 'null' else
+                       cast(80 - event_id % 51 - (event_id * 3) % 30 + case when event_id % 11 = 0 then 5 else 0 end as varchar) end,
+                     ',"pred_draw_pct":', case when event_id % 7 = 4 then concat('"', cast((event_id * 3) % 30 as varchar), '"')
+                                               else cast((event_id * 3) % 30 as varchar) end,
+                     ',"pred_home_win_pct":', case when event_id % 13 = 9 then '"abc"' else concat(cast(20 + event_id % 51 as varchar),
+                       case when event_id % 7 = 4 then '.9' else '' end) end,
+                     ',"raw_quote":', case when event_id % 7 = 6 then 'null' else concat('"q', cast(event_id as varchar), '"') end, '}')"""
+    q["rejected_rows"] = f"""
+        select concat('ev', lpad(cast(event_id as varchar), 9, '0')) as video_id, cast(null as integer) as pos,
+               case when event_id % 7 = 2 then 'not_array' else 'json' end as reject_reason, cast(null as varchar) as element
+        from events where event_id % 7 in (1, 2) or (event_id % 7 <> 5 and event_id % 13 in (1, 5))
+        union all
+        select concat('ev', lpad(cast(event_id as varchar), 9, '0')), 0, case when event_id % 13 = 7 then 'element' else 'percentage' end,
+               case when event_id % 13 = 7 then '7' else {elem} end
+        from events where event_id % 7 in (0, 3, 4, 6) and event_id % 13 in (7, 9, 11)"""
+    pages = _page_ctes()
+    q["rounds_from_pages"] = ctes(**pages) + "select competition, season, round_no, n_finished from pk"
+    q["landed_fixtures"] = ctes(**pages, **resolution()) + f"""
+        , pl as (select competition, season, row_number() over (order by publish_date nulls last, prediction_id) as plan_no
+                 from (select *, row_number() over (partition by competition, season order by publish_date nulls last, prediction_id) as r from p) x
+                 where r = 1)
+        select row_number() over (order by plan_no, pe.round_no, fixture_seq) as fixture_seq, pe.competition, pe.season, pe.round_no,
+               home_team, away_team, home_score, away_score, event_date, status
+        from pe join pk on pk.competition = pe.competition and pk.season = pe.season and pk.round_no = pe.round_no
+        join pl on pl.competition = pe.competition and pl.season = pe.season
+        where not emptied and status = '{D.finished_status}'"""
+    rd = resolution("pending")
+    gained = f"fixture_seq in (select fixture_seq from v_fixtures where event_date >= date '{tv.GAINED_FROM}')"
+    q["refresh_delta"] = ctes(pending="select * from stored where actual_result is null", **rd,
+                              concerned=f"select prediction_id from cand where {gained} union select prediction_id from o1 where {gained} "
+                                        f"union select prediction_id from o2 where {gained}",
+                              few="select pending.* from pending join concerned on pending.prediction_id = concerned.prediction_id") + (
+        "select * from (" + _attached("few", False) + ") a where actual_result is not null")
     q["video_metadata"] = """
         select lpad(cast(o_orderkey as varchar), 11, '0') as video_id,
                cast(cast(o_orderdate as date) as varchar) as publish_date, o_orderpriority as title

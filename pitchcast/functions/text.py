@@ -20,9 +20,15 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Fixed value: the characters that the original's ``strip()`` and ``\s`` take for white space.
+WHITE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+               "\u2028\u2029\u202f\u205f\u3000")
+_SPACES = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*"
+
+
 def strip_ws(c) -> Column:
-    """Python ``str.strip()`` for the ASCII whitespace class."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    """Python ``str.strip()``: white space of all of Unicode."""
+    return F.btrim(_col(c), F.lit(WHITE_SPACE))
 
 
 def parse_video_id(url) -> Column:
@@ -60,5 +66,5 @@ def canonical_name(name, d: Dictionaries = dims.PRODUCTION) -> Column:
 def strip_fence(raw) -> Column:
     """Drop a leading ```json / ``` fence and a trailing ``` fence."""
     s = strip_ws(raw)
-    s = F.regexp_replace(s, r"^```(?:json)?\s*", "")
-    return F.regexp_replace(s, r"\s*```$", "")
+    s = F.regexp_replace(s, r"^```(?:json)?" + _SPACES, "")
+    return F.regexp_replace(s, _SPACES + r"```$", "")

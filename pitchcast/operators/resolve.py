@@ -356,7 +356,7 @@ def prepared_inputs(preds: DataFrame, fixtures: DataFrame, d: Dictionaries, run_
 def conform_overrides(raw: DataFrame) -> DataFrame:
     """Trimmed ids, blanks dropped, the last line per id wins.
 
-    Line order is the ``line_no`` column.  Without it there is no order between
+    Line order is the ``line_no`` column, of any type with an order.  Without it there is no order between
     lines, so an id that occurs twice raises.  Goals are whole numbers, also
     written as decimals (``2.0``); a line with other goals is no override and
     stands in ``rejected_overrides``.
@@ -397,7 +397,7 @@ def _last_lines(rows: DataFrame) -> DataFrame:
     last = rows.groupBy("prediction_id").agg(F.max("line_no").alias("_last"), F.count("*").alias("_n"))
     last = last.select(F.col("prediction_id").alias("_id"), F.when(
         F.col("_last").isNull() & (F.col("_n") > 1),
-        F.raise_error(F.concat(F.lit("override lines without line_no repeat the id "), F.col("prediction_id"))).cast("bigint"))
+        F.raise_error(F.concat(F.lit("override lines without line_no repeat the id "), F.col("prediction_id"))).cast(rows.schema["line_no"].dataType))
         .otherwise(F.col("_last")).alias("_last"))
     return (rows.join(last, (F.col("prediction_id") == F.col("_id")) & F.col("line_no").eqNullSafe(F.col("_last")), "left_semi")
             .select("prediction_id", "home_goals", "away_goals", "match_date", "match_type"))
@@ -468,3 +468,42 @@ def attach_results(preds: DataFrame, fixtures: DataFrame, d: Dictionaries, run_d
     out = out.withColumn("brier_score", brier_score("pred_home_win_pct", "pred_draw_pct", "pred_away_win_pct",
                                                     "match_type", "actual_result"))
     return conform(out)
+
+
+# --------------------------------------------------------------------------- refresh
+
+def gained_questions(p: DataFrame, gained: DataFrame, d: Dictionaries) -> DataFrame:
+    """Ids of the predictions for which one of the ``gained`` fixtures is a candidate (a delta join).
+
+    ``p`` and ``gained`` are prepared. Both go through the keys of the full resolution, (competition, home key, away
+    key, bucket), so the work grows with the pending questions and the new fixtures, not with all fixtures.
+    """
+    nm = _names(p, gained)
+    q = single_leg_questions(p)
+    one = _answers(p, single_leg_candidates(q, gained, nm).select(*q.columns).distinct(), q.columns)
+    on = ["competition", "_hc", "_ac"]
+    cand = p.where((F.col("match_type") == "knockout") & F.col("competition").isin(*d.aggregate_competitions))
+    pairs = _two_earliest(gained).select("competition", "_kh", "_ka").distinct()
+    asked = cand.select(*on).distinct()
+    legs = [_with_keys(_with_keys(asked, nm, home, "_kh"), nm, away, "_ka").join(pairs, ["competition", "_kh", "_ka"], "left_semi").select(*on)
+            for home, away in (("_hc", "_ac"), ("_ac", "_hc"))]
+    two = _answers(cand, legs[0].unionByName(legs[1]).distinct(), on)
+    return one.unionByName(two).distinct()
+
+
+def refresh(pending: DataFrame, fixtures: DataFrame, gained: DataFrame, d: Dictionaries, run_date: str, fetched_at: str,
+            overrides: DataFrame | None = None, materialize: bool = True) -> DataFrame:
+    """The pending rows that get a result now (17 columns): only those that ``gained`` fixtures or an override concern are resolved.
+
+    ``fixtures`` are all loaded fixtures, the gained ones included; the first in source order still decides.
+    """
+    p = supported(prepare_predictions(pending, d, run_date), d)
+    new = fixtures_in_plan(prepare_fixtures(gained, d, run_date), fetch_plan(p, d))
+    ids = gained_questions(p, new, d)
+    if overrides is not None:
+        ids = ids.unionByName(overrides.select("prediction_id")).distinct()
+    concerned = pending.join(ids, "prediction_id", "left_semi")
+    if materialize:
+        concerned = _materialize(concerned, "concerned")
+    rows = attach_results(concerned, fixtures, d, run_date, fetched_at, overrides=overrides, materialize=materialize)
+    return rows.where(F.col("actual_result").isNotNull())

@@ -1,23 +1,29 @@
 """The prediction table as an idempotent, versioned parquet dataset.
 
 Upsert = union by name -> latest-wins dedupe per prediction_id -> conform ->
-range-ordered write of a *new* version directory, committed by appending one
-row to the table's ``_versions`` log.  Readers take the highest committed
-version, so a failed or concurrent write never clobbers (or exposes) a version,
+range-ordered write of the touched months to *new* folders, committed by creating
+the manifest ``_commits/version=N.json``, which must not exist yet.  A manifest names the
+folder of each month; folders are never changed.  Readers take the highest
+version, so a failed or concurrent write never clobbers (or exposes) anything,
 and re-running a batch yields the same table (latest-wins with a deterministic
 tie-break).
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+import json
+import time
+import uuid
+from dataclasses import asdict, dataclass, field
+
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import parse_video_id
-from ..sources.schema import PREDICTION_COLUMNS, conform
+from ..sources import files
+from ..sources.schema import PREDICTION_COLUMNS, PREDICTION_SCHEMA, conform, empty_predictions
 
-_LOG_SCHEMA = "version long, path string"
+NO_MONTH = "none"
 
 
 def new_videos(video_list: DataFrame, existing: DataFrame) -> DataFrame:
@@ -58,34 +64,55 @@ def upsert(existing: DataFrame, new: DataFrame) -> DataFrame:
     return conform(dedupe_latest(union_batches(conform(existing), conform(new))).drop("_is_new"))
 
 
+def month_of(publish_date="publish_date"):
+    """The folder a row lies in: its month of publication, or ``none``."""
+    return F.coalesce(F.date_format(publish_date, "yyyy-MM"), F.lit(NO_MONTH))
+
+
 def ordered_for_write(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Canonical table order (publish_date nulls last, prediction_id) via a range
     partitioning + per-partition sort, so no single task sorts the table."""
     keys = [F.col("publish_date").asc_nulls_last(), F.col("prediction_id").asc()]
     parted = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    return parted.sortWithinPartitions(*keys)
+    return parted.sortWithinPartitions("month", *keys)
+
 
+@dataclass(frozen=True)
+class Version:
+    """One committed state of the table: which folder holds each month, and what it adds up to."""
 
-def _log_path(base: str) -> str:
-    return f"{base.rstrip('/')}/_versions"
+    number: int
+    months: dict[str, str] = field(default_factory=dict)      # month -> folder, relative to the table
+    rows: int = 0
+    scored: int = 0
+    batches: dict[str, int] = field(default_factory=dict)     # source -> last landed batch that is part of it
 
+    def folders(self, base: str, months=None) -> list[str]:
+        return [f"{base.rstrip('/')}/{f}" for m, f in sorted(self.months.items()) if months is None or m in months]
 
-def latest_version_path(spark: SparkSession, base: str) -> str | None:
-    """Path of the newest committed version, from the table's commit log.
 
-    A version is committed only once its log row is appended, after its data
-    files are in place, so a half-written version is never read.
+def _commit_path(base: str, number: int) -> str:
+    return f"{base.rstrip('/')}/_commits/version={number:08d}.json"
+
+
+def latest_version(spark: SparkSession, base: str) -> Version | None:
+    """The newest committed version; None if there is no table.
+
+    A version is committed only once its manifest exists, after its data files
+    are in place, so a half-written version is never read. A manifest that cannot be
+    read raises (after a moment, in which its writer may be closing it).
     """
-    try:
-        log = spark.read.schema(_LOG_SCHEMA).option("mode", "FAILFAST").json(_log_path(base))
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":   # no table yet; anything else is an error
-            return None
-        raise
-    last = log.agg(F.max_by("path", "version").alias("path"), F.count_if(F.col("version").isNull() | F.col("path").isNull()).alias("bad")).first()
-    if last["bad"] or last["path"] is None:
-        raise ValueError(f"the commit log of {base} cannot be read")
-    return last["path"]
+    found = files.names(spark, f"{base.rstrip('/')}/_commits")
+    if not found:
+        return None
+    path = f"{base.rstrip('/')}/_commits/{found[-1]}"
+    for wait in (0.1, 0.5, 2, None):
+        try:
+            return Version(**json.loads(files.read_text(spark, path)))
+        except (json.JSONDecodeError, TypeError) as e:
+            if wait is None:
+                raise ValueError(f"the commit {path} cannot be read") from e
+            time.sleep(wait)
 
 
 class StaleVersion(RuntimeError):
@@ -95,33 +122,98 @@ class StaleVersion(RuntimeError):
 _ANY = object()
 
 
-def write_version(spark: SparkSession, df: DataFrame, base: str, partitions: int | None = None, built_on=_ANY) -> str:
-    """Write ``df`` as the next version of the table at ``base`` and commit it; returns its path.
+def commit(spark: SparkSession, base: str, version: Version) -> str:
+    """Make ``version`` the table's state; raises StaleVersion if its number is taken. Returns the manifest's path."""
+    path = _commit_path(base, version.number)
+    if not files.create_exclusive(spark, path, json.dumps(asdict(version))):
+        raise StaleVersion(base)
+    return path
+
+
+def _write_months(spark: SparkSession, df: DataFrame, base: str, partitions: int | None):
+    """Write ``df`` to a new folder, a subfolder for each month; (month -> folder, rows, scored), counted by the write itself."""
+    token = f"data/{uuid.uuid4().hex}"
+    seen = Observation()
+    # right above the write: below the range partitioning, its sampling would count the rows as well
+    rows = (ordered_for_write(conform(df).withColumn("month", month_of()), partitions)
+            .observe(seen, F.count(F.lit(1)).alias("rows"), F.count("brier_score").alias("scored")))
+    rows.write.partitionBy("month").parquet(f"{base.rstrip('/')}/{token}")
+    months = {n.removeprefix("month="): f"{token}/{n}" for n in files.names(spark, f"{base.rstrip('/')}/{token}")}
+    counted = seen.get if months else {}
+    return token, months, counted.get("rows", 0), counted.get("scored", 0)
+
+
+def write_version(spark: SparkSession, df: DataFrame, base: str, partitions: int | None = None, built_on=_ANY,
+                  batches: dict[str, int] | None = None) -> str:
+    """Write ``df`` as the whole next version of the table at ``base``; returns its manifest's path.
 
-    The data goes to a folder that no attempt has used, then one row is appended to the commit
-    log. ``built_on`` is the path that ``latest_version_path`` gave when ``df`` was
-    read (None: no table): if another version has been committed since, nothing is
-    committed and StaleVersion is raised, so the caller reads again and retries.
+    ``built_on`` is the version that ``latest_version`` gave when ``df`` was read (None: no
+    table): if another one has been committed since, nothing is committed and
+    StaleVersion is raised, so the caller reads again and retries.
     """
-    started = latest_version_path(spark, base)
-    if built_on is not _ANY and started != built_on:
+    current = latest_version(spark, base)
+    if built_on is not _ANY and built_on != current:
         raise StaleVersion(base)
-    nxt = 1 if started is None else int(started.rsplit("version=", 1)[1][:8]) + 1
-    out = ordered_for_write(conform(df), partitions)
-    while True:
-        path = f"{base.rstrip('/')}/version={nxt:08d}"
-        try:
-            out.write.mode("errorifexists").parquet(path)
-            break
-        except AnalysisException as e:  # folder left by a failed or concurrent writer
-            if "PATH_ALREADY_EXISTS" not in str(e) and "already exists" not in str(e):
-                raise
-            nxt += 1
-    if latest_version_path(spark, base) != started:
+    token, months, rows, scored = _write_months(spark, df, base, partitions)
+    return _commit_or_clean(spark, base, token, Version(_next(current), months, rows, scored, batches or {}))
+
+
+def _next(current: Version | None) -> int:
+    return 1 if current is None else current.number + 1
+
+
+def _commit_or_clean(spark: SparkSession, base: str, token: str, version: Version) -> str:
+    try:
+        return commit(spark, base, version)
+    except StaleVersion:
+        files.delete(spark, f"{base.rstrip('/')}/{token}")
+        raise
+
+
+def read_version(spark: SparkSession, base: str, version: Version | None, months=None) -> DataFrame:
+    """The rows of a version, of some months if they are named (other folders are not opened)."""
+    folders = version.folders(base, months) if version else []
+    return spark.read.schema(PREDICTION_SCHEMA).parquet(*folders) if folders else empty_predictions(spark)
+
+
+def touched_months(stored: DataFrame, batch: DataFrame) -> list[str]:
+    """The months a batch changes: those of its rows, and those where rows with its ids lie. A few strings."""
+    ids = batch.select("prediction_id").distinct()
+    held = stored.select("prediction_id", "publish_date").join(ids, "prediction_id", "left_semi")
+    months = batch.select(month_of().alias("m")).unionByName(held.select(month_of().alias("m"))).distinct()
+    return sorted(r["m"] for r in months.collect())
+
+
+def upsert_version(spark: SparkSession, batch: DataFrame, base: str, partitions: int | None = None, built_on=_ANY,
+                   batches: dict[str, int] | None = None, dry_run: bool = False):
+    """Upsert ``batch`` into the table at ``base``; (manifest's path, or None in a dry run; counters).
+
+    Only the months that the batch touches are read in full, merged and written, to new folders;
+    the new version lists those beside the untouched folders of the last one. The
+    write counts what it writes, and the last version knows its own sums, so the counters cost
+    no second upsert. ``batch`` is read more than once: pass a stored one.
+    """
+    current = latest_version(spark, base)
+    if built_on is not _ANY and built_on != current:
         raise StaleVersion(base)
-    (spark.createDataFrame([(nxt, path)], _LOG_SCHEMA)
-     .coalesce(1).write.mode("append").json(_log_path(base)))
-    return path
+    batch = conform(batch)
+    stored = read_version(spark, base, current)
+    months = touched_months(stored, batch)
+    old = read_version(spark, base, current, months)
+    before = old.agg(F.count(F.lit(1)).alias("rows"), F.count("brier_score").alias("scored")).first()
+    merged = upsert(old, batch)
+    if dry_run:
+        token, written = None, {}
+        rows, scored = merged.agg(F.count(F.lit(1)), F.count("brier_score")).first()
+    else:
+        token, written, rows, scored = _write_months(spark, merged, base, partitions)
+    kept = {m: f for m, f in (current.months if current else {}).items() if m not in months}
+    last = current or Version(0)
+    version = Version(_next(current), kept | written, last.rows - before["rows"] + rows, last.scored - before["scored"] + scored,
+                      last.batches | (batches or {}))
+    path = None if dry_run else _commit_or_clean(spark, base, token, version)
+    return path, {"existing_rows": last.rows, "existing_videos": stored.select("video_id").distinct().where("video_id is not null").count(),
+                  "new_rows": batch.count(), "scored": version.scored, "pending": version.rows - version.scored}
 
 
 def list_pending(table: DataFrame, as_of: str) -> DataFrame:
@@ -132,20 +224,19 @@ def list_pending(table: DataFrame, as_of: str) -> DataFrame:
                     "match_type", "match_date", "publish_date"))
 
 
-def run_counters(existing: DataFrame, new: DataFrame, result: DataFrame) -> DataFrame:
+def run_counters(existing: DataFrame, new: DataFrame) -> DataFrame:
     """existing rows / distinct videos, new rows, scored and pending after the run.
 
-    One aggregation over a tagged union (no join of the three inputs).
+    One pass over the union that the upsert ranks: which rows stay is read off
+    their rank, so nothing is upserted, written or joined for the counters.
     """
-    tagged = (existing.select(F.lit("e").alias("_src"), "video_id", F.lit(None).cast("double").alias("b"))
-              .unionByName(new.select(F.lit("n").alias("_src"), F.lit(None).cast("string").alias("video_id"),
-                                      F.lit(None).cast("double").alias("b")))
-              .unionByName(result.select(F.lit("r").alias("_src"), F.lit(None).cast("string").alias("video_id"),
-                                         F.col("brier_score").alias("b"))))
-    src = F.col("_src")
-    return tagged.agg(
-        F.count_if(src == "e").alias("existing_rows"),
-        F.count_distinct(F.when(src == "e", F.col("video_id"))).alias("existing_videos"),
-        F.count_if(src == "n").alias("new_rows"),
-        F.count_if((src == "r") & F.col("b").isNotNull()).alias("scored"),
-        F.count_if((src == "r") & F.col("b").isNull()).alias("pending"))
+    w = Window.partitionBy("prediction_id").orderBy(*_latest_first())
+    ranked = union_batches(existing, new).select(
+        (F.col("_is_new") == 1).alias("new"), "video_id", "brier_score", (F.row_number().over(w) == 1).alias("stays"))
+    stays, is_new = F.col("stays"), F.col("new")
+    return ranked.agg(
+        F.count_if(~is_new).alias("existing_rows"),
+        F.count_distinct(F.when(~is_new, F.col("video_id"))).alias("existing_videos"),
+        F.count_if(is_new).alias("new_rows"),
+        F.count_if(stays & F.col("brier_score").isNotNull()).alias("scored"),
+        F.count_if(stays & F.col("brier_score").isNull()).alias("pending"))

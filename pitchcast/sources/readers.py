@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schema import PREDICTION_SCHEMA, empty_predictions
+from .schema import empty_predictions
 
 VIDEO_LIST_SCHEMA = T.StructType([T.StructField("video_url", T.StringType())])
 
@@ -46,6 +46,17 @@ FIXTURE_EVENT_SCHEMA = T.StructType([
 ])
 
 
+# Landed result pages: one round of a competition's season, its events nested in their order.
+EVENT_FIELDS = ["strHomeTeam", "strAwayTeam", "dateEvent", "strStatus", "intHomeScore", "intAwayScore"]
+PAGE_SCHEMA = T.StructType([
+    T.StructField("competition", T.StringType()),
+    T.StructField("season", T.StringType()),
+    T.StructField("round_no", T.IntegerType()),
+    T.StructField("landed_at", T.TimestampType()),
+    T.StructField("events", T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in EVENT_FIELDS]))),
+])
+
+
 class MissingColumnError(ValueError):
     pass
 
@@ -62,13 +73,13 @@ def single_video(spark: SparkSession, url: str) -> DataFrame:
     return spark.createDataFrame([(url,)], VIDEO_LIST_SCHEMA)
 
 
-def read_predictions(spark: SparkSession, path: str | None) -> DataFrame:
-    """The latest committed version of the prediction table, or an empty typed frame."""
-    from ..operators.store import latest_version_path
-    current = latest_version_path(spark, path) if path else None
-    if current is None:
-        return empty_predictions(spark)
-    return spark.read.schema(PREDICTION_SCHEMA).parquet(current)
+def read_predictions(spark: SparkSession, path: str | None, months=None) -> DataFrame:
+    """The latest committed version of the prediction table, or an empty typed frame.
+
+    ``months`` (``2025-03``; ``none`` for rows without a date) opens only their folders.
+    """
+    from ..operators.store import latest_version, read_version
+    return read_version(spark, path, latest_version(spark, path), months) if path else empty_predictions(spark)
 
 
 def read_overrides(spark: SparkSession, path: str) -> DataFrame | None:
@@ -81,8 +92,10 @@ def read_overrides(spark: SparkSession, path: str) -> DataFrame | None:
         return None
     if not {"prediction_id", "home_goals", "away_goals"}.issubset(df.columns):
         return None
-    # file order of a single CSV: ids grow with split and position
-    return df.withColumn("line_no", F.monotonically_increasing_id())
+    # order of the lines: by file name, place of the split in the file, place in the split (within a
+    # split, ids grow line by line, whatever number the split's partition has)
+    return df.withColumn("line_no", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                             F.monotonically_increasing_id().alias("line")))
 
 
 def read_metadata_json(spark: SparkSession, path: str) -> DataFrame:
@@ -109,6 +122,11 @@ def parse_metadata(df: DataFrame, json_col: str = "metadata_json") -> DataFrame:
                       F.col("_first.snippet.title").alias("title")))
 
 
+def read_result_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed result pages, one JSON object per line (see operators.pages)."""
+    return spark.read.schema(PAGE_SCHEMA).json(path)
+
+
 def read_fixture_events(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Landed fixture events -> the fixture frame used by resolution."""
     raw = spark.read.schema(FIXTURE_EVENT_SCHEMA).format(fmt).load(path)

@@ -14,6 +14,7 @@ overrides, a re-resolved batch) from the same tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -62,14 +63,19 @@ from {events} group by 1,2,3
 # Extractor responses, one per event: two prediction objects per array, with
 # fenced (id%7=0), broken (1), object-not-array (2), no competition key (3),
 # decimal / quoted percentages (4), empty array (5) and JSON-null quote (6).
+# Of those with two objects: two arrays with words between them (id%13=1), a
+# no-break space in front (3), a key that repeats (5), a number in place of the
+# first object (7), a percentage that is no number (9) or null (11).
 _ELEM0 = """concat('{{"match_date": "', case when event_id % 2 = 0 then cast(cast(ts as date) as string) else '' end, '", ',
   '"home_team": "NATION_', cast(event_id % 25 as string), '", ',
   '"away_team": "nation_', cast((event_id + 3) % 25 as string), '", ',
   case when event_id % 7 = 3 then '' else concat('"competition": "', event_type, '", ') end,
-  '"pred_home_win_pct": ', cast(20 + event_id % 51 as string), case when event_id % 7 = 4 then '.9' else '' end, ', ',
+  '"pred_home_win_pct": ', case when event_id % 13 = 9 then '"abc"'
+                                else concat(cast(20 + event_id % 51 as string), case when event_id % 7 = 4 then '.9' else '' end) end, ', ',
   '"pred_draw_pct": ', case when event_id % 7 = 4 then concat('"', cast((event_id * 3) % 30 as string), '"')
                             else cast((event_id * 3) % 30 as string) end, ', ',
-  '"pred_away_win_pct": ', cast(80 - event_id % 51 - (event_id * 3) % 30 + case when event_id % 11 = 0 then 5 else 0 end as string), ', ',
+  '"pred_away_win_pct": ', case when event_id % 13 = 11 then 'null'
+                                else cast(80 - event_id % 51 - (event_id * 3) % 30 + case when event_id % 11 = 0 then 5 else 0 end as string) end, ', ',
   '"raw_quote": ', case when event_id % 7 = 6 then 'null' else concat('"q', cast(event_id as string), '"') end, '}}')"""
 
 _ELEM1 = """concat('{{"match_date": "", "home_team": "nation_', cast((user_id + 1) % 25 as string),
@@ -82,13 +88,17 @@ _ELEM1 = """concat('{{"match_date": "", "home_team": "nation_', cast((user_id +
 
 RESPONSES = """
 select concat('ev', lpad(cast(event_id as string), 9, '0')) as video_id,
+       concat('https://youtu.be/ev', lpad(cast(event_id as string), 9, '0')) as video_url,
        cast(ts as date) as publish_date,
        case event_id % 7
          when 5 then '[]'
          when 1 then concat('[{{"home_team": "NATION_', cast(event_id % 25 as string), '", ')
          when 2 then concat('{{"error": "', event_type, '"}}')
          else concat(case when event_id % 7 = 0 then concat('```json', chr(10)) else '' end,
-                     '[', """ + _ELEM0 + """, ', ', """ + _ELEM1 + """, ']',
+                     case when event_id % 13 = 3 then chr(160) else '' end,
+                     '[', case when event_id % 13 = 7 then '7' else """ + _ELEM0 + """ end,
+                     case event_id % 13 when 1 then '] and also [' when 5 then ', {{"k": 1, "k": 2}}, ' else ', ' end,
+                     """ + _ELEM1 + """, ']',
                      case when event_id % 7 = 0 then concat(chr(10), '```') else '' end)
        end as raw_response
 from {{events}}
@@ -135,21 +145,42 @@ from (select o_orderkey, o_custkey, o_orderdate, line,
             select *, 1 as line from {orders} where o_orderkey % 4 = 0) l) o
 """
 
-# A later batch touching every stored prediction: re-resolved (newer fetch),
-# re-run but still pending (null fetch) or stale (older fetch).
+# A later batch: of the stored predictions published in every third month it holds
+# those re-resolved (newer fetch), re-run but still pending (null fetch) or stale (older
+# fetch), and a new prediction beside every second of them. The other months it leaves alone.
 NEW_BATCH = """
-select prediction_id, video_id, publish_date, match_date, home_team, away_team, competition, match_type,
+select case when n.is_new = 1 then concat(prediction_id, '_n') else prediction_id end as prediction_id,
+       video_id, publish_date, match_date, home_team, away_team, competition, match_type,
        pred_home_win_pct, pred_draw_pct, pred_away_win_pct,
        case k % 3 when 0 then 'A' when 1 then null else 'H' end as actual_result,
        case k % 3 when 0 then timestamp '2026-02-01 12:00:00' when 1 then null
                   else timestamp '2025-12-01 12:00:00' end as fetched_at
-from (select *, cast(substring(prediction_id, 13, 8) as bigint) as k from {v_predictions}) t
+from (select *, cast(substring(prediction_id, 13, 8) as bigint) as k from {v_predictions}
+      where extract(month from publish_date) % 3 = 0) t
+join (select 0 as is_new union all select 1 as is_new) n on n.is_new <= t.k % 2
+"""
+
+# Events of landed result pages, flat: fixtures by the season and half month they fall in. A page that is
+# ``emptied`` lands without its events (three rounds in a row, or a single one); one that is ``early`` has
+# landed before as well, with nothing finished. The season labels are those of the results source.
+V_PAGE_EVENTS = """
+select competition, case when competition = 'FURNITURE' and season = '1994-1995' then '1994' else season end as season,
+       round_no, home_team, away_team, home_score, away_score, event_date, status, fixture_seq,
+       (cast(substring(season, 1, 4) as int) + cast(floor(round_no / 3) as int)) % 8 = 0 or round_no % 10 = 4 as emptied,
+       round_no % 5 = 2 as early
+from (select *, case when competition = 'MACHINERY' then cast(y as varchar(4))
+                     when m >= 8 then concat(cast(y as varchar(4)), '-', cast(y + 1 as varchar(4)))
+                     else concat(cast(y - 1 as varchar(4)), '-', cast(y as varchar(4))) end as season,
+             cast(1 + ((m + 4) % 12) * 2 + case when extract(day from event_date) > 15 then 1 else 0 end as int) as round_no
+      from (select *, cast(extract(year from event_date) as int) as y, cast(extract(month from event_date) as int) as m
+            from {v_fixtures}) f) g
 """
 
 STORED_FETCHED_AT = "2026-01-05 00:00:00"
 RUN_FETCHED_AT = "2026-03-01 00:00:00"
 RUN_DATE = "2026-03-01"
 PENDING_AS_OF = "1998-01-01"
+GAINED_FROM = "1995-01-01"          # fixtures of this day and later have landed since the last version
 
 
 def oracle_sql(template: str, **names: str) -> str:
@@ -209,3 +240,19 @@ def overrides(spark, sf_dir):
 
 def new_batch(spark, sf_dir):
     return view(spark, sf_dir, NEW_BATCH, v_predictions=predictions(spark, sf_dir))
+
+
+def result_pages(spark, sf_dir):
+    """``V_PAGE_EVENTS`` nested into pages, as they land."""
+    flat = view(spark, sf_dir, V_PAGE_EVENTS, v_fixtures=fixtures(spark, sf_dir))
+    event = F.struct("fixture_seq", F.col("home_team").alias("strHomeTeam"), F.col("away_team").alias("strAwayTeam"),
+                     F.col("event_date").cast("string").alias("dateEvent"), F.col("status").alias("strStatus"),
+                     F.col("home_score").alias("intHomeScore"), F.col("away_score").alias("intAwayScore"))
+    nested = flat.groupBy("competition", "season", "round_no", "emptied", "early").agg(F.array_sort(F.collect_list(event)).alias("e"))
+    kept = ["strHomeTeam", "strAwayTeam", "dateEvent", "strStatus", "intHomeScore", "intAwayScore"]
+    events = F.transform("e", lambda x: F.struct(*[x[c].alias(c) for c in kept]))
+    unplayed = F.transform("e", lambda x: F.struct(*[(F.lit("Not Started") if c == "strStatus" else x[c]).alias(c) for c in kept]))
+    now = nested.select("competition", "season", "round_no", F.lit("2026-02-01 00:00:00").cast("timestamp").alias("landed_at"),
+                        F.when(~F.col("emptied"), events).alias("events"))
+    before = nested.where("early").select("competition", "season", "round_no", F.lit("2026-01-01 00:00:00").cast("timestamp").alias("landed_at"), unplayed.alias("events"))
+    return now.unionByName(before)

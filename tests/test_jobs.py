@@ -1,9 +1,12 @@
 import datetime as dt
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from pitchcast import dims
+from pitchcast.operators import store as S
 from pitchcast.plans import jobs as J
 from pitchcast.sources.readers import read_predictions
 from pitchcast.streaming import incremental as I
@@ -88,7 +91,7 @@ def test_publish_releases_scratch_copies(spark, tmp_path):
     scratch = session.scratch_inputs(resolved)
     assert len(scratch) == 3                        # predictions, fixtures, name map
     path, counters = J.publish_job(spark, str(tmp_path / "table"), resolved, PARAMS)
-    assert path.endswith("version=00000001")
+    assert path.endswith("version=00000001.json")
     assert collect(counters)[0]["scored"] == 1
     assert not any(os.path.exists(p) for p in scratch) and not set(scratch) & set(session._SCRATCH)
     assert collect(read_predictions(spark, str(tmp_path / "table")), "actual_result") == [("H",)]
@@ -99,6 +102,119 @@ def test_replayed_micro_batch_is_a_no_op(spark, tmp_path):
     batch = spark.createDataFrame([("EEEEEEEEEEE", "2025-03-10", json.dumps([pred("Real Madrid", "Barcelona")]))],
                                   "video_id string, publish_date string, raw_response string")
     first = I.process_batch(spark, batch, base, fixtures(spark), PARAMS)
-    assert first.endswith("version=00000001")
+    assert first.endswith("version=00000001.json")
     assert I.process_batch(spark, batch, base, fixtures(spark), PARAMS) is None     # replay: nothing new
     assert collect(read_predictions(spark, base), "prediction_id", "actual_result") == [("EEEEEEEEEEE_000", "H")]
+
+
+def page(no, events, landed="2026-01-01 00:00:00", season="2024-2025", comp="LaLiga"):
+    return {"competition": comp, "season": season, "round_no": no, "landed_at": landed, "events": [
+        {"strHomeTeam": h, "strAwayTeam": a, "dateEvent": day, "strStatus": s, "intHomeScore": x, "intAwayScore": y} for h, a, day, s, x, y in events]}
+
+
+def response(video, *preds, day="2025-03-10"):
+    return {"video_id": video, "video_url": f"https://youtu.be/{video}", "publish_date": day, "raw_response": json.dumps(list(preds))}
+
+
+class Landing:
+    """Two landing folders, a table and the streams' checkpoints."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path, self.base = spark, path, str(path / "table")
+        for d in ("responses", "pages"):
+            (path / d).mkdir()
+
+    def put(self, source, name, *docs):
+        (self.path / source / f"{name}.json").write_text("".join(json.dumps(x) + "\n" for x in docs))
+
+    def run(self, **kw):
+        return I.run_sources(self.spark, str(self.path / "responses"), str(self.path / "pages"), self.base, PARAMS, str(self.path / "ckpt"), **kw)
+
+    def rows(self):
+        return {r["prediction_id"]: r["actual_result"] for r in collect(read_predictions(self.spark, self.base))}
+
+    def version(self):
+        return S.latest_version(self.spark, self.base)
+
+
+FINISHED = [("Real Madrid", "Barcelona", "2025-03-15", "Match Finished", "2", "1")]
+LATER = [("Girona", "Celta", "2025-03-15", "Match Finished", "0", "3")]
+
+
+def test_two_sources_one_run(spark, tmp_path):
+    land = Landing(spark, tmp_path)
+    assert land.run() is None and land.version() is None
+    land.put("responses", "a", response("AAAAAAAAAAA", pred("Real Madrid", "Barcelona"), pred("Girona", "Celta"), 7),
+             {"video_id": "XXXXXXXXXXX", "raw_response": "sorry"})
+    land.put("pages", "p1", page(1, FINISHED), page(2, [(*LATER[0][:3], "Not Started", None, None)]))
+    assert land.run().endswith("version=00000001.json")
+    assert land.rows() == {"AAAAAAAAAAA_000": "H", "AAAAAAAAAAA_001": None}
+    assert land.version().batches == {"responses": 0, "pages": 0}
+    rejects = collect(spark.read.parquet(f"{land.base}/_rejects/batch=00000000"), "video_id", "pos", "reject_reason")
+    assert sorted(rejects, key=repr) == [("AAAAAAAAAAA", 2, "element"), ("XXXXXXXXXXX", None, "json")]
+    assert land.run() is None and land.version().number == 1                       # nothing landed: nothing is committed
+
+    # a page without responses: only the pending row it concerns changes
+    stored = {r["prediction_id"]: tuple(r) for r in collect_rows(read_predictions(spark, land.base))}
+    land.put("pages", "p2", page(2, LATER, landed="2026-01-08 00:00:00"))
+    assert land.run().endswith("version=00000002.json")
+    now = {r["prediction_id"]: tuple(r) for r in collect_rows(read_predictions(spark, land.base))}
+    assert land.rows() == {"AAAAAAAAAAA_000": "H", "AAAAAAAAAAA_001": "A"} and now["AAAAAAAAAAA_000"] == stored["AAAAAAAAAAA_000"]
+    assert land.version().batches == {"responses": 0, "pages": 1}
+
+    # responses without pages; a video that is stored already is skipped
+    land.put("responses", "b", response("BBBBBBBBBBB", pred("Celta", "Getafe")), response("AAAAAAAAAAA", pred("Celta", "Girona")))
+    land.run()
+    assert land.rows() == {"AAAAAAAAAAA_000": "H", "AAAAAAAAAAA_001": "A", "BBBBBBBBBBB_000": None}
+    assert land.version().batches == {"responses": 1, "pages": 1}
+
+
+def collect_rows(df):
+    return df.collect()
+
+
+def test_a_crash_before_the_commit_is_made_good(spark, tmp_path, monkeypatch):
+    land = Landing(spark, tmp_path)
+    land.put("responses", "a", response("AAAAAAAAAAA", pred("Real Madrid", "Barcelona")))
+    land.put("pages", "p1", page(1, FINISHED))
+    create = S.files.create_exclusive
+    monkeypatch.setattr(S.files, "create_exclusive", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        land.run()                                   # the streams have moved on, the table has not
+    monkeypatch.setattr(S.files, "create_exclusive", create)
+    assert land.version() is None
+    assert land.run().endswith("version=00000001.json") and land.rows() == {"AAAAAAAAAAA_000": "H"}
+
+
+def test_a_replayed_batch_is_known_by_its_number(spark, tmp_path):
+    land = Landing(spark, tmp_path)
+    land.put("responses", "a", response("AAAAAAAAAAA", pred("Real Madrid", "Barcelona")))
+    land.put("pages", "p1", page(1, FINISHED))
+    land.run()
+    staged = tmp_path / "table" / "_landed" / "responses" / "batch=00000000"
+    spark.read.schema(I.RESPONSE_SCHEMA).parquet(str(staged)).collect()
+    # the stream's own commit of its last batch is lost, so it hands out that batch again
+    commits = tmp_path / "ckpt" / "responses" / "commits"
+    for f in commits.iterdir():
+        f.unlink()
+    assert land.run() is None and land.version().number == 1 and land.rows() == {"AAAAAAAAAAA_000": "H"}
+
+
+def test_refresh_resolves_overridden_rows(spark, tmp_path):
+    land = Landing(spark, tmp_path)
+    land.put("responses", "a", response("AAAAAAAAAAA", pred("Real Madrid", "Barcelona")))
+    land.run()
+    land.put("pages", "p1", page(1, LATER))
+    ov = spark.createDataFrame([("AAAAAAAAAAA_000", "1", "1", 1)], "prediction_id string, home_goals string, away_goals string, line_no long")
+    land.run(overrides=ov)
+    assert land.rows() == {"AAAAAAAAAAA_000": "D"}
+
+
+def test_pending_rows_are_refreshed_without_new_videos(spark, tmp_path):
+    base = str(tmp_path / "table")
+    batch = spark.createDataFrame([response("FFFFFFFFFFF", pred("Real Madrid", "Barcelona"))], I.RESPONSE_SCHEMA)
+    I.process_batch(spark, batch, base, fixtures(spark).where("false"), PARAMS)
+    assert collect(read_predictions(spark, base), "actual_result") == [(None,)]
+    (tmp_path / "landing").mkdir()
+    I.run_available(spark, str(tmp_path / "landing"), base, fixtures(spark), PARAMS, str(tmp_path / "ckpt"))
+    assert collect(read_predictions(spark, base), "actual_result") == [("H",)]

@@ -38,6 +38,25 @@ def test_overrides_csv_last_line_wins(spark, tmp_path):
     assert got["p2"]["match_date"] == "2025-03-01"
 
 
+def test_overrides_over_several_files(spark, tmp_path):
+    """Lines count in the order of file names, then of their place; the last line per id wins, however Spark cuts the files."""
+    folder = tmp_path / "overrides"
+    folder.mkdir()
+    lines = "".join(f"q{k % 50},{k},1\n" for k in range(400))
+    (folder / "b.csv").write_text("prediction_id,home_goals,away_goals\np1,2,0\np2,5,5\n" + lines + "p2,1,1\n")
+    (folder / "a.csv").write_text("prediction_id,home_goals,away_goals\np1,9,9\np2,8,8\np3,7,7\n" + "".join(f"p3,{k},0\n" for k in range(300)))
+    for size in ("128m", "700"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0" if size == "700" else "4m")
+        try:
+            got = {r["prediction_id"]: (r["home_goals"], r["away_goals"]) for r in collect(V.conform_overrides(read_overrides(spark, str(folder))))}
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert (got["p1"], got["p2"], got["p3"]) == ((2, 0), (1, 1), (299, 0))
+        assert [got[f"q{k}"] for k in range(50)] == [(350 + k, 1) for k in range(50)]
+
+
 def test_overrides_missing_required_column_is_ignored(spark, tmp_path):
     path = tmp_path / "overrides.csv"
     path.write_text("prediction_id,home_goals\np1,1\n")
