@@ -74,7 +74,7 @@ def process_landed(spark: SparkSession, table_base: str, params: RunParams, over
         rows = route_rows(rows_job(responses, extracted_at=params.run_date), f"{table_base.rstrip('/')}/_rejects/batch={last_response:08d}")
         unseen = rows.join(table.select("video_id").distinct(), "video_id", "left_anti")
         parts.append(resolve_job(unseen, table.where(F.lit(False)), None, params, overrides, pages=pages))
-    if params.refresh_pending and version:
+    if params.refresh_pending and version and (last_page > before["pages"] or overrides is not None):
         pages_before, _ = _batches(spark, table_base, "pages", -1, before["pages"])
         parts.append(refresh_job(table, pages_before, pages, params, overrides))
     resolved = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]) if parts else table.where(F.lit(False))

@@ -55,8 +55,12 @@ def test_incremental_runs_are_idempotent(spark, tmp_path):
     assert set(t1) == {"AAAAAAAAAAA_000", "AAAAAAAAAAA_001"}
     assert t1["AAAAAAAAAAA_000"]["actual_result"] == "H" and t1["AAAAAAAAAAA_001"]["actual_result"] is None
 
-    I.run_available(spark, str(landing), base, fx, PARAMS, ckpt)       # nothing new: no new version
-    assert read_predictions(spark, base).count() == 2
+    # no new files, but a fixture has landed: the pending row is resolved
+    more = fx.unionByName(spark.createDataFrame([(3, "LaLiga", "Girona", "Celta", "1", "4", dt.date(2025, 3, 15), "Match Finished")], FIX_SCHEMA))
+    I.run_available(spark, str(landing), base, more, PARAMS, ckpt)
+    assert collect(read_predictions(spark, base).orderBy("prediction_id"), "actual_result") == [("H",), ("A",)]
+    I.run_available(spark, str(landing), base, more, PARAMS, ckpt)     # nothing new: no new version
+    assert S.latest_version(spark, base).number == 2
 
     (landing / "b.json").write_text(json.dumps({"video_id": "BBBBBBBBBBB", "publish_date": "2025-03-30",
                                                 "raw_response": "```json\n" + json.dumps(
@@ -141,80 +145,43 @@ FINISHED = [("Real Madrid", "Barcelona", "2025-03-15", "Match Finished", "2", "1
 LATER = [("Girona", "Celta", "2025-03-15", "Match Finished", "0", "3")]
 
 
-def test_two_sources_one_run(spark, tmp_path):
+def test_two_sources_one_run(spark, tmp_path, monkeypatch):
     land = Landing(spark, tmp_path)
     assert land.run() is None and land.version() is None
-    land.put("responses", "a", response("AAAAAAAAAAA", pred("Real Madrid", "Barcelona"), pred("Girona", "Celta"), 7),
+    land.put("responses", "a", response("AAAAAAAAAAA", pred("Real Madrid", "Barcelona"), pred("Girona", "Celta"), 7, pred("Betis", "Cádiz")),
              {"video_id": "XXXXXXXXXXX", "raw_response": "sorry"})
     land.put("pages", "p1", page(1, FINISHED), page(2, [(*LATER[0][:3], "Not Started", None, None)]))
+
+    # a crash before the commit: the streams have moved on, the table has not; the next run makes it good
+    create = S.files.create_exclusive
+    monkeypatch.setattr(S.files, "create_exclusive", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        land.run()
+    monkeypatch.setattr(S.files, "create_exclusive", create)
+    assert land.version() is None
     assert land.run().endswith("version=00000001.json")
-    assert land.rows() == {"AAAAAAAAAAA_000": "H", "AAAAAAAAAAA_001": None}
+    assert land.rows() == {"AAAAAAAAAAA_000": "H", "AAAAAAAAAAA_001": None, "AAAAAAAAAAA_003": None}
     assert land.version().batches == {"responses": 0, "pages": 0}
     rejects = collect(spark.read.parquet(f"{land.base}/_rejects/batch=00000000"), "video_id", "pos", "reject_reason")
     assert sorted(rejects, key=repr) == [("AAAAAAAAAAA", 2, "element"), ("XXXXXXXXXXX", None, "json")]
     assert land.run() is None and land.version().number == 1                       # nothing landed: nothing is committed
 
-    # a page without responses: only the pending row it concerns changes
-    stored = {r["prediction_id"]: tuple(r) for r in collect_rows(read_predictions(spark, land.base))}
+    # the stream's own commit of its last batch is lost, so it hands that batch out again: the table knows its number
+    for f in (tmp_path / "ckpt" / "responses" / "commits").iterdir():
+        f.unlink()
+    assert land.run() is None and land.version().number == 1
+
+    # a page and an override without responses: only the pending rows they concern change
+    stored = {r["prediction_id"]: tuple(r) for r in read_predictions(spark, land.base).collect()}
     land.put("pages", "p2", page(2, LATER, landed="2026-01-08 00:00:00"))
-    assert land.run().endswith("version=00000002.json")
-    now = {r["prediction_id"]: tuple(r) for r in collect_rows(read_predictions(spark, land.base))}
-    assert land.rows() == {"AAAAAAAAAAA_000": "H", "AAAAAAAAAAA_001": "A"} and now["AAAAAAAAAAA_000"] == stored["AAAAAAAAAAA_000"]
-    assert land.version().batches == {"responses": 0, "pages": 1}
+    ov = spark.createDataFrame([("AAAAAAAAAAA_003", "1", "1", 1)], "prediction_id string, home_goals string, away_goals string, line_no long")
+    assert land.run(overrides=ov).endswith("version=00000002.json")
+    now = {r["prediction_id"]: tuple(r) for r in read_predictions(spark, land.base).collect()}
+    assert land.rows() == {"AAAAAAAAAAA_000": "H", "AAAAAAAAAAA_001": "A", "AAAAAAAAAAA_003": "D"}
+    assert now["AAAAAAAAAAA_000"] == stored["AAAAAAAAAAA_000"] and land.version().batches == {"responses": 0, "pages": 1}
 
     # responses without pages; a video that is stored already is skipped
     land.put("responses", "b", response("BBBBBBBBBBB", pred("Celta", "Getafe")), response("AAAAAAAAAAA", pred("Celta", "Girona")))
     land.run()
-    assert land.rows() == {"AAAAAAAAAAA_000": "H", "AAAAAAAAAAA_001": "A", "BBBBBBBBBBB_000": None}
+    assert land.rows() == {"AAAAAAAAAAA_000": "H", "AAAAAAAAAAA_001": "A", "AAAAAAAAAAA_003": "D", "BBBBBBBBBBB_000": None}
     assert land.version().batches == {"responses": 1, "pages": 1}
-
-
-def collect_rows(df):
-    return df.collect()
-
-
-def test_a_crash_before_the_commit_is_made_good(spark, tmp_path, monkeypatch):
-    land = Landing(spark, tmp_path)
-    land.put("responses", "a", response("AAAAAAAAAAA", pred("Real Madrid", "Barcelona")))
-    land.put("pages", "p1", page(1, FINISHED))
-    create = S.files.create_exclusive
-    monkeypatch.setattr(S.files, "create_exclusive", lambda *a: (_ for _ in ()).throw(OSError("lost")))
-    with pytest.raises(OSError):
-        land.run()                                   # the streams have moved on, the table has not
-    monkeypatch.setattr(S.files, "create_exclusive", create)
-    assert land.version() is None
-    assert land.run().endswith("version=00000001.json") and land.rows() == {"AAAAAAAAAAA_000": "H"}
-
-
-def test_a_replayed_batch_is_known_by_its_number(spark, tmp_path):
-    land = Landing(spark, tmp_path)
-    land.put("responses", "a", response("AAAAAAAAAAA", pred("Real Madrid", "Barcelona")))
-    land.put("pages", "p1", page(1, FINISHED))
-    land.run()
-    staged = tmp_path / "table" / "_landed" / "responses" / "batch=00000000"
-    spark.read.schema(I.RESPONSE_SCHEMA).parquet(str(staged)).collect()
-    # the stream's own commit of its last batch is lost, so it hands out that batch again
-    commits = tmp_path / "ckpt" / "responses" / "commits"
-    for f in commits.iterdir():
-        f.unlink()
-    assert land.run() is None and land.version().number == 1 and land.rows() == {"AAAAAAAAAAA_000": "H"}
-
-
-def test_refresh_resolves_overridden_rows(spark, tmp_path):
-    land = Landing(spark, tmp_path)
-    land.put("responses", "a", response("AAAAAAAAAAA", pred("Real Madrid", "Barcelona")))
-    land.run()
-    land.put("pages", "p1", page(1, LATER))
-    ov = spark.createDataFrame([("AAAAAAAAAAA_000", "1", "1", 1)], "prediction_id string, home_goals string, away_goals string, line_no long")
-    land.run(overrides=ov)
-    assert land.rows() == {"AAAAAAAAAAA_000": "D"}
-
-
-def test_pending_rows_are_refreshed_without_new_videos(spark, tmp_path):
-    base = str(tmp_path / "table")
-    batch = spark.createDataFrame([response("FFFFFFFFFFF", pred("Real Madrid", "Barcelona"))], I.RESPONSE_SCHEMA)
-    I.process_batch(spark, batch, base, fixtures(spark).where("false"), PARAMS)
-    assert collect(read_predictions(spark, base), "actual_result") == [(None,)]
-    (tmp_path / "landing").mkdir()
-    I.run_available(spark, str(tmp_path / "landing"), base, fixtures(spark), PARAMS, str(tmp_path / "ckpt"))
-    assert collect(read_predictions(spark, base), "actual_result") == [("H",)]
