@@ -1,9 +1,9 @@
 """Report sections over the prediction table, each a small DataFrame.
 
 Every section starts from ``scored(table)`` (a pushed-down ``brier_score is not
-null`` filter) and does one aggregation with map-side partial aggregation; the
-outputs are bounded by the number of competitions / months / bins, so the few
-windows that run over them (shares, rolling means) are over tiny frames.
+null`` filter) and does one aggregation with map-side partial aggregation, or
+rolls up ``report_cube``, which the report job computes once for all of them.
+The windows that run without a partition are over months or quarters.
 Means and deviations use exact integer sums (functions.exact).
 """
 
@@ -25,13 +25,41 @@ def scored(table: DataFrame) -> DataFrame:
     return table.where(F.col("brier_score").isNotNull())
 
 
+CUBE = ["competition", "month", "bin"]
+
+
+def _keyed(table: DataFrame) -> DataFrame:
+    return scored(table).withColumns({"month": F.trunc(F.col("publish_date"), "MM"), "bin": _bin_index()})
+
+
+def report_cube(table: DataFrame) -> DataFrame:
+    """All that the sections but ``recent`` need, in one scan: exact sums and hits per (competition, month, bin).
+
+    The sums are whole numbers, so rolling them up gives the same bits as adding the rows. Each section
+    function takes this cube in place of the table.
+    """
+    return _moments(_keyed(table), *CUBE)
+
+
+def _is_cube(df: DataFrame) -> bool:
+    return "s1" in df.columns
+
+
 def _moments(df: DataFrame, *group) -> DataFrame:
+    """n, s1, s2 and hits per group, of scored rows or rolled up from a cube."""
+    if _is_cube(df):
+        return df.groupBy(*group).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[F.sum(c).alias(c) for c in ("s1", "s2", "hits")])
     return df.groupBy(*group).agg(*unit_sums("brier_score"), F.sum(_hit()).alias("hits"))
 
 
+def _source(table: DataFrame) -> DataFrame:
+    """Scored rows with the cube's keys, or the cube as it is."""
+    return table if _is_cube(table) else _keyed(table)
+
+
 def summary_stats(table: DataFrame) -> DataFrame:
     """Count, mean, sample std, top-pick accuracy, badge and consistency band."""
-    m = _moments(scored(table))
+    m = _moments(_source(table))
     mean = F.coalesce(mean_from_units("n", "s1"), F.lit(0.0))
     std = F.coalesce(stddev_from_units("n", "s1", "s2"), F.lit(0.0))
     out = m.select(
@@ -48,7 +76,7 @@ def summary_stats(table: DataFrame) -> DataFrame:
 
 
 def accuracy_by_competition(table: DataFrame) -> DataFrame:
-    m = _moments(scored(table), "competition")
+    m = _moments(_source(table), "competition")
     return m.select("competition", F.col("n"), F.col("hits").cast("bigint").alias("hits"),
                     rounded_percent("hits", "n").alias("accuracy_pct"))
 
@@ -56,9 +84,9 @@ def accuracy_by_competition(table: DataFrame) -> DataFrame:
 def competition_breakdown(table: DataFrame) -> DataFrame:
     """Mean and n per competition (null group kept), share of all scored rows,
     16-cell gauge level; ordered by mean, then name."""
-    m = _moments(scored(table), "competition")
+    m = _moments(_source(table), "competition")
     avg = mean_from_units("n", "s1")
-    total = F.sum("n").over(Window.partitionBy())
+    total = m.agg(F.sum("n")).scalar()      # competitions are free text: no window gathers them in one task
     thr = gauge_threshold_cell(16)
     out = m.select(
         "competition",
@@ -73,8 +101,7 @@ def competition_breakdown(table: DataFrame) -> DataFrame:
 
 def _monthly_with_total(table: DataFrame) -> DataFrame:
     """Per month (null month = rows without publish_date) + the scored total."""
-    s = scored(table).withColumn("month", F.trunc(F.col("publish_date"), "MM"))
-    m = s.groupBy("month").agg(*unit_sums("brier_score"))
+    m = _moments(_source(table), "month").drop("hits")
     return m.withColumn("total", F.sum("n").over(Window.partitionBy()))
 
 
@@ -133,11 +160,11 @@ def _n_bins() -> int:
 
 
 def _hist_counts(table: DataFrame) -> DataFrame:
-    """One pass: per-bin counts as an array, plus the moments for the markers."""
-    s = scored(table).withColumn("_bin", _bin_index())
-    counts = [F.count_if(F.col("_bin") == i) for i in range(_n_bins())]
-    return s.agg(F.array(*counts).alias("counts"), *unit_sums("brier_score"),
-                 F.max("_bin").alias("last_bin"))
+    """Per-bin counts as an array, plus the moments for the markers."""
+    b = _moments(_source(table), "bin")          # a row per bin
+    counts = [F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("n"))), F.lit(0)) for i in range(_n_bins())]
+    return b.agg(F.array(*counts).alias("counts"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.sum("s1").alias("s1"),
+                 F.sum("s2").alias("s2"), F.max("bin").alias("last_bin"))
 
 
 def brier_histogram(table: DataFrame) -> DataFrame:
@@ -214,18 +241,22 @@ def recent_display(recent: DataFrame) -> DataFrame:
         (F.col("brier_score") > F.lit(dims.BENCHMARKS["threshold"])).alias("above_threshold"))
 
 
-def section_tables(table: DataFrame) -> dict[str, DataFrame]:
-    """All report sections, keyed by section name (the report sink)."""
-    q = quarterly_trend(table)
+def section_tables(table: DataFrame, cube: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All report sections, keyed by section name (the report sink).
+
+    With a stored ``cube`` (``report_cube``), only ``recent``, a top-k, reads the table.
+    """
+    cube = report_cube(table) if cube is None else cube
+    q = quarterly_trend(cube)
     recent = recent_predictions(table)
     return {
-        "summary": summary_stats(table),
-        "benchmarks": benchmark_comparison(table),
-        "distribution": brier_histogram(table),
-        "markers": distribution_markers(table),
-        "competition": competition_breakdown(table),
-        "accuracy": accuracy_by_competition(table),
-        "monthly": monthly_trend(table),
+        "summary": summary_stats(cube),
+        "benchmarks": benchmark_comparison(cube),
+        "distribution": brier_histogram(cube),
+        "markers": distribution_markers(cube),
+        "competition": competition_breakdown(cube),
+        "accuracy": accuracy_by_competition(cube),
+        "monthly": monthly_trend(cube),
         "quarterly": q,
         "trend": trend_direction(q),
         "recent": recent_display(recent),

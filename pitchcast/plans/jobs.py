@@ -135,8 +135,11 @@ def publish_job(spark: SparkSession, table_base: str, resolved: DataFrame, param
 
 
 def report_job(table: DataFrame, out_dir: str | None = None, fmt: str = "json") -> dict[str, DataFrame]:
-    """All report sections; with ``out_dir`` each one is written to ``out_dir/<section>``."""
-    sections = R.section_tables(table)
+    """All report sections; with ``out_dir`` each one is written to ``out_dir/<section>``.
+
+    One scan of the table gives the stored cube that all sections but ``recent`` are rolled up from.
+    """
+    sections = R.section_tables(table, materialize(R.report_cube(table), "report-cube"))
     if out_dir:
         for name, df in sections.items():
             df.coalesce(1).write.mode("overwrite").format(fmt).save(f"{out_dir.rstrip('/')}/{name}")

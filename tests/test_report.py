@@ -82,3 +82,23 @@ def test_recent_is_top_k_by_date_then_id(spark):
     assert r == [("d",), ("c",), ("b",)]
     disp = collect(R.recent_display(R.recent_predictions(scored_table(spark, ROWS), k=1)))[0]
     assert disp["probs"] == "60/0/40" and disp["date_label"] == "2025-04-01" and disp["above_threshold"]
+
+
+def test_sections_from_the_cube_equal_those_from_the_table(spark):
+    t = scored_table(spark, ROWS + [("g", "LaLiga", dt.date(2025, 1, 31), 34, 33, 33, "D", 0.2223), ("h", None, dt.date(2024, 12, 1), 90, 5, 5, "H", 0.0042)])
+    for some in (t, t.limit(0)):
+        cube = R.report_cube(some)
+        for section in (R.summary_stats, R.competition_breakdown, R.accuracy_by_competition, R.monthly_trend, R.quarterly_trend,
+                        R.brier_histogram, R.distribution_markers, R.benchmark_comparison):
+            assert sorted(map(tuple, section(cube).collect()), key=repr) == sorted(map(tuple, section(some).collect()), key=repr), section.__name__
+            assert section(cube).dtypes == section(some).dtypes
+
+
+def test_report_job_scans_the_table_once(spark, tmp_path):
+    from pitchcast.plans.jobs import report_job
+    path = str(tmp_path / "t")
+    scored_table(spark, ROWS).write.parquet(path)
+    sections = report_job(spark.read.parquet(path))
+    assert {n for n, df in sections.items() if any(path in f for f in df.inputFiles())} == {"recent"}
+    plan = sections["competition"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
