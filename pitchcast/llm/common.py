@@ -48,12 +48,12 @@ def unpack(df: DataFrame, columns: list[str], text_col: str | None = None, text:
     return df.select(*[(F.col(text) if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in columns])
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, block: int | None = None) -> DataFrame:
     """Write ``df`` under ``spark.checkpoint.dir`` and read it back: computed once, and a lost
-    executor costs nothing that was done before."""
+    executor costs nothing that was done before. ``block``: bytes of a row group, all of which a task holds while it writes."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("parquet.block.size", block) if block else df.write).parquet(path)
     _SCRATCH.append(path)   # release_materialized deletes it
     return spark.read.schema(df.schema).parquet(path)
 

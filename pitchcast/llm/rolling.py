@@ -9,6 +9,7 @@ one product for each word or window. ``mixed`` then spreads the bits.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -35,13 +36,24 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(p, dtype=np.uint64)
 
 
+_KEPT: dict = {}
+
+
+def _kept_powers(base: int, n: int) -> np.ndarray:
+    """The first n powers; the longest table asked for is kept, rounded up so that few are made."""
+    if len(_KEPT.get(base, ())) < n:
+        _KEPT[base] = powers(base, -(-n // 65536) * 65536)
+    return _KEPT[base][:n]
+
+
 class Hasher:
     """Hashes of byte ranges of one array."""
 
     def __init__(self, data: np.ndarray):
         self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_table()[data] * powers(BASE, len(data)), dtype=np.uint64, out=self.sums[1:])
-        self.back = powers(INVERSE, len(data) + 1)
+        np.multiply(_table()[data], _kept_powers(BASE, len(data)), out=self.sums[1:])
+        np.cumsum(self.sums, out=self.sums)
+        self.back = _kept_powers(INVERSE, len(data) + 1)
 
     def windows(self, width: int) -> np.ndarray:
         """The hashes of all windows of ``width`` bytes, as ``ranges`` has them."""
@@ -76,3 +88,12 @@ def batched(values, limit: int = 4 << 20):
             held, size = [], 0
     if held:
         yield held
+
+
+def portions(column, limit: int = 1 << 20):
+    """(start, rows) of runs of an Arrow text column that hold about ``limit`` bytes; a longer text is a run of its own."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    number = (np.cumsum(size) - size) // limit
+    edge = np.append(np.flatnonzero(np.diff(number, prepend=-1)), len(size))
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        yield a, b - a

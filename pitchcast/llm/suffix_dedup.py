@@ -24,11 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import keyed, same, stored, table
-from .rolling import Hasher, joined
+from .rolling import Hasher, joined, portions
 
 WIDTH = 200
-PIECE = 1 << 19        # bytes of a text looked at together; pieces overlap by width - 1 bytes
-MARKS = 1 << 25        # bits of a mark table (fixed)
+PIECE = 1 << 18        # bytes of a text looked at together; pieces overlap by width - 1 bytes
+MARKS_EACH = 8         # bits of a mark table for each value in it
+MAX_MARKS = 1 << 28    # 32 MB: a larger table is not made, a join on the values takes its place
+BLOCK = 16 << 20       # bytes of a row group of the samples
 STRIDE = 1_000_003     # of the starts in a text, in the marks of its samples
 CROWD = 20_000         # different surroundings of one sample that a task takes in; more go another, exact way
 
@@ -45,16 +47,39 @@ def _sliding_least(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[w - 1:w - 1 + n])
 
 
+def _without_periods(data: np.ndarray, h: np.ndarray, first: np.ndarray, last: np.ndarray, at: np.ndarray, width: int):
+    """The samples less those inside periodic runs, and the runs (start, end) with all of their strings repeated.
+
+    Where bytes repeat with a short period p, samples of one name follow each other p apart. All strings of such a
+    run that is at least ``width + p`` long stand in it twice, so the run is a span by itself, and for the rest of the corpus its
+    first p starts tell all its strings: of its samples only those with other starts as well are kept.
+    """
+    half = width // 2
+    name = h[at]
+    step = np.diff(at)
+    link = (name[1:] == name[:-1]) & (step <= half)
+    link[1:] &= ~link[:-1] | (step[1:] == step[:-1])          # a chain has one period
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], link.astype(np.int8), [0]))))
+    keep, runs = np.ones(len(at), bool), []
+    for a, b in zip(edge[0::2].tolist(), edge[1::2].tolist()):      # samples a..b are linked
+        p, start, end = int(step[a]), int(at[a]), int(at[b]) + half
+        if end - start < width + p or (step[a:b] != p).any() or (data[start:end - p] != data[start + p:end]).any():
+            continue
+        runs.append((start, end))
+        keep[a:b + 1] = (first[a:b + 1] < start + p) | (last[a:b + 1] + width > end)
+    return first[keep], last[keep], at[keep], np.array(runs, np.int64).reshape(-1, 2)
+
+
 def samples(texts: list, width: int):
-    """Yields (data, text, offset, at, first, last, name, around) for pieces of the texts with any string of ``width``
-    bytes. For each sample in the piece: the index of its text, where the piece's text starts in ``data`` less where
+    """Yields (data, text, offset, at, first, last, name, around, spans) for pieces of the texts (bytes) with any string of
+    ``width`` bytes. ``spans``: (texts, starts, ends) of periodic runs, repeated by themselves. For each sample in the piece: the index of its text, where the piece's text starts in ``data`` less where
     it starts in the text, the sample's place in data, the first and last start of the strings it stands for, the hash of
     its bytes and the hash of all bytes from ``first`` to the end of the last string."""
     half = width // 2
 
     def pieces():
         for i, t in enumerate(texts):
-            t = t.encode() if t else b""
+            t = t or b""
             for s in range(0, max(len(t) - width + 1, 0), PIECE):
                 yield i, s, t[s:s + PIECE + width - 1]
 
@@ -78,6 +103,7 @@ def samples(texts: list, width: int):
         edge = np.flatnonzero(least[1:] != least[:-1]) + 1
         first, last = np.append(0, edge), np.append(edge, len(least)) - 1
         at = least[first].astype(np.int64)
+        first, last, at, runs = _without_periods(data, h, first, last, at, width)
         # of the strings that a sample stands for, those that lie in its own piece (the line feed after it left out)
         own = np.searchsorted(begin, at, side="right") - 1
         first, last = np.maximum(first, begin[own]), np.minimum(last, begin[own + 1] - 1 - width)
@@ -87,20 +113,30 @@ def samples(texts: list, width: int):
         first, last, at, own = first[good], last[good], at[good], own[good]
         where = np.array([c[:2] for c in chunk], np.int64).reshape(-1, 2)
         around = hasher.ranges(first, last + width) ^ ((at - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        yield data, where[own, 0], begin[own] - where[own, 1], at, first, last, h[at].view(np.int64), around.view(np.int64)
+        # a periodic run lies in one piece, as the line feed between pieces breaks it
+        in_run = np.searchsorted(begin, runs[:, 0], side="right") - 1
+        spans = (where[in_run, 0], runs[:, 0] - begin[in_run] + where[in_run, 1], runs[:, 1] - begin[in_run] + where[in_run, 1])
+        yield data, where[own, 0], begin[own] - where[own, 1], at, first, last, h[at].view(np.int64), around.view(np.int64), spans
 
 
-def _bit(marks: np.ndarray, name: np.ndarray) -> np.ndarray:
-    place = (name.view(np.uint64) % np.uint64(MARKS)).astype(np.int64)
+def _bit(marks: np.ndarray | None, name: np.ndarray) -> np.ndarray:
+    """Which values may be in the table; all where there is none."""
+    if marks is None:
+        return np.ones(len(name), bool)
+    place = (name.view(np.uint64) % np.uint64(len(marks) * 32)).astype(np.int64)
     return (marks[place // 32] >> (place % 32)) & 1 == 1
 
 
-def _mark_table(df: DataFrame, column: str) -> np.ndarray:
-    """A table of MARKS bits with a bit for each value; never larger, so it may come to the driver."""
-    place = F.expr(f"cast(pmod(pmod({column}, {MARKS}), {MARKS}) as long)")
+def _mark_table(df: DataFrame, column: str, max_marks: int = MAX_MARKS) -> np.ndarray | None:
+    """A table of bits with one for each value, MARKS_EACH times as long as there are values, so about one in eight is set. None if it
+    would be longer than ``max_marks``: then the values themselves decide, in the joins that follow each use."""
+    size = 1 << max(df.count() * MARKS_EACH - 1, 1 << 16).bit_length()
+    if size > max_marks:
+        return None
+    place = F.expr(f"cast(pmod(pmod({column}, {size}L), {size}L) as long)")
     got = (df.select(place.alias("p")).groupBy(F.expr("p div 32").alias("w"))
            .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 32 as int))")).alias("b")).toArrow())
-    marks = np.zeros(MARKS // 32, np.int64)
+    marks = np.zeros(size // 32, np.int64)
     marks[got["w"].to_numpy()] = got["b"].to_numpy()
     return marks
 
@@ -159,9 +195,16 @@ def repeated_spans(base: DataFrame, width: int = WIDTH) -> DataFrame:
     kind = base.schema["id"].dataType.simpleString()
     texts = base.select("id", "tag", "text")
 
-    def named(batches):
+    def portioned(batches, column):
+        """Slices of a batch with about a megabyte of texts, and these as bytes."""
         for batch in batches:
-            for *_, name, around in samples(batch.column(0).to_pylist(), width):
+            for s, n in portions(batch.column(column)):
+                part = batch.slice(s, n)
+                yield part, part.column(column).cast(pa.binary()).to_pylist()
+
+    def named(batches):
+        for _, held in portioned(batches, 0):
+            for *_, name, around, _ in samples(held, width):
                 both, times = _pairs(name, around)
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(times.astype(np.int64))], names=["name", "around", "n"])
 
@@ -171,8 +214,12 @@ def repeated_spans(base: DataFrame, width: int = WIDTH) -> DataFrame:
     twice = spark.sparkContext.broadcast(_mark_table(again, "name"))
 
     def met(batches):
-        for batch in batches:
-            for data, text, shift, at, first, last, name, around in samples(batch.column(2).to_pylist(), width):
+        for batch, held in portioned(batches, 2):
+            for data, text, shift, at, first, last, name, around, (run, start, end) in samples(held, width):
+                if len(run):       # periodic runs: spans without a name
+                    none, take = pa.nulls(len(run), pa.int64()), pa.array(run)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), none, pa.nulls(len(run), pa.binary()),
+                                                      pa.array(start), pa.array(end - width)], names=["id", "tag", "name", "around", "first", "last"])
                 k = np.flatnonzero(_bit(twice.value, name))
                 raw = data.tobytes()
                 strong = [hashlib.blake2b(raw[a:b + width], digest_size=16, salt=int(c - a).to_bytes(16, "little")).digest()
@@ -181,7 +228,11 @@ def repeated_spans(base: DataFrame, width: int = WIDTH) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(name[k]), pa.array(strong, pa.binary()),
                                                   *(pa.array((x - shift)[k]) for x in (first, last))], names=["id", "tag", "name", "around", "first", "last"])
 
-    found = stored(texts.mapInArrow(met, f"id {kind}, tag long, name long, around binary, first long, last long"), "samples")
+    met_rows = texts.mapInArrow(met, f"id {kind}, tag long, name long, around binary, first long, last long")
+    if twice.value is None:      # more names than a table is made for: they are joined
+        met_rows = met_rows.join(again.withColumnRenamed("name", "again"), F.col("name") == F.col("again"), "left").where("again is not null or name is null").drop("again")
+    every = stored(met_rows, "samples", BLOCK)
+    runs, found = every.where("name is null"), every.where("name is not null")
     # (a name that stands once, and came along because its mark coincides with another's, has one surroundings that stands once)
     # whole surroundings that stand more than once: all their strings do
     around = found.groupBy("name", "around").agg(F.count("*").alias("n"), F.min(F.struct("tag", "first", "id")).alias("one"))
@@ -196,9 +247,9 @@ def repeated_spans(base: DataFrame, width: int = WIDTH) -> DataFrame:
     chosen = spark.sparkContext.broadcast(_mark_table(ones, "mark"))
 
     def contents(batches):
-        for batch in batches:
+        for batch, held in portioned(batches, 2):
             out, tag = [], batch.column(1).to_numpy()
-            for data, text, shift, at, first, last, name, _ in samples(batch.column(2).to_pylist(), width):
+            for data, text, shift, at, first, last, name, _, _ in samples(held, width):
                 k = np.flatnonzero(_bit(chosen.value, tag[text] ^ ((first - shift) * STRIDE)))
                 k = k[_bit(twice.value, name[k])]
                 raw = data.tobytes()
@@ -213,7 +264,7 @@ def repeated_spans(base: DataFrame, width: int = WIDTH) -> DataFrame:
     ones_ = ones.withColumnsRenamed({"id": "o_id", "tag": "o_tag", "first": "o_first", "name": "o_name"}).drop("mark")
     members = filled.join(ones_, same(filled, ones_, ("id", "o_id"), ("tag", "o_tag"), ("first", "o_first"), ("name", "o_name"))).select(
         "id", "tag", "name", "first", "last", "at", "left", "right", "ways")
-    members = stored(members, "members")
+    members = stored(members, "members", BLOCK)
 
     def sorted_runs(batches):
         def spans(rows):
@@ -253,7 +304,8 @@ def repeated_spans(base: DataFrame, width: int = WIDTH) -> DataFrame:
     each = members.where(F.col("ways") > CROWD).drop("ways").mapInArrow(strings, f"id {kind}, tag long, start long, string binary")
     common = each.groupBy("string").count().where("count > 1").select("string").repartition("string")
     far = each.join(common, "string").select("id", "tag", "start", (F.col("start") + width).alias("end"))
-    return copies.unionByName(near).unionByName(far)
+    alone = runs.select("id", "tag", F.col("first").alias("start"), (F.col("last") + width).alias("end"))
+    return copies.unionByName(near).unionByName(far).unionByName(alone)
 
 
 def _pairs(name: np.ndarray, around: np.ndarray):
@@ -284,7 +336,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     @F.pandas_udf("boolean")
     def touched(tag: pd.Series) -> pd.Series:
-        return pd.Series(_bit(marks.value, tag.to_numpy().astype(np.int64)))
+        return pd.Series(_bit(marks.value, tag.to_numpy().astype(np.int64)))      # all, if there are too many for a table
 
     flagged = base.withColumn("touched", touched("tag"))
     with_spans = flagged.where("touched").drop("touched")
