@@ -26,8 +26,11 @@ from pitchcast.operators import pages as P  # noqa: E402
 from pitchcast.operators import report as R  # noqa: E402
 from pitchcast.operators import resolve as V  # noqa: E402
 from pitchcast.operators import store as S  # noqa: E402
+from pitchcast.plans import jobs as J  # noqa: E402
+from pitchcast.session import materialize, scratch_path  # noqa: E402
 from pitchcast.sources import testviews as tv  # noqa: E402
-from pitchcast.sources.readers import parse_metadata  # noqa: E402
+from pitchcast.sources.readers import (  # noqa: E402
+    parse_metadata, read_overrides, read_predictions, read_video_list)
 from pitchcast.sources.schema import PREDICTION_COLUMNS, conform  # noqa: E402
 
 D = dims.TEST
@@ -303,6 +306,58 @@ def q_pred_sum_check(spark, sf):
         F.count_if(~F.col("pred_sum_ok")).alias("n_sum_bad"))
 
 
+def q_video_list_csv(spark, sf):
+    """The video list as a landed CSV file with one more column and blank lines."""
+    path = scratch_path(spark, "videos")
+    listed = tv.video_list(spark, sf).select(F.lit("note").alias("note"), F.when(~F.col("video_url").endswith("7"), F.col("video_url")).alias("video_url"))
+    listed.write.option("header", True).csv(path)
+    return read_video_list(spark, path)
+
+
+def q_overrides_csv(spark, sf):
+    """The override lines landed as several CSV files, in their order; the last line per id wins."""
+    path = scratch_path(spark, "overrides")
+    lines = tv.overrides(spark, sf).repartitionByRange(6, "line_no").sortWithinPartitions("line_no").drop("line_no")
+    lines.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return V.conform_overrides(read_overrides(spark, path))
+
+
+def _published(spark, sf, dry_run=False):
+    """The stored table written as a version, then the batch upserted into its months: (base, counters)."""
+    base = scratch_path(spark, "table")
+    S.write_version(spark, stored_table(spark, sf), base)
+    return base, S.upsert_version(spark, materialize(incoming_batch(spark, sf), "batch"), base, dry_run=dry_run)[1]
+
+
+def q_published_table(spark, sf):
+    return read_predictions(spark, _published(spark, sf)[0])
+
+
+def q_publish_counters(spark, sf):
+    counters = _published(spark, sf)[1]
+    return spark.createDataFrame([tuple(counters.values())], ", ".join(f"{c} long" for c in counters))
+
+
+def q_dry_run(spark, sf):
+    """A dry run counts what a run would leave, and leaves the table as it was."""
+    base, counters = _published(spark, sf, dry_run=True)
+    return read_predictions(spark, base).agg(F.count("*").alias("rows_left")).select(
+        "rows_left", *[F.lit(n).cast("long").alias(c) for c, n in counters.items()])
+
+
+def q_report_cube(spark, sf):
+    return R.report_cube(stored_table(spark, sf)).withColumn("s2", F.col("s2").cast("bigint"))
+
+
+def q_extract_job(spark, sf):
+    conv = spark.read.parquet(f"{sf}/conversations.parquet")
+    segments = conv.select(F.lpad(F.col("conv_id").cast("string"), 11, "0").alias("video_id"), F.col("role").alias("lang"),
+                           F.col("turn").cast("long").alias("seq"), "text")
+    table = stored_table(spark, sf).where(F.col("video_id") % 3 == 0)
+    requests = J.extract_job(tv.video_list(spark, sf), table, tv.metadata(spark, sf), segments, ("assistant", "user"))
+    return requests.select("video_id", "video_url", "publish_date", "title", "lang", "request_no", "n_requests", "request")
+
+
 def q_video_metadata(spark, sf):
     return parse_metadata(tv.metadata(spark, sf))
 

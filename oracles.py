@@ -10,14 +10,12 @@ exact-integer formulas as the Spark side, so results agree bit for bit.
 
 from __future__ import annotations
 
-from pitchcast import dims
 from pitchcast.sources import testviews as tv
 
 T0 = tv.STORED_FETCHED_AT
 RUN_TS = tv.RUN_FETCHED_AT
 RUN_DATE = tv.RUN_DATE
 AS_OF = tv.PENDING_AS_OF
-D = dims.TEST
 
 
 def _dbl(x) -> str:
@@ -26,25 +24,20 @@ def _dbl(x) -> str:
 
 def canon(x: str) -> str:
     s = f"lower(trim({x}))"
-    s = f"translate({s}, '{dims.ACCENT_FOLD_FROM}', '{dims.ACCENT_FOLD_TO}')"
+    for accented, plain in zip("áéíóúñüç", "aeiounuc"):
+        s = f"replace({s}, '{accented}', '{plain}')"
     s = f"regexp_replace({s}, '[^a-z0-9 ]', '', 'g')"
-    for k, v in D.substitutions_longest_first():
-        s = f"replace({s}, '{k}', '{v}')"
-    s = f"regexp_replace({s}, '{dims.STOP_WORDS_PATTERN}', '', 'g')"
-    s = f"trim(regexp_replace({s}, ' +', ' ', 'g'))"
-    s = f"trim(regexp_replace({s}, '{dims.NAME_PREFIX_PATTERN}', ''))"
+    s = f"replace({s}, 'nacion', 'nation')"
+    s = f"array_to_string(list_filter(string_split({s}, ' '), lambda w: w not in ('', 'de', 'del')), ' ')"
+    s = f"trim(regexp_replace({s}, '^(real|atletico|club|rc|fc|sd|cd) ', ''))"
     return f"(case {s} when 'nation7' then 'nation23' else {s} end)"
 
 
 def season(comp: str, day: str) -> str:
-    single = ", ".join(f"'{c}'" for c in D.single_year)
-    s = (f"(case when {comp} in ({single}) then cast(year(coalesce({day}, date '{RUN_DATE}')) as varchar) "
-         f"when month(coalesce({day}, date '{RUN_DATE}')) >= 8 then concat(year(coalesce({day}, date '{RUN_DATE}')), '-', "
-         f"year(coalesce({day}, date '{RUN_DATE}')) + 1) "
-         f"else concat(year(coalesce({day}, date '{RUN_DATE}')) - 1, '-', year(coalesce({day}, date '{RUN_DATE}'))) end)")
-    for (c, old), new in D.season_overrides.items():
-        s = f"(case when {comp} = '{c}' and {s} = '{old}' then '{new}' else {s} end)"
-    return s
+    day = f"coalesce({day}, date '{RUN_DATE}')"
+    return (f"(case when {comp} = 'MACHINERY' then strftime({day}, '%Y') "
+            f"when {comp} = 'FURNITURE' and {day} between date '1994-08-01' and date '1995-07-31' then '1994' "
+            f"else concat(year({day} - interval 7 month), '-', year({day} + interval 5 month)) end)")
 
 
 def result_code(h: str, a: str) -> str:
@@ -118,8 +111,8 @@ def ctes(**extra: str) -> str:
 
 
 VIDEO_ID_RE = r"(?:v=|youtu\.be/)([A-Za-z0-9_-]{11})"
-SUPPORTED = ", ".join(f"'{c}'" for c in D.leagues)
-AGGREGATE = ", ".join(f"'{c}'" for c in D.aggregate_competitions)
+SUPPORTED = "'MACHINERY', 'BUILDING', 'AUTOMOBILE', 'FURNITURE'"
+AGGREGATE = "'MACHINERY', 'BUILDING'"
 ROW_COLUMNS = ("prediction_id, video_id, publish_date, match_date, home_team, away_team, competition, match_type, "
                "leg_number, pred_home_win_pct, pred_draw_pct, pred_away_win_pct, actual_result, home_goals, "
                "away_goals, brier_score, fetched_at")
@@ -143,7 +136,7 @@ def resolution(pred_source: str = "v_predictions") -> dict[str, str]:
         "f0": f"""select fixture_seq, competition, {season('competition', 'event_date')} as season,
                     {canon('home_team')} as fh, {canon('away_team')} as fa,
                     try_cast(home_score as integer) as hg, try_cast(away_score as integer) as ag, event_date
-                  from v_fixtures where status = '{D.finished_status}'""",
+                  from v_fixtures where status = 'Match Finished'""",
         "f": "select f0.* from f0 join plan on f0.competition = plan.competition and f0.season = plan.season",
         "pn": "select competition, hc as name from p union select competition, ac as name from p",
         "xn": "select competition, fh as name from f union select competition, fa as name from f",
@@ -289,7 +282,7 @@ def _page_ctes() -> dict[str, str]:
     return {
         "pe": tv.oracle_sql(tv.V_PAGE_EVENTS, v_fixtures="v_fixtures"),
         "pc": f"""select competition, season, round_no, count(*) filter (where not emptied) as n,
-                    count(*) filter (where not emptied and status = '{D.finished_status}') as fin from pe group by all""",
+                    count(*) filter (where not emptied and status = 'Match Finished') as fin from pe group by all""",
         "pw": """select k.competition, k.season, cast(s.range as integer) as round_no, coalesce(pc.n, 0) as n, coalesce(pc.fin, 0) as fin
                  from (select distinct competition, season from pc) k cross join range(1, 25) s
                  left join pc on pc.competition = k.competition and pc.season = k.season and pc.round_no = s.range""",
@@ -324,7 +317,7 @@ def _stats_sources() -> dict[str, str]:
         "summary": f"""select n as total_predictions, coalesce({mean_u()}, {_dbl(0.0)}) as all_time_avg_brier,
                       coalesce({std_u()}, {_dbl(0.0)}) as std_brier,
                       coalesce({pct_round()}, {_dbl(0.0)}) as accuracy_pct,
-                      coalesce(n >= {dims.SUPERFORECASTER_MIN_N} and {mean_u()} < {_dbl(0.20)}, false)
+                      coalesce(n >= 100 and {mean_u()} < {_dbl(0.20)}, false)
                         as is_superforecaster
                     from (select {sums()}, sum({hit()}) as hits from sc) m""",
         "summary2": f"""select *, case when std_brier < {_dbl(0.08)} then 'low' when std_brier > {_dbl(0.14)} then 'high'
@@ -429,7 +422,7 @@ def all_oracles() -> dict[str, str]:
           select k.competition, k.season, cast(s.range as integer) as round_no,
                  coalesce(v.n_events, 0) as n, coalesce(v.n_finished, 0) as fin
           from (select distinct competition, season from vr) k
-          cross join range(1, {D.default_max_rounds + 1}) s
+          cross join range(1, 25) s
           left join vr v on v.competition = k.competition and v.season = k.season and v.round_no = s.range),
         flags as (
           select *, case when sum(case when n = 0 then 1 else 0 end) over (partition by competition, season
@@ -487,11 +480,11 @@ def all_oracles() -> dict[str, str]:
         select doc_id, cast(k + 1 as integer) as request_no, cast(n as integer) as n_requests, req as request,
                truncated, cast(length(req) as integer) as request_chars
         from (select doc_id, k, n, concat('Extract all match predictions from this transcript:', chr(10), chr(10),
-                                          substring(text, k * {dims.TRANSCRIPT_CHAR_CAP} + 1, {dims.TRANSCRIPT_CHAR_CAP})) as req,
-                     length(text) > {dims.TRANSCRIPT_CHAR_CAP} as truncated
+                                          substring(text, k * 50000 + 1, 50000)) as req,
+                     length(text) > 50000 as truncated
               from (select doc_id, text, n, unnest(range(n)) as k
-                    from (select doc_id, text, greatest(1, (coalesce(length(text), 0) + {dims.TRANSCRIPT_CHAR_CAP - 1})
-                                                           // {dims.TRANSCRIPT_CHAR_CAP}) as n from documents) c) p) d"""
+                    from (select doc_id, text, greatest(1, (coalesce(length(text), 0) + 49999)
+                                                           // 50000) as n from documents) c) p) d"""
     q["parse_responses"] = """
         select video_id, parse_error is null as parse_ok, parse_error,
                cast(case when parse_error is null and r <> 5 then 2 else 0 end as integer) as n_predictions
@@ -535,7 +528,7 @@ def all_oracles() -> dict[str, str]:
                home_team, away_team, home_score, away_score, event_date, status
         from pe join pk on pk.competition = pe.competition and pk.season = pe.season and pk.round_no = pe.round_no
         join pl on pl.competition = pe.competition and pl.season = pe.season
-        where not emptied and status = '{D.finished_status}'"""
+        where not emptied and status = 'Match Finished'"""
     rd = resolution("pending")
     gained = f"fixture_seq in (select fixture_seq from v_fixtures where event_date >= date '{tv.GAINED_FROM}')"
     q["refresh_delta"] = ctes(pending="select * from stored where actual_result is null", **rd,
@@ -543,6 +536,33 @@ def all_oracles() -> dict[str, str]:
                                         f"union select prediction_id from o2 where {gained}",
                               few="select pending.* from pending join concerned on pending.prediction_id = concerned.prediction_id") + (
         "select * from (" + _attached("few", False) + ") a where actual_result is not null")
+    q["video_list_csv"] = ctes(vl=tv.oracle_sql(tv.VIDEO_LIST)) + "select video_url from vl where right(video_url, 1) <> '7'"
+    q["overrides_csv"] = q["conform_overrides"]
+    q["published_table"] = q["upsert_predictions"]
+    q["publish_counters"] = q["run_counters"]
+    q["dry_run"] = "select (select count(*) from (" + ctes() + "select * from stored)) as rows_left, c.* from (" + q["run_counters"] + ") c"
+    q["report_cube"] = ctes(**st) + f"""
+        select competition, cast(date_trunc('month', publish_date) as date) as month,
+               least(14, greatest(0, cast(trunc(brier_score / {_dbl(0.025)}) as integer))) as bin, count(*) as n,
+               cast(sum(round(brier_score * 10000)) as bigint) as s1,
+               cast(sum(round(brier_score * 10000) * round(brier_score * 10000)) as bigint) as s2,
+               cast(sum({hit()}) as bigint) as hits from sc group by all"""
+    q["extract_job"] = ctes(vl=tv.oracle_sql(tv.VIDEO_LIST)) + f"""
+        , todo as (select video_id, min(video_url) as video_url
+                   from (select nullif(regexp_extract(video_url, '{VIDEO_ID_RE}', 1), '') as video_id, video_url from vl) i
+                   where video_id is not null
+                     and video_id not in (select video_id from stored where cast(video_id as bigint) % 3 = 0) group by video_id),
+        seg as (select lpad(cast(conv_id as varchar), 11, '0') as video_id, role, text, turn,
+                       min(case role when 'assistant' then 1 else 2 end) over (partition by conv_id) = case role when 'assistant' then 1 else 2 end as best
+                from conversations where role in ('assistant', 'user')),
+        tr as (select video_id, min(role) as lang, string_agg(text, ' ' order by turn) as t from seg where best group by video_id)
+        select video_id, video_url, publish_date, title, lang, cast(k + 1 as integer) as request_no, cast(n as integer) as n_requests,
+               concat('Extract all match predictions from this transcript:', chr(10), chr(10), substring(t, k * 50000 + 1, 50000)) as request
+        from (select *, unnest(range(n)) as k
+              from (select todo.video_id, video_url, cast(cast(o_orderdate as date) as varchar) as publish_date, o_orderpriority as title,
+                           lang, t, greatest(1, (length(t) + 49999) // 50000) as n
+                    from todo join tr on tr.video_id = todo.video_id
+                    join orders on lpad(cast(o_orderkey as varchar), 11, '0') = todo.video_id where o_orderkey % 9 <> 0) a) b"""
     q["video_metadata"] = """
         select lpad(cast(o_orderkey as varchar), 11, '0') as video_id,
                cast(cast(o_orderdate as date) as varchar) as publish_date, o_orderpriority as title

@@ -328,6 +328,22 @@ def resolve_results(p: DataFrame, fx: DataFrame, d: Dictionaries, nm: DataFrame
                     F.coalesce(pick("event_date"), F.col("_mdate")).alias("match_date")))
 
 
+PREPARED = ["prediction_id", "competition", "match_type", "_hc", "_ac", "_season", "_mdate", "_lo", "_hi"]
+
+
+def _prepared(whole: DataFrame, fixtures: DataFrame, d: Dictionaries, run_date: str,
+              kept_rounds: DataFrame | None, materialize: bool):
+    """(predictions, fixtures, name map) of resolution from prepared predictions (``whole``: all columns)."""
+    p = supported(whole, d).select(*PREPARED)
+    fx = fixtures_in_plan(prepare_fixtures(fixtures, d, run_date, kept_rounds), fetch_plan(p, d))
+    if materialize:
+        fx = _materialize(fx, "prepared-fixtures")
+    nm = _names(p, fx)
+    if materialize:
+        nm = _materialize(nm, "name-map")
+    return p, fx, nm
+
+
 def prepared_inputs(preds: DataFrame, fixtures: DataFrame, d: Dictionaries, run_date: str,
                     kept_rounds: DataFrame | None = None, materialize: bool = True):
     """(prepared predictions, fixtures restricted to the fetch plan, name map).
@@ -339,16 +355,10 @@ def prepared_inputs(preds: DataFrame, fixtures: DataFrame, d: Dictionaries, run_
     executor re-reads the files instead of recomputing the lineage.  Without it
     they stay lazy, and each branch computes them again.
     """
-    cols = ["prediction_id", "competition", "match_type", "_hc", "_ac", "_season", "_mdate", "_lo", "_hi"]
-    p = supported(prepare_predictions(preds, d, run_date), d).select(*cols)
-    fx = fixtures_in_plan(prepare_fixtures(fixtures, d, run_date, kept_rounds), fetch_plan(p, d))
+    p = supported(prepare_predictions(preds, d, run_date), d).select(*PREPARED)
     if materialize:
         p = _materialize(p, "prepared-predictions")
-        fx = _materialize(fx, "prepared-fixtures")
-    nm = _names(p, fx)
-    if materialize:
-        nm = _materialize(nm, "name-map")
-    return p, fx, nm
+    return _prepared(p, fixtures, d, run_date, kept_rounds, materialize)
 
 
 # --------------------------------------------------------------------------- overrides
@@ -435,11 +445,16 @@ def apply_overrides(preds: DataFrame, overrides: DataFrame) -> DataFrame:
 def attach_results(preds: DataFrame, fixtures: DataFrame, d: Dictionaries, run_date: str,
                    fetched_at: str, overrides: DataFrame | None = None,
                    kept_rounds: DataFrame | None = None, materialize: bool = True) -> DataFrame:
-    """Override, else resolved fixture, else pending; then score.  17 columns."""
-    p, fx, nm = prepared_inputs(preds, fixtures, d, run_date, kept_rounds, materialize)
+    """Override, else resolved fixture, else pending; then score.  17 columns.
+
+    With ``materialize`` the input is evaluated once, by the write of its prepared copy, which carries all its columns.
+    """
+    whole = prepare_predictions(preds, d, run_date)
+    if materialize:
+        whole = _materialize(whole, "prepared-predictions")
+    p, fx, nm = _prepared(whole, fixtures, d, run_date, kept_rounds, materialize)
     res = resolve_results(p, fx, d, nm)
-    _, own_mdate, _ = _dating(preds)
-    base = preds.withColumn("_own_mdate", own_mdate)
+    base = whole.withColumnRenamed("_mdate", "_own_mdate")
     j = base.join(res.select("prediction_id", *[F.col(c).alias("r_" + c) for c in
                                                 ("home_goals", "away_goals", "actual_result", "match_date")]),
                   "prediction_id", "left")

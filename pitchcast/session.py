@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -58,16 +59,19 @@ def materialize(df, name: str):
     folder), stays columnar (later scans prune columns and push filters), and
     computes its input exactly once.
     """
-    import uuid
-
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    _SCRATCH.append(path)
     return spark.read.schema(df.schema).parquet(path)   # known schema: no footer inference
 
 
+def scratch_path(spark, name: str) -> str:
+    """A new folder's path under ``spark.checkpoint.dir``, which ``release_materialized`` deletes."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
 _SCRATCH: list[str] = []
 
 
