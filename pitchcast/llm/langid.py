@@ -20,8 +20,9 @@ from .rolling import batched
 
 BUCKETS = 1 << 15
 SCALE = 100.0
-#: Bounds of the fitting sample. Document frequencies and predictions cover all rows.
-PER_LANGUAGE, LANGUAGES = 600, 256
+#: Bound of the fitting sample: labelled rows of a language. All languages are learned; document frequencies and predictions cover all rows.
+PER_LANGUAGE = 600
+TOGETHER = 16              # languages scored at once
 FOLDS, HELD_OUT = 3, 1
 
 
@@ -85,8 +86,7 @@ def temperature(s: np.ndarray, y: np.ndarray) -> float:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"):
     """(languages, table of weight times idf, bias, temperature) from rows of the learning folds with a language; None
-    without one. At most LANGUAGES languages, the most frequent, are learned, each from about PER_LANGUAGE rows in the
-    order of a hash of their ids."""
+    without one. Every language is learned, from about PER_LANGUAGE of its rows in the order of a hash of their ids."""
     spark = docs.sparkSession
     fold = F.pmod(F.crc32(F.col(f"`{id_col}`").cast("string")), F.lit(FOLDS))
     learn = (docs.where(fold.isNotNull() & (fold != HELD_OUT))
@@ -117,7 +117,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return None
     idf = np.log((1 + df[BUCKETS]) / (1 + df[:BUCKETS])) + 0.1
 
-    langs = learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).toArrow().to_pylist()
+    langs = learn.groupBy("lang").count().toArrow().to_pylist()              # a row per language
     rates = spark.createDataFrame([(r["lang"], min(1.0, PER_LANGUAGE / r["count"])) for r in langs], "lang string, rate double")
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.col("rate") * (1 << 30)
 
@@ -159,7 +159,9 @@ def probabilities(texts: list, model) -> np.ndarray:
         some = np.flatnonzero(size)
         if not len(some):
             continue
-        total = sum(np.add.reduceat(weights[bucket], first[some], axis=0) for bucket in found)
+        # some languages at a time, so that memory does not grow with their number
+        total = np.concatenate([sum(np.add.reduceat(weights[bucket, c:c + TOGETHER], first[some], axis=0) for bucket in found)
+                                for c in range(0, weights.shape[1], TOGETHER)], axis=1)
         count = sum(np.add.reduceat((bucket < BUCKETS).astype(np.int64), first[some]) for bucket in found)
         out[np.array(at)[some]] += total / np.maximum(count, 1)[:, None]
     a = out / heat

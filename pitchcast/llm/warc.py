@@ -2,25 +2,29 @@
 records reconstructed by a join.
 
 An archive has two folders. ``headers`` holds one row per record: its header block and the digest of its payload.
-``payloads`` holds WARC/1.1 files with one resource record per distinct payload. Each of those opens with a line
+``payloads`` holds WARC/1.1 files with one resource record per distinct payload, which any reader of the format can open;
+a payload's record and address are named by its digest. Each of those opens with a line
 that names a boundary drawn at random for the archive, which no payload can hold, so that Spark can part the files
 at records whatever the payloads contain.
 """
 
 from __future__ import annotations
 
+import datetime
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchcast.session import ensure_checkpoint_dir
+from pitchcast.session import scratch_path
 
 from .common import table
 
 LEAST_SHARED = 100   # a record with fewer payload bytes is a response even if another has the same payload
 EOL = "\r\n"
 EMPTY = b""
+#: Fixed value: how the format names a revisit whose payload is the same.
+SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def _line(name: str, value: Column) -> Column:
@@ -44,9 +48,11 @@ def page_of(urn: Column) -> Column:
 
 
 def write_archive(records: DataFrame, path: str, id_col: str = "page_id", uri_col: str = "url",
-                  payload_col: str = "html", least_shared: int = LEAST_SHARED) -> str:
+                  payload_col: str = "html", least_shared: int = LEAST_SHARED, date: str | None = None) -> str:
     """Archive one record per row of ``records`` in a new folder ``path``; returns the boundary of its files.
 
+    All records bear the ``date`` (``2026-03-01T00:00:00Z``; now, if it is not given). Revisits have no payload of their own.
+
     The payload is a string (as UTF-8) or binary column; null is empty. Of the records
     with equal payloads of at least ``least_shared`` bytes, that with the smallest id is
     the response and the others revisit it; records with smaller ones are all responses.
@@ -59,6 +65,7 @@ def write_archive(records: DataFrame, path: str, id_col: str = "page_id", uri_co
     list of shared digests is too large to broadcast.
     """
     boundary = uuid.uuid4().hex
+    date = date or datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     payload = F.coalesce(F.col(f"`{payload_col}`").cast("binary"), F.lit(bytearray(EMPTY)))
     rec = records.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{uri_col}`").cast("string").alias("uri"), payload.alias("payload"))
     rec = rec.select("*", F.sha2("payload", 256).alias("digest"), F.octet_length("payload").alias("bytes"))
@@ -68,7 +75,8 @@ def write_archive(records: DataFrame, path: str, id_col: str = "page_id", uri_co
     slim = rec.select("id", "uri", "digest", "bytes").join(shared, "digest", "left")
     revisit = (F.col("bytes") >= least_shared) & F.col("first_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("first_id"))
     block = F.concat(F.lit(f"WARC/1.1{EOL}"), _line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-                     _line("WARC-Record-ID", _urn(F.col("id"))), _line("WARC-Target-URI", F.col("uri")),
+                     _line("WARC-Record-ID", _urn(F.col("id"))), _line("WARC-Date", F.lit(date)), _line("WARC-Target-URI", F.col("uri")),
+                     _line("WARC-Profile", F.when(revisit, SAME_PAYLOAD)),
                      _line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
                      _line("WARC-Refers-To", F.when(revisit, _urn(F.col("first_id")))),
                      F.lit(f"Content-Type: text/html{EOL}"),
@@ -78,8 +86,10 @@ def write_archive(records: DataFrame, path: str, id_col: str = "page_id", uri_co
     # of a shared payload only the rows with its smallest id offer bytes; those that repeat that id are dropped at reading
     keep = F.col("shared").isNull() | F.col("id").eqNullSafe(F.col("first_id"))
     whole = rec.join(shared, "digest", "left").where(keep)
-    record = F.concat(F.lit(f"WARC/1.1{EOL}WARC-Boundary: {boundary}{EOL}WARC-Type: resource{EOL}WARC-Payload-Digest: sha256:"),
-                      F.col("digest"), F.lit(f"{EOL}Content-Length: "), F.col("bytes").cast("string"), F.lit(EOL * 2))
+    record = F.concat(F.lit(f"WARC/1.1{EOL}WARC-Boundary: {boundary}{EOL}WARC-Type: resource{EOL}WARC-Record-ID: <urn:sha256:"), F.col("digest"),
+                      F.lit(f">{EOL}WARC-Date: {date}{EOL}WARC-Target-URI: urn:sha256:"), F.col("digest"),
+                      F.lit(f"{EOL}WARC-Payload-Digest: sha256:"), F.col("digest"),
+                      F.lit(f"{EOL}Content-Type: application/octet-stream{EOL}Content-Length: "), F.col("bytes").cast("string"), F.lit(EOL * 2))
     (whole.select(F.concat(record.cast("binary"), "payload").cast("string").alias("value"))
      .write.option("lineSep", EOL * 2).option("compression", "gzip").text(f"{path}/payloads"))
     return boundary
@@ -105,7 +115,8 @@ def read_payloads(spark: SparkSession, path: str, boundary: str) -> DataFrame:
 
 def read_records(spark: SparkSession, path: str, boundary: str, payloads: bool = True) -> DataFrame:
     """Each record again: page_id (string), record_type, refers_to, headers, payload_digest, payload_bytes and, unless
-    told otherwise, ``record``, the whole record's bytes. Revisits get the payload that they refer to as well."""
+    told otherwise, ``payload`` and ``record``, the whole record's bytes. The payload of a revisit is the one it refers to; its
+    record has none, as its Content-Length says."""
     store = read_payloads(spark, path, boundary)
     store = store.groupBy("digest").agg(F.first("bytes").alias("bytes"), *([F.first("payload").alias("payload")] * payloads))
     heads = spark.read.parquet(f"{path}/headers")
@@ -117,13 +128,14 @@ def read_records(spark: SparkSession, path: str, boundary: str, payloads: bool =
                       *([F.col("payload")] * payloads))
     if payloads:
         crlf = F.lit(EOL).cast("binary")
-        out = out.withColumn("record", F.concat(F.col("headers").cast("binary"), crlf, F.col("payload"), crlf, crlf))
+        own = F.when(F.col("record_type") == "revisit", F.lit(bytearray(EMPTY))).otherwise(F.col("payload"))
+        out = out.withColumn("record", F.concat(F.col("headers").cast("binary"), crlf, own, crlf, crlf))
     return out
 
 
 def query(spark, sf):
     pages = table(spark, sf, "pages")
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "warc")
     boundary = write_archive(pages, path)
     kind = dict(pages.dtypes)["page_id"]
     out = read_records(spark, path, boundary, payloads=False)
