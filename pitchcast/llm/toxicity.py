@@ -113,8 +113,9 @@ def learn_from(pos: list, unl: list, prior: float, decay: float):
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
     """(weights, bias), learned from rows outside the held-out fold; None without a confirmed toxic document.
 
-    A document is toxic if any of its label rows is 1, and unlabelled if none has a label.
-    The prior counts all labelled rows. The sample is the first of each class in the order
+    A document is toxic if any of its label rows is 1. The unlabelled set is drawn from those without a label, and
+    where these are too few, from all others, so a fully labelled table gives a model as
+    well. Ties in the hash go by id; rows that repeat an id are one document with several texts. The prior counts all labelled rows. The sample is the first of each class in the order
     of a hash of their ids; its ids are few, so texts are not shuffled to reach it.
     """
     spark = docs.sparkSession
@@ -126,9 +127,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return None
     ids = docs.select(F.col(f"`{id_col}`").alias("id")).where("id is not null")
     first = lambda df, k: df.orderBy(F.xxhash64("id"), "id").limit(k)
-    bare = ids.join(marked.select("id"), "id", "left_anti").where(learn)
+    bare = ids.where(learn).distinct().join(marked, "id", "left")
+    bare = bare.orderBy(F.col("y").isNotNull(), F.xxhash64("id"), "id").limit(UNLABELLED).select("id")
     pick = (first(marked.where("y = 1").select("id"), POSITIVES).withColumn("y", F.lit(1))
-            .unionAll(first(bare, UNLABELLED).withColumn("y", F.lit(0)))).dropDuplicates(["id"])
+            .unionAll(bare.withColumn("y", F.lit(0))))
     chosen_ids = pick.toArrow()                                        # at most POSITIVES + UNLABELLED ids
     pick = spark.createDataFrame(chosen_ids.to_pandas(), pick.schema)
 
