@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, keyed, same, unpack
+from .common import ascii_lower, join_groups, keyed, same, stored, unpack
 
 BLANKS = " \t\n\x0b\f\r"   # [\x20\x09-\x0D]
 
@@ -29,16 +29,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Only 16-byte keys and positions are shuffled to find the lines: keys are made
     distinct within their row, counts combine map-side (a line that a third of all
     documents hold is a few rows per task), and only keys over the threshold are
-    joined back to their positions, where AQE splits a hot key. Texts move once, to
-    meet their own positions.
+    joined back to their positions: those that hold more than a thousandth of all frequent lines, fewer than a thousand keys, by
+    a broadcast, so a hot key's lines stay where they are. Texts move once, to meet their own positions.
     """
     base = keyed(docs, id_col, text_col)
     keys = F.transform(F.split("text", "\n", -1), lambda x: line_key(x, min_chars))
-    frequent = (base.select("id", F.explode(F.array_distinct(keys)).alias("key")).where("key is not null")
-                .groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("keeper"))
-                .where(F.col("n") >= min_docs).select("key", "keeper"))
+    frequent = stored(base.select("id", F.explode(F.array_distinct(keys)).alias("key")).where("key is not null")
+                      .groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("keeper"))
+                      .where(F.col("n") >= min_docs), "frequent")
+    held = frequent.agg(F.sum("n")).first()[0] or 0
     lines = base.select("id", "tag", F.posexplode(keys).alias("pos", "key")).where("key is not null")
-    drops = (lines.join(frequent, "key").where(~F.col("id").eqNullSafe(F.col("keeper")))
+    drops = (join_groups(lines, frequent, "key", "n", held).where(~F.col("id").eqNullSafe(F.col("keeper")))
              .groupBy(F.col("id").alias("drop_id"), F.col("tag").alias("drop_tag"))
              .agg(F.collect_set("pos").alias("drops")))
     joined = (base.join(drops, same(base, drops, ("id", "drop_id"), ("tag", "drop_tag")), "left")
