@@ -1,6 +1,7 @@
 """Document fingerprints: a homomorphic multiset hash, the sum of wide vectors hashed from paragraphs.
 
-A vector has 120 lanes. A paragraph adds 0 or 1 to each, as the bits of two 64-bit
+Equality rests on four words of 64 bits: a paragraph adds the words of its SHA-256 digest, each sum modulo 2^64.
+Likeness rests on 120 lanes beside them: a paragraph adds 0 or 1 to each, as the bits of two 64-bit
 hashes of it say; each lane is a long of its own, so that no number of paragraphs
 that a text can have is lost. Sums do not depend on the order, ``add`` and
 ``subtract`` insert and delete paragraphs without the rest of the text, and lane by
@@ -21,6 +22,8 @@ ONES = sum(1 << s for s in SHIFTS)
 BLOCK = (1 << 15) - 1                         # paragraphs, so that lanes of 15 bits hold their sums
 PIECE_WORDS = 8
 LONG_RUN = 32                                 # code points
+WORDS = 4                                     # of 64 bits in a digest; kept as their high and low halves, as sums must not overflow
+HALF = (1 << 32) - 1
 
 
 def pieces(text: Column, words: int = PIECE_WORDS) -> Column:
@@ -35,6 +38,7 @@ def _hashes(text: Column) -> Column:
     p = pieces(text)
     return F.struct(F.transform(p, lambda x: F.xxhash64(x)).alias("a"),
                     F.transform(p, lambda x: F.xxhash64(F.lit(1), x)).alias("b"),
+                    F.transform(p, lambda x: F.sha2(x.cast("binary"), 256)).alias("d"),
                     F.char_length(text).cast("long").alias("chars"))
 
 
@@ -56,29 +60,47 @@ def _sum(hashes: str) -> Column:
     return F.when(F.size(h) <= BLOCK, _lanes(_packed(h))).otherwise(several)
 
 
+def _carried(halves: Column) -> Column:
+    """High and low halves of words modulo 2^64, from sums (or differences) of halves."""
+    def word(k):
+        high, low = F.get(halves, 2 * k), F.get(halves, 2 * k + 1)
+        return F.array((high + F.shiftright(low, 32)).bitwiseAND(F.lit(HALF)), low.bitwiseAND(F.lit(HALF)))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), word))
+
+
+def _words(digests: Column) -> Column:
+    """The sums of the digests' words modulo 2^64."""
+    half = lambda x, k: F.conv(F.substring(x, k * 8 + 1, F.lit(8)), 16, 10).cast("long")
+    return _carried(F.transform(F.sequence(F.lit(0), F.lit(2 * WORDS - 1)), lambda k: F.aggregate(
+        digests, F.lit(0).cast("long"), lambda acc, x: acc + half(x, k))))
+
+
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
-    """``df`` with column ``name``: struct(v: 120 lanes, n: paragraphs, chars)."""
+    """``df`` with column ``name``: struct(w: 4 words in halves, v: 120 lanes, n: paragraphs, chars)."""
     h = f"{name}_h"
     hashed = df.select("*", F.explode(F.array(_hashes(F.col(text)))).alias(h))   # hashed once, summed by lane
-    value = F.struct(F.concat(_sum(f"{h}.a"), _sum(f"{h}.b")).alias("v"),
+    value = F.struct(_words(F.col(f"{h}.d")).alias("w"), F.concat(_sum(f"{h}.a"), _sum(f"{h}.b")).alias("v"),
                      F.size(f"{h}.a").cast("long").alias("n"), F.col(f"{h}.chars").alias("chars"))
     return hashed.withColumn(name, value).drop(h)
 
 
 def add(a: Column, b: Column) -> Column:
     """The fingerprint of both texts' paragraphs together."""
-    return F.struct(F.zip_with(a["v"], b["v"], lambda x, y: x + y).alias("v"),
+    return F.struct(_carried(F.zip_with(a["w"], b["w"], lambda x, y: x + y)).alias("w"),
+                    F.zip_with(a["v"], b["v"], lambda x, y: x + y).alias("v"),
                     (a["n"] + b["n"]).alias("n"), (a["chars"] + b["chars"]).alias("chars"))
 
 
 def subtract(a: Column, b: Column) -> Column:
     """The fingerprint of a's paragraphs without b's."""
-    return F.struct(F.zip_with(a["v"], b["v"], lambda x, y: x - y).alias("v"),
+    return F.struct(_carried(F.zip_with(a["w"], b["w"], lambda x, y: x - y)).alias("w"),
+                    F.zip_with(a["v"], b["v"], lambda x, y: x - y).alias("v"),
                     (a["n"] - b["n"]).alias("n"), (a["chars"] - b["chars"]).alias("chars"))
 
 
 def as_text(fp: Column) -> Column:
-    return F.concat_ws(":", F.array_join(F.transform(fp["v"], lambda x: F.hex(x)), "."),
+    return F.concat_ws(":", F.array_join(F.transform(fp["w"], lambda x: F.lpad(F.hex(x), 8, "0")), ""), F.array_join(F.transform(fp["v"], lambda x: F.hex(x)), "."),
                        F.hex(fp["n"]), F.hex(fp["chars"]))
 
 
