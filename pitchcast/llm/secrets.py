@@ -3,7 +3,9 @@
 The forest looks at a candidate's length and make-up, how usual its character
 transitions are in the corpus, how much of it dictionary words cover, the path it was
 found under and the words next to it. Transitions and dictionary come from all documents;
-the forest is trained in numpy on a bounded sample of labelled findings.
+the forest is trained in numpy on a bounded sample of labelled findings. Findings are labelled by another
+view, issuers' formats and what a value is assigned to; neither these rules nor their parts are among the
+features, and nothing passes the forest by. What a word or a kind of path tells is learned from the labels.
 """
 
 from __future__ import annotations
@@ -23,8 +25,10 @@ from .rolling import Hasher, batched, joined, word_ranges
 RUN = re.compile(r"(?<![A-Za-z0-9+/_.!@$~-])(?:(?=[A-Za-z+/_.!@$~-]*[0-9])[A-Za-z0-9+/_.!@$~-]{8,}|[A-Za-z+/_.!@$~-]{20,})={0,2}")
 #: What is assigned, of any characters: a quoted value whole, another up to a blank. It counts if NAMED meets what stands before.
 ASSIGN = re.compile(r"=>|:=|[=:>]|(?<=[Bb]earer)(?=[ \t])")
-VALUE = re.compile(r"""[ \t]{0,4}(["'`])?(?:(?:[Bb]earer|[Bb]asic)[ \t]+)?((?(1)(?:(?!\1)[^\n]){6,200}(?=\1)|(?:(?!&\w+=)[^\s"'`<]){6,}))""")
-CREDENTIALS = re.compile(r"://[^\s:/@]{0,64}:([^\s@/]{3,200})@")
+VALUE = re.compile(r"""[ \t]{0,4}(["'`])?(?:(?:[Bb]earer|[Bb]asic)[ \t]+)?((?(1)(?:(?!\1)[^\n])+(?=\1)|(?:(?!&\w+=)[^\s"'`<])+))""")
+CREDENTIALS = re.compile(r"://[^\s:/@]*:([^\s@/]+)@")
+#: A private key is offered whole, from its first line to its last.
+BLOCK = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----[^-]*-----END \1-----")
 CUES = ("token", "key", "secret", "password", "passwd", "passphrase", "pwd", "auth", "credential", "bearer", "private", "api")
 NAMED = re.compile(r"(?i)(?:%s)[\w.-]{0,24}[\"'`\]]{0,2}[ \t]{0,4}$" % "|".join(CUES))
 ASSIGNED = re.compile(NAMED.pattern[:-1] + r"(?:=>|:=|[=:>])[ \t]{0,4}[\"'`]?(?:(?:[Bb]earer|[Bb]asic)[ \t]+)?$|[Bb]earer[ \t]+$|://[^\s:/@]{0,64}:$")
@@ -39,10 +43,10 @@ PLAIN = re.compile(r"[\d.,/_+$-]+|v?\d+(?:\.\d+)+[\w.-]*|[\w.+-]+@[\w-]+(?:\.[\w
 BUCKETS = 1 << 17
 DICTIONARY = 4096          # buckets of the most frequent words
 SAMPLE = 4000              # labelled findings of each kind that the forest is fitted on, at most
-NAMES = ("length", "digits", "upper", "lower", "hexadecimal", "distinct", "entropy", "transition", "worst_transition",
-         "dictionary", "switches", "cue_before", "cue_inside", "assigned", "quoted", "path_depth", "path_kind", "path_test", "neighbour_words",
-         "hash_before", "issued", "plain", "named")
-ISSUED_AT = NAMES.index("issued")
+MADE = ("length", "digits", "upper", "lower", "hexadecimal", "symbols", "distinct", "entropy", "transition", "worst_transition",
+        "dictionary", "longest_word", "switches", "quoted", "path_depth", "words")
+NAMES = (*MADE, "best_word", "worst_word", "sum_of_words", "path")      # what words and path tell, as learned
+PRIOR = 4.0                # weight of the general share of secrets in what a word or a path tells
 
 
 def _classes() -> np.ndarray:
@@ -82,10 +86,16 @@ def corpus_model(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, n
 def spans(text: str):
     """(start, end) of the candidates of a text in order: values of names that tell of a secret, credentials in addresses,
     and what else of the runs lies outside those."""
-    taken, at = [], 0
+    taken = [m.span() for m in BLOCK.finditer(text)] if "-----BEGIN " in text else []
+    blocks, at, inside = list(taken), 0, 0
     while m := ASSIGN.search(text, at):
         a = m.start()
         at = max(m.end(), a + 1)
+        while inside < len(blocks) and blocks[inside][1] <= a:
+            inside += 1
+        if inside < len(blocks) and blocks[inside][0] <= a:
+            at = blocks[inside][1]
+            continue
         if text.startswith("://", a):
             if value := CREDENTIALS.match(text, a):
                 taken.append(value.span(1))
@@ -94,9 +104,11 @@ def spans(text: str):
             a, b = value.span(2)
             if not value.group(1):
                 b = a + len(value.group(2).rstrip(",;)]}>").removesuffix("."))
-            if b - a >= 6:
+            if b > a:
                 taken.append((a, b))
                 at = value.end()
+    taken = sorted(set(taken))
+    taken = [x for k, x in enumerate(taken) if k == 0 or x[0] >= taken[k - 1][1]]
     out, k = list(taken), 0
     for m in RUN.finditer(text):
         a, end = m.span()
@@ -119,7 +131,7 @@ def spans(text: str):
 def evidence(found: str, before: str) -> bool | None:
     """True for a secret, by an issuer's format or the name that it is assigned to; False for what is plain, or named
     as a hash; None if nothing tells, or both."""
-    if ISSUED.fullmatch(found):
+    if ISSUED.fullmatch(found) or BLOCK.fullmatch(found):
         return True
     named = ASSIGNED.search(before)
     not_one = bool(PLAIN.fullmatch(found) or HASH.search(before) or before.endswith("://"))
@@ -128,35 +140,32 @@ def evidence(found: str, before: str) -> bool | None:
     return False if not_one and not named else None
 
 
-def describe(found: str, before: str, after: str, path: str, model) -> list[float]:
-    """The features of a candidate, in the order of NAMES."""
+def describe(found: str, before: str, after: str, path: str, model) -> tuple[list[float], list[str], str]:
+    """(the features of MADE, the neighbouring words, the kind of path) of a candidate."""
     moves, known = model
     raw = np.frombuffer(found.encode(), np.uint8)
     kinds = _classes()[raw]
-    steps = moves[kinds[:-1], kinds[1:]]
+    steps = moves[kinds[:-1], kinds[1:]] if len(raw) > 1 else np.zeros(1)
     share = np.bincount(raw, minlength=256)
     share = share[share > 0] / len(raw)
     runs = [r.encode() for r in re.findall(r"[A-Za-z]{3,}", found.lower())]
-    covered = 0
+    covered = longest = 0
     if runs:
         data, _ = joined(runs)
         start, end = word_ranges(data)
-        covered = int((end - start)[known[(Hasher(data).ranges(start, end) % np.uint64(BUCKETS)).astype(np.int64)]].sum())
-    near = before.lower()
-    words = re.findall(r"\w+", near)[-3:]
-    parts = path.split("/")
+        sizes = (end - start)[known[(Hasher(data).ranges(start, end) % np.uint64(BUCKETS)).astype(np.int64)]]
+        covered, longest = int(sizes.sum()), int(sizes.max(initial=0))
+    words = re.findall(r"[^\W\d_]+|[=:(]$", before.lower().rstrip(" \t\"'`"))[-4:] + re.findall(r"[^\W\d_]+", after.lower())[:1]
     group = np.where(kinds < 26, 0, kinds)
-    return [len(raw), float((kinds == 26).mean()), float((kinds == 27).mean()), float((kinds < 26).mean()),
-            float(np.isin(raw, list(b"0123456789abcdefABCDEF")).mean()), len(share) / len(raw), float(-(share * np.log2(share)).sum()),
-            float(steps.mean()), float(steps.min()), covered / len(raw), float((np.diff(group) != 0).mean()),
-            float(any(c in w for w in words for c in CUES)), float(any(c in found.lower() for c in CUES)),
-            float(before.rstrip(" \"'")[-1:] in ("=", ":")), float(before[-1:] in ("'", '"') and after[:1] in ("'", '"')),
-            float(len(parts)), float(sum(parts[-1].rpartition(".")[2].encode()) % 64), float("test" in path.lower() or "example" in path.lower()), float(len(words)),
-            float(bool(HASH.search(before))), float(bool(ISSUED.fullmatch(found))), float(bool(PLAIN.fullmatch(found))), float(evidence(found, before) is True)]
+    made = [len(raw), float((kinds == 26).mean()), float((kinds == 27).mean()), float((kinds < 26).mean()),
+            float(np.isin(raw, list(b"0123456789abcdefABCDEF")).mean()), float((kinds == 29).mean()), len(share) / len(raw), float(-(share * np.log2(share)).sum()),
+            float(steps.mean()), float(steps.min()), covered / len(raw), float(longest), float((np.diff(group) != 0).mean()) if len(raw) > 1 else 0.0,
+            float(before[-1:] in ("'", '"', "`") and after[:1] in ("'", '"', "`")), float(path.count("/")), float(len(words))]
+    return made, words, path.rpartition("/")[2].rpartition(".")[2].lower()
 
 
 def candidates(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """(id, start, end, found, features, evidence): every candidate of every whole text, in code points. Null texts and paths are
+    """(id, start, end, found, made, words, kind, evidence): every candidate of every whole text, in code points. Null texts and paths are
     empty. A text is read by a pattern once, and candidates are few, so nothing is shuffled."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -164,19 +173,21 @@ def candidates(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "
 
     def scan(batches):
         for batch in batches:
-            row, start, end, found, features, told = [], [], [], [], [], []
+            row, start, end, found, made, words, kinds, told = [], [], [], [], [], [], [], []
             for i, (path, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
                 for a, b in spans(text or ""):
                     before = text[max(0, a - 60):a]
                     row.append(i), start.append(a), end.append(b), found.append(text[a:b])
-                    features.append(describe(text[a:b], before, text[b:b + 20], path, held.value))
+                    m, w, k = describe(text[a:b], before, text[b:b + 20], path, held.value)
+                    made.append(m), words.append(w), kinds.append(k)
                     told.append(evidence(text[a:b], before))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(end, pa.int64()),
-                                              pa.array(found, pa.string()), pa.array(features, pa.list_(pa.float64())), pa.array(told, pa.bool_())],
-                                             names=["id", "start", "end", "found", "features", "evidence"])
+                                              pa.array(found, pa.string()), pa.array(made, pa.list_(pa.float64())), pa.array(words, pa.list_(pa.string())),
+                                              pa.array(kinds, pa.string()), pa.array(told, pa.bool_())],
+                                             names=["id", "start", "end", "found", "made", "words", "kind", "evidence"])
 
     return (docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(path, F.lit("")).alias("path"), F.col(f"`{text_col}`").cast("string").alias("text"))
-            .mapInArrow(scan, f"id {kind}, start long, end long, found string, features array<double>, evidence boolean"))
+            .mapInArrow(scan, f"id {kind}, start long, end long, found string, made array<double>, words array<string>, kind string, evidence boolean"))
 
 
 def grow(x: np.ndarray, y: np.ndarray, rng, depth: int = 8, least: int = 2):
@@ -221,8 +232,38 @@ def vote(forest: list, x: np.ndarray) -> np.ndarray:
     return out / max(len(forest), 1)
 
 
-def examples(model, each: int = 40, seed: int = 9) -> tuple[np.ndarray, np.ndarray]:
-    """(features, labels) of made-up findings: secrets of many forms where secrets are written, hashes, names and numbers
+def tell(words: list, kinds: list, y: np.ndarray) -> tuple[dict, dict, float]:
+    """What each word and each kind of path tells: (secrets, others) among labelled findings; and the general share of secrets."""
+    by_word, by_kind = {}, {}
+    for w, k, label in zip(words, kinds, y):
+        for x in set(w):
+            by_word.setdefault(x, [0, 0])[0 if label else 1] += 1
+        by_kind.setdefault(k, [0, 0])[0 if label else 1] += 1
+    return by_word, by_kind, float(y.mean()) if len(y) else 0.5
+
+
+def features(made: list, words: list, kinds: list, told, y: np.ndarray | None = None) -> np.ndarray:
+    """The features of NAMES. For findings that ``told`` was learned from (labels ``y``), their own label is left out of
+    what their words and path tell."""
+    by_word, by_kind, share = told
+
+    def odds(counts, own):
+        yes, no = counts if counts else (0, 0)
+        if own is not None:
+            yes, no = yes - own, no - (1 - own)
+        return np.log((yes + PRIOR * share + 1e-3) / (no + PRIOR * (1 - share) + 1e-3))
+
+    out = np.zeros((len(made), len(NAMES)))
+    for i, (m, w, k) in enumerate(zip(made, words, kinds)):
+        own = None if y is None else int(y[i])
+        # a word or path that none but the finding itself has tells nothing
+        telling = [odds(by_word.get(x), own if x in by_word else None) for x in set(w)] or [odds(None, None)]
+        out[i] = [*m, max(telling), min(telling), sum(telling), odds(by_kind.get(k), own if k in by_kind else None)]
+    return out
+
+
+def examples(model, each: int = 40, seed: int = 9) -> tuple[list, list, list, np.ndarray]:
+    """(made, words, kinds, labels) of made-up findings: secrets of many forms where secrets are written, hashes, names and numbers
     where those are. A corpus whose findings are all of one form does not tell the forest of the others."""
     rng = np.random.default_rng(seed)
     draw = lambda chars, n: "".join(rng.choice(list(chars), n))                                             # noqa: E731
@@ -231,49 +272,56 @@ def examples(model, each: int = 40, seed: int = 9) -> tuple[np.ndarray, np.ndarr
     values = [lambda n=n: draw(hexa, n) for n in (18, 32, 40, 64)] + [
         lambda: draw(letters + digits + "+/", 42) + "==", lambda: draw(letters + digits, int(rng.integers(16, 33))),
         lambda: draw(letters[:26] + digits, 24), lambda: draw(letters + digits + "!@$%#.-_", int(rng.integers(8, 17))),
-        lambda: word().title() + draw(digits, 3) + draw("!@$.", 1)]
-    places = ['{} token = "', "{} password=", "{} api_key: ", '{} "secret": "', "{} Authorization: Bearer ", "{} DB_PASSWORD='", "{} auth_token="]
+        lambda: word().title() + draw(digits, 3) + draw("!@$.", 1), lambda: draw(letters + digits + "!@#$%&*", int(rng.integers(4, 9))),
+        lambda: word() + draw(digits, int(rng.integers(1, 4))) + word() + draw(digits, int(rng.integers(0, 3))),
+        lambda: draw(letters + digits + "+/. ", int(rng.integers(60, 500))).strip()]
+    places = ["{} pwd: ", '{} passphrase = "', "{} client_secret=", '{} token = "', "{} password=", "{} api_key: ", '{} "secret": "', "{} Authorization: Bearer ", "{} DB_PASSWORD='", "{} auth_token="]
     plain = [(lambda n=n: draw(hexa, n), c) for n in (32, 40, 64) for c in ("{} commit ", "{} sha256: ", "{} {} {} ", '{} checksum = "', "{} revision ", "{} (")] + [
         (lambda: draw(digits, int(rng.integers(8, 17))), "{} {} "), (lambda: f"20{draw(digits, 2)}-0{draw(digits, 1)}-1{draw(digits, 1)}", "{} on "),
         (lambda: f"{word()}/{word()}{draw(digits, 1)}.{word()[:3]}", "{} in "), (lambda: f"{word()}{draw(digits, 2)}@{word()}.com", "{} by "),
         (lambda: f"{word()}_{word()}_{draw(digits, 2)}", "{} = "), (lambda: f"{word()}.{word()}", "{} password = "), (lambda: word() + word(), "{} token: "),
+        (word, "{} pwd: "), (word, "{} passphrase = "), (lambda: draw(digits, int(rng.integers(1, 4))), "{} key: "),
         (lambda: word() + word() + word() + word(), "{} the ")]
-    x, y = [], []
+    made, words, kinds, y = [], [], [], []
     for kind, pairs in ((1.0, [(v, c) for v in values for c in places]), (0.0, plain)):
         for v, c in pairs:
             for _ in range(each if not kind else max(1, each * len(plain) // (len(values) * len(places)))):
                 before = c.format(word(), word(), word())
-                x.append(describe(v(), before, before[-1] + " " if before[-1] in "'\"" else " " + word(), word(), model))
-                y.append(kind)
-    return np.array(x), np.array(y)
+                m, w, k = describe(v(), before, before[-1] + " " if before[-1] in "'\"" else " " + word(), "", model)
+                made.append(m), words.append(w), kinds.append(k), y.append(kind)
+    return made, words, kinds, np.array(y)
 
 
-def fit(findings: DataFrame, labelled: DataFrame, known: tuple[np.ndarray, np.ndarray] | None = None) -> list:
-    """The forest from findings (id, start, features) and their labels (id, start, is_secret): the first SAMPLE of each
-    kind in the order of a hash of their place; and from ``known`` (features, labels) if given. Empty without labels of both kinds."""
-    rows = findings.select("id", "start", "features").join(labelled.where("is_secret is not null").dropDuplicates(["id", "start"]), ["id", "start"])
+def fit(findings: DataFrame, labelled: DataFrame, known: tuple | None = None):
+    """(forest, what words and paths tell) from findings (id, start, made, words, kind) and their labels (id, start, is_secret): the
+    first SAMPLE of each kind in the order of a hash of their place; and from ``known`` (as ``examples`` gives it) if given. None
+    without labels of both kinds. Findings that agree in id and start are labelled alike."""
+    rows = findings.select("id", "start", "made", "words", "kind").join(labelled.where("is_secret is not null").dropDuplicates(["id", "start"]), ["id", "start"])
     first = lambda kind: rows.where(F.col("is_secret") == kind).orderBy(F.xxhash64("id", "start")).limit(SAMPLE)
-    got = first(True).unionAll(first(False)).select("features", F.col("is_secret").cast("int").alias("y")).toArrow()
-    y = got["y"].to_numpy().astype(float)
-    x = np.array(got["features"].to_pylist()).reshape(len(y), len(NAMES))
+    got = first(True).unionAll(first(False)).select("made", "words", "kind", F.col("is_secret").cast("int").alias("y")).toArrow()
+    made, words, kinds, y = (got[c].to_pylist() for c in ("made", "words", "kind", "y"))
+    y = np.array(y, float)
     if known is not None:
-        x, y = np.concatenate([x, known[0]]), np.concatenate([y, known[1]])
+        made, words, kinds, y = made + known[0], words + known[1], kinds + known[2], np.concatenate([y, known[3]])
     if not len(y) or y.min() == y.max():
-        return []
-    return train(x, y)
+        return None
+    told = tell(words, kinds, y)
+    return train(features(made, words, kinds, told, y), y), told
 
 
-def judge(findings: DataFrame, forest: list) -> DataFrame:
-    """``findings`` with ``score``, the share of votes for a secret, and ``is_secret``. Without a forest every candidate
-    stays, with score 1; so does one in an issuer's format, of which a forest may have seen no example."""
-    held = findings.sparkSession.sparkContext.broadcast(forest)
+def judge(findings: DataFrame, model) -> DataFrame:
+    """``findings`` with ``score``, the share of votes for a secret, and ``is_secret``. Without a model every candidate
+    stays, with score 1."""
+    if model is None:
+        return findings.withColumn("score", F.lit(1.0)).withColumn("is_secret", F.lit(True))
+    held = findings.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def score(features: pd.Series) -> pd.Series:
-        x = np.array(features.tolist()).reshape(len(features), len(NAMES))
-        return pd.Series(np.where(x[:, ISSUED_AT] == 1, 1.0, vote(held.value, x)) if held.value and len(x) else np.ones(len(x)))
+    def score(made: pd.Series, words: pd.Series, kind: pd.Series) -> pd.Series:
+        forest, told = held.value
+        return pd.Series(vote(forest, features(made.tolist(), words.tolist(), kind.tolist(), told)) if len(made) else np.zeros(0))
 
-    return findings.withColumn("score", score("features")).withColumn("is_secret", F.col("score") >= 0.5)
+    return findings.withColumn("score", score("made", "words", "kind")).withColumn("is_secret", F.col("score") >= 0.5)
 
 
 def find_secrets(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
