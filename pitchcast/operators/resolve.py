@@ -151,11 +151,12 @@ def round_cutoff(rounds: DataFrame, d: Dictionaries) -> DataFrame:
 # --------------------------------------------------------------------------- candidates
 
 def _names(p: DataFrame, fx: DataFrame) -> DataFrame:
+    """The name map of both sides; a prediction's empty name has a key of its own and needs no pairs."""
     pn = (p.select("competition", F.col("_hc").alias("name"))
           .unionByName(p.select("competition", F.col("_ac").alias("name"))))
     xn = (fx.select("competition", F.col("_fh").alias("name"))
           .unionByName(fx.select("competition", F.col("_fa").alias("name"))))
-    return name_map(pn, xn)
+    return name_map(pn.where(F.col("name") != ""), xn)
 
 
 ANY = "*"   # join key of "every team"; a team's key is "=" and its name, so no name can be it
