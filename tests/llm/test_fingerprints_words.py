@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import struct
 from collections import Counter
 
+import xxhash
 from pyspark.sql import functions as F
 
 from pitchcast.llm import fingerprints as P
@@ -12,9 +14,10 @@ MOD = 1 << 64
 
 
 def words(paragraphs):
-    """The four sums, by whole numbers."""
-    digests = [hashlib.sha256(p.encode()).digest() for p in paragraphs]
-    return [sum(int.from_bytes(d[8 * k:8 * k + 8], "big") for d in digests) % MOD for k in range(4)]
+    """The four sums, by whole numbers: Spark's hash of (number, digest in hexadecimal form) is xxHash64 of the digest seeded by that of the number."""
+    digests = [hashlib.sha256(p.encode()).hexdigest() for p in paragraphs]
+    seeds = [xxhash.xxh64_intdigest(struct.pack("<i", k), seed=42) for k in range(4)]
+    return [sum(xxhash.xxh64_intdigest(d, seed=s) for d in digests) % MOD for s in seeds]
 
 
 def joined(halves):
