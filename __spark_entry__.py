@@ -57,8 +57,9 @@ def new_predictions(spark: SparkSession, sf: str) -> DataFrame:
     return tv.predictions(spark, sf).drop("actual_result")
 
 
-def incoming_batch(spark: SparkSession, sf: str) -> DataFrame:
-    nb = tv.new_batch(spark, sf)
+def incoming_batch(spark: SparkSession, sf: str, whole: bool = False) -> DataFrame:
+    """A re-run of every third month of the stored predictions; with ``whole``, of all of them."""
+    nb = (tv.whole_batch if whole else tv.new_batch)(spark, sf)
     return conform(nb.withColumn("brier_score", brier_score(*PCTS, "match_type", "actual_result")))
 
 
@@ -251,7 +252,7 @@ def q_upsert_predictions(spark, sf):
 
 
 def q_run_counters(spark, sf):
-    return S.run_counters(stored_table(spark, sf), incoming_batch(spark, sf))
+    return S.run_counters(stored_table(spark, sf), incoming_batch(spark, sf, whole=True))
 
 
 def q_rounds_from_pages(spark, sf):

@@ -229,9 +229,9 @@ def _attached(pred_source: str, with_overrides: bool) -> str:
             f"home_goals, away_goals, {brier()} as brier_score, fetched_at from ({inner}) a")
 
 
-def _new_batch() -> dict[str, str]:
+def _new_batch(template: str = tv.NEW_BATCH) -> dict[str, str]:
     return {
-        "nb0": tv.oracle_sql(tv.NEW_BATCH, v_predictions="v_predictions"),
+        "nb0": tv.oracle_sql(template, v_predictions="v_predictions"),
         "nb": f"""select prediction_id, video_id, publish_date, match_date, home_team, away_team, competition,
                     match_type, cast(null as integer) as leg_number, pred_home_win_pct, pred_draw_pct,
                     pred_away_win_pct, actual_result, cast(null as integer) as home_goals,
@@ -464,12 +464,13 @@ def all_oracles() -> dict[str, str]:
     nb = _new_batch()
     q["dedupe_latest"] = ctes(**nb) + "select prediction_id, actual_result, fetched_at, is_new from d"
     q["upsert_predictions"] = ctes(**nb) + f"select {ROW_COLUMNS} from d"
-    q["run_counters"] = ctes(**nb) + """
+    counters = """
         select (select count(*) from stored) as existing_rows,
                (select count(distinct video_id) from stored) as existing_videos,
                (select count(*) from nb) as new_rows,
                (select count(*) from d where brier_score is not null) as scored,
                (select count(*) from d where brier_score is null) as pending"""
+    q["run_counters"] = ctes(**_new_batch(tv.WHOLE_BATCH)) + counters
     q["transcript_assembly"] = """
         with ranked as (select conv_id, turn, role, text, case role when 'assistant' then 1 when 'user' then 2 end as rk
                         from conversations where role in ('assistant', 'user')),
@@ -539,8 +540,8 @@ def all_oracles() -> dict[str, str]:
     q["video_list_csv"] = ctes(vl=tv.oracle_sql(tv.VIDEO_LIST)) + "select video_url from vl where right(video_url, 1) <> '7'"
     q["overrides_csv"] = q["conform_overrides"]
     q["published_table"] = q["upsert_predictions"]
-    q["publish_counters"] = q["run_counters"]
-    q["dry_run"] = "select (select count(*) from (" + ctes() + "select * from stored)) as rows_left, c.* from (" + q["run_counters"] + ") c"
+    q["publish_counters"] = ctes(**nb) + counters
+    q["dry_run"] = "select (select count(*) from (" + ctes() + "select * from stored)) as rows_left, c.* from (" + q["publish_counters"] + ") c"
     q["report_cube"] = ctes(**st) + f"""
         select competition, cast(date_trunc('month', publish_date) as date) as month,
                least(14, greatest(0, cast(trunc(brier_score / {_dbl(0.025)}) as integer))) as bin, count(*) as n,

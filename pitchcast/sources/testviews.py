@@ -145,21 +145,22 @@ from (select o_orderkey, o_custkey, o_orderdate, line,
             select *, 1 as line from {orders} where o_orderkey % 4 = 0) l) o
 """
 
-# A later batch: of the stored predictions published in every third month it holds
-# those re-resolved (newer fetch), re-run but still pending (null fetch) or stale (older
-# fetch), and a new prediction beside every second of them. The other months it leaves alone.
-NEW_BATCH = """
+# A later batch: of the stored predictions it holds those re-resolved (newer fetch), re-run but still
+# pending (null fetch) or stale (older fetch), and a new prediction beside every second of them.
+WHOLE_BATCH = """
 select case when n.is_new = 1 then concat(prediction_id, '_n') else prediction_id end as prediction_id,
        video_id, publish_date, match_date, home_team, away_team, competition, match_type,
        pred_home_win_pct, pred_draw_pct, pred_away_win_pct,
        case k % 3 when 0 then 'A' when 1 then null else 'H' end as actual_result,
        case k % 3 when 0 then timestamp '2026-02-01 12:00:00' when 1 then null
                   else timestamp '2025-12-01 12:00:00' end as fetched_at
-from (select *, cast(substring(prediction_id, 13, 8) as bigint) as k from {v_predictions}
-      where extract(month from publish_date) % 3 = 0) t
+from (select *, cast(substring(prediction_id, 13, 8) as bigint) as k from {v_predictions}) t
 join (select 0 as is_new union all select 1 as is_new) n on n.is_new <= t.k % 2
 """
 
+# The same of the predictions published in every third month; the other months it leaves alone.
+NEW_BATCH = WHOLE_BATCH.replace("{v_predictions}", "{v_predictions}\n      where extract(month from publish_date) % 3 = 0")
+
 # Events of landed result pages, flat: fixtures by the season and half month they fall in. A page that is
 # ``emptied`` lands without its events (three rounds in a row, or a single one); one that is ``early`` has
 # landed before as well, with nothing finished. The season labels are those of the results source.
@@ -238,8 +239,21 @@ def overrides(spark, sf_dir):
     return view(spark, sf_dir, OVERRIDES)
 
 
+# "join ... on is_new <= k % 2" is a nested loop; in Spark each row generates its one or two rows
+_PAIRED = "join (select 0 as is_new union all select 1 as is_new) n on n.is_new <= t.k % 2"
+_GENERATED = "lateral view explode(case when t.k % 2 >= 1 then array(0, 1) when t.k % 2 >= 0 then array(0) end) n as is_new"
+
+
+def _batch(spark, sf_dir, template):
+    return view(spark, sf_dir, template.replace(_PAIRED, _GENERATED), v_predictions=predictions(spark, sf_dir))
+
+
 def new_batch(spark, sf_dir):
-    return view(spark, sf_dir, NEW_BATCH, v_predictions=predictions(spark, sf_dir))
+    return _batch(spark, sf_dir, NEW_BATCH)
+
+
+def whole_batch(spark, sf_dir):
+    return _batch(spark, sf_dir, WHOLE_BATCH)
 
 
 def result_pages(spark, sf_dir):
