@@ -2,8 +2,10 @@
 
 Plan shape (see README "Resolution at scale"):
 
-* canonical names are computed inline (narrow, codegen), fuzzy equality is an
-  equi-join through ``names.name_map`` (no nested loop);
+* canonical names are computed once per distinct name of a competition and joined
+  back, by broadcast where the names are few, by a shuffle where they are many
+  (inline, once per row and branch, where nothing is materialised); fuzzy equality
+  is an equi-join through ``names.name_map`` (no nested loop);
 * fixtures are first reduced to the first per (teams, day), predictions to the
   distinct questions they ask (names, interval); the answers are joined back;
 * the date rule becomes an interval per question and a 46-day bucket per
@@ -31,6 +33,7 @@ from ..functions.dates import infer_season, lenient_date
 from ..functions.scoring import brier_score, result_code
 from ..functions.text import canonical_name, strip_ws
 from ..session import materialize as _materialize
+from ..session import release_materialized, scratch_inputs
 from ..sources.schema import conform
 from .names import name_map
 
@@ -39,6 +42,7 @@ BUCKET_DAYS = 46  # wider than the 45-day window: an interval touches <= 2 bucke
 NO_DATE_BUCKET = -1_000_000_000
 EVERY_DAY_BUCKET = -2_000_000_000
 
+TEAMS = ["home_team", "away_team"]
 FIXTURE_FIELDS = ["fixture_seq", "_hg", "_ag", "event_date"]
 
 
@@ -62,8 +66,8 @@ def _dating(preds: DataFrame) -> tuple[Column, Column, Column]:
     return dated, mdate, ref
 
 
-def prepare_predictions(preds: DataFrame, d: Dictionaries, run_date: str) -> DataFrame:
-    """Adds canonical names, season and the admissible fixture-date interval."""
+def dated_predictions(preds: DataFrame, d: Dictionaries, run_date: str) -> DataFrame:
+    """Adds the season and the admissible fixture-date interval."""
     dated, mdate, ref = _dating(preds)
     pub = F.col("publish_date")
     lo = F.when(dated, F.date_sub(mdate, dims.DATED_TOLERANCE_DAYS)).otherwise(pub)
@@ -71,16 +75,20 @@ def prepare_predictions(preds: DataFrame, d: Dictionaries, run_date: str) -> Dat
         F.date_add(pub, dims.UNDATED_WINDOW_DAYS))
     return preds.select(
         "*",
-        canonical_name(F.col("home_team"), d).alias("_hc"),
-        canonical_name(F.col("away_team"), d).alias("_ac"),
         infer_season(F.col("competition"), ref, run_date, d).alias("_season"),
         mdate.alias("_mdate"),
         lo.alias("_lo"), hi.alias("_hi"))
 
 
-def prepare_fixtures(fixtures: DataFrame, d: Dictionaries, run_date: str,
-                     kept_rounds: DataFrame | None = None) -> DataFrame:
-    """Finished fixtures with canonical names, parsed scores and a season."""
+def prepare_predictions(preds: DataFrame, d: Dictionaries, run_date: str) -> DataFrame:
+    """Adds canonical names, season and the admissible fixture-date interval."""
+    return dated_predictions(preds, d, run_date).select(
+        "*", *[canonical_name(F.col(c), d).alias(out) for c, out in zip(TEAMS, ("_hc", "_ac"))])
+
+
+def finished_fixtures(fixtures: DataFrame, d: Dictionaries, run_date: str,
+                      kept_rounds: DataFrame | None = None) -> DataFrame:
+    """Finished fixtures with parsed scores and a season."""
     fx = fixtures.where(F.col("status") == d.finished_status)
     if kept_rounds is not None:
         if "round_no" not in fixtures.columns:
@@ -91,14 +99,20 @@ def prepare_fixtures(fixtures: DataFrame, d: Dictionaries, run_date: str,
     if "season" in fixtures.columns:
         season = F.coalesce(F.col("season").cast("string"), season)
     return fx.select(
-        "fixture_seq", "competition", season.alias("season"),
-        canonical_name(F.col("home_team"), d).alias("_fh"),
-        canonical_name(F.col("away_team"), d).alias("_fa"),
+        "fixture_seq", "competition", season.alias("season"), *TEAMS,
         F.col("home_score").cast("string").try_cast("int").alias("_hg"),
         F.col("away_score").cast("string").try_cast("int").alias("_ag"),
         "event_date")
 
 
+def prepare_fixtures(fixtures: DataFrame, d: Dictionaries, run_date: str,
+                     kept_rounds: DataFrame | None = None) -> DataFrame:
+    """Finished fixtures with canonical names, parsed scores and a season."""
+    fx = finished_fixtures(fixtures, d, run_date, kept_rounds)
+    return fx.select(*[c for c in fx.columns if c not in TEAMS],
+                     *[canonical_name(F.col(c), d).alias(out) for c, out in zip(TEAMS, ("_fh", "_fa"))])
+
+
 def supported(df: DataFrame, d: Dictionaries) -> DataFrame:
     return df.where(F.col("competition").isin(*d.leagues.keys()))
 
@@ -150,6 +164,44 @@ def round_cutoff(rounds: DataFrame, d: Dictionaries) -> DataFrame:
 
 # --------------------------------------------------------------------------- candidates
 
+def _spelled_names(p: DataFrame, fx: DataFrame, d: Dictionaries) -> DataFrame:
+    """(of_fixture, competition, raw, name): each spelling of a team on either side once, with its canonical name."""
+    def spelled(df, of_fixture):
+        return df.select(F.lit(of_fixture).alias("of_fixture"), "competition", F.explode(F.array(*TEAMS)).alias("raw"))
+
+    each = spelled(p, False).unionByName(spelled(fx, True)).distinct()
+    return each.select("*", canonical_name(F.col("raw"), d).alias("name"))
+
+
+def _with_names(df: DataFrame, spelled: DataFrame, outs: tuple[str, str]) -> DataFrame:
+    """``df`` with the canonical names of its teams in place of their spellings."""
+    for c, out in zip(TEAMS, outs):
+        df = df.join(spelled.select("competition", F.col("raw").alias(c), F.col("name").alias(out)), ["competition", c], "left")
+    return df.drop(*TEAMS)
+
+
+def _by_name(p: DataFrame, fx: DataFrame, d: Dictionaries, materialize: bool):
+    """(predictions, fixtures, name map) with canonical names, from dated predictions and finished fixtures.
+
+    With ``materialize`` the names of both sides are collected and canonicalised once and stored beside their pairs
+    (those have no ``of_fixture``), so that the planner knows their size: it broadcasts a small vocabulary, and
+    shuffles by name where it is large. Every competition is known here.
+    """
+    if not materialize:
+        p, fx = (df.select("*", *[canonical_name(F.col(c), d).alias(out) for c, out in zip(TEAMS, outs)]).drop(*TEAMS)
+                 for df, outs in ((p, ("_hc", "_ac")), (fx, ("_fh", "_fa"))))
+        return p, fx, _names(p, fx)
+    of_fixture = F.col("of_fixture")
+    spelled = _materialize(_spelled_names(p, fx, d), "names")
+    names = spelled.select("of_fixture", "competition", "name")
+    pairs = name_map(names.where(~of_fixture & (F.col("name") != "")), names.where(of_fixture))
+    stored = _materialize(spelled.unionByName(pairs.withColumnRenamed("pred_name", "name"), allowMissingColumns=True), "name-map")
+    release_materialized(p.sparkSession, scratch_inputs(spelled))
+    nm = stored.where(of_fixture.isNull()).select("competition", F.col("name").alias("pred_name"), "fix_name")
+    return (_with_names(p, stored.where(~of_fixture), ("_hc", "_ac")),
+            _with_names(fx, stored.where(of_fixture), ("_fh", "_fa")), nm)
+
+
 def _names(p: DataFrame, fx: DataFrame) -> DataFrame:
     """The name map of both sides; a prediction's empty name has a key of its own and needs no pairs."""
     pn = (p.select("competition", F.col("_hc").alias("name"))
@@ -288,13 +340,15 @@ def resolve_two_leg(p: DataFrame, fx: DataFrame, nm: DataFrame, d: Dictionaries)
         asked = _with_keys(_with_keys(q, nm, home_col, "_kh"), nm, away_col, "_ka")
         return asked.join(earliest, ["competition", "_kh", "_ka"]).select(*on, *FIXTURE_FIELDS)
 
-    def leg(df, n):
-        return _first(df, on).withColumnsRenamed({c: f"l{n}_{c}" for c in FIXTURE_FIELDS})
+    def leg(df, n, by):
+        return _first(df, by).withColumnsRenamed({c: f"l{n}_{c}" for c in FIXTURE_FIELDS})
 
-    leg1 = leg(orientation("_hc", "_ac"), 1)
-    back = (orientation("_ac", "_hc").join(leg1.select(*on, "l1_fixture_seq"), on)
-            .where(F.col("fixture_seq") != F.col("l1_fixture_seq")).drop("l1_fixture_seq"))
-    legs = _answers(cand, leg1.join(leg(back, 2), on), on).dropDuplicates(["prediction_id"])
+    # the first leg's fields stay beside the second leg's candidates: each orientation is read once, and both
+    # read the same columns of the earliest fixtures, which are then computed once
+    leg1 = leg(orientation("_hc", "_ac"), 1, on)
+    back = orientation("_ac", "_hc").join(leg1, on).where(F.col("fixture_seq") != F.col("l1_fixture_seq"))
+    both = leg(back, 2, [*on, *[f"l1_{c}" for c in FIXTURE_FIELDS]])
+    legs = _answers(cand, both, on).dropDuplicates(["prediction_id"])
     h1, a1, h2, a2 = (F.col("l1__hg"), F.col("l1__ag"), F.col("l2__hg"), F.col("l2__ag"))
     usable = h1.isNotNull() & a1.isNotNull() & h2.isNotNull() & a2.isNotNull()
     t1, t2 = h1 + a2, a1 + h2
@@ -329,20 +383,17 @@ def resolve_results(p: DataFrame, fx: DataFrame, d: Dictionaries, nm: DataFrame
                     F.coalesce(pick("event_date"), F.col("_mdate")).alias("match_date")))
 
 
-PREPARED = ["prediction_id", "competition", "match_type", "_hc", "_ac", "_season", "_mdate", "_lo", "_hi"]
+PREPARED = ["prediction_id", "competition", "match_type", *TEAMS, "_season", "_mdate", "_lo", "_hi"]
 
 
 def _prepared(whole: DataFrame, fixtures: DataFrame, d: Dictionaries, run_date: str,
               kept_rounds: DataFrame | None, materialize: bool):
-    """(predictions, fixtures, name map) of resolution from prepared predictions (``whole``: all columns)."""
+    """(predictions, fixtures, name map) of resolution from dated predictions (``whole``: all columns)."""
     p = supported(whole, d).select(*PREPARED)
-    fx = fixtures_in_plan(prepare_fixtures(fixtures, d, run_date, kept_rounds), fetch_plan(p, d))
+    fx = fixtures_in_plan(finished_fixtures(fixtures, d, run_date, kept_rounds), fetch_plan(p, d))
     if materialize:
         fx = _materialize(fx, "prepared-fixtures")
-    nm = _names(p, fx)
-    if materialize:
-        nm = _materialize(nm, "name-map")
-    return p, fx, nm
+    return _by_name(p, fx, d, materialize)
 
 
 def prepared_inputs(preds: DataFrame, fixtures: DataFrame, d: Dictionaries, run_date: str,
@@ -352,11 +403,11 @@ def prepared_inputs(preds: DataFrame, fixtures: DataFrame, d: Dictionaries, run_
     Each of the three feeds several branches (single leg, both two-leg
     orientations, dispatch).  With ``materialize`` they are computed at once and
     written to the reliable checkpoint folder (``spark.checkpoint.dir``): the
-    canonicalisation runs once per row instead of once per branch, and a lost
+    canonicalisation runs once per name instead of once per row and branch, and a lost
     executor re-reads the files instead of recomputing the lineage.  Without it
     they stay lazy, and each branch computes them again.
     """
-    p = supported(prepare_predictions(preds, d, run_date), d).select(*PREPARED)
+    p = supported(dated_predictions(preds, d, run_date), d).select(*PREPARED)
     if materialize:
         p = _materialize(p, "prepared-predictions")
     return _prepared(p, fixtures, d, run_date, kept_rounds, materialize)
@@ -450,9 +501,15 @@ def attach_results(preds: DataFrame, fixtures: DataFrame, d: Dictionaries, run_d
 
     With ``materialize`` the input is evaluated once, by the write of its prepared copy, which carries all its columns.
     """
-    whole = prepare_predictions(preds, d, run_date)
+    whole = dated_predictions(preds, d, run_date)
     if materialize:
         whole = _materialize(whole, "prepared-predictions")
+    return _attach(whole, preds.columns, fixtures, d, run_date, fetched_at, overrides, kept_rounds, materialize)
+
+
+def _attach(whole: DataFrame, columns: list[str], fixtures: DataFrame, d: Dictionaries, run_date: str, fetched_at: str,
+            overrides: DataFrame | None, kept_rounds: DataFrame | None, materialize: bool) -> DataFrame:
+    """``attach_results`` of dated predictions, whose own columns are ``columns``."""
     p, fx, nm = _prepared(whole, fixtures, d, run_date, kept_rounds, materialize)
     res = resolve_results(p, fx, d, nm)
     base = whole.withColumnRenamed("_mdate", "_own_mdate")
@@ -473,7 +530,7 @@ def attach_results(preds: DataFrame, fixtures: DataFrame, d: Dictionaries, run_d
         return F.when(has_ov, ovc[name]).when(resolved, resolved_col).otherwise(pending_col)
 
     out = j.select(
-        *[c for c in preds.columns if c not in ("match_date", "match_type", "actual_result", "home_goals",
+        *[c for c in columns if c not in ("match_date", "match_type", "actual_result", "home_goals",
                                                   "away_goals", "brier_score", "fetched_at")],
         pick("home_goals", F.col("r_home_goals"), F.lit(None).cast("int")).alias("home_goals"),
         pick("away_goals", F.col("r_away_goals"), F.lit(None).cast("int")).alias("away_goals"),
