@@ -545,13 +545,13 @@ def _attach(whole: DataFrame, columns: list[str], fixtures: DataFrame, d: Dictio
 
 # --------------------------------------------------------------------------- refresh
 
-def gained_questions(p: DataFrame, gained: DataFrame, d: Dictionaries) -> DataFrame:
+def gained_questions(p: DataFrame, gained: DataFrame, d: Dictionaries, nm: DataFrame | None = None) -> DataFrame:
     """Ids of the predictions for which one of the ``gained`` fixtures is a candidate (a delta join).
 
     ``p`` and ``gained`` are prepared. Both go through the keys of the full resolution, (competition, home key, away
     key, bucket), so the work grows with the pending questions and the new fixtures, not with all fixtures.
     """
-    nm = _names(p, gained)
+    nm = _names(p, gained) if nm is None else nm
     q = single_leg_questions(p)
     one = _answers(p, single_leg_candidates(q, gained, nm).select(*q.columns).distinct(), q.columns)
     on = ["competition", "_hc", "_ac"]
@@ -570,13 +570,17 @@ def refresh(pending: DataFrame, fixtures: DataFrame, gained: DataFrame, d: Dicti
 
     ``fixtures`` are all loaded fixtures, the gained ones included; the first in source order still decides.
     """
-    p = supported(prepare_predictions(pending, d, run_date), d)
-    new = fixtures_in_plan(prepare_fixtures(gained, d, run_date), fetch_plan(p, d))
-    ids = gained_questions(p, new, d)
+    whole = dated_predictions(pending, d, run_date)
+    if materialize:
+        whole = _materialize(whole, "prepared-pending")
+    p, new, nm = _prepared(whole, gained, d, run_date, None, materialize)
+    ids = gained_questions(p, new, d, nm)
     if overrides is not None:
         ids = ids.unionByName(overrides.select("prediction_id")).distinct()
-    concerned = pending.join(ids, "prediction_id", "left_semi")
+    concerned = whole.join(ids, "prediction_id", "left_semi")
     if materialize:
         concerned = _materialize(concerned, "concerned")
-    rows = attach_results(concerned, fixtures, d, run_date, fetched_at, overrides=overrides, materialize=materialize)
+        copies = {path for df in (whole, new, nm) for path in scratch_inputs(df)}     # nothing below reads these
+        release_materialized(whole.sparkSession, copies)
+    rows = _attach(concerned, pending.columns, fixtures, d, run_date, fetched_at, overrides, None, materialize)
     return rows.where(F.col("actual_result").isNotNull())
