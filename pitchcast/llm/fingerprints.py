@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from .common import keyed, same, stored, table
 
 LANES = 120
-SHIFTS = (0, 15, 30, 45)                      # four lanes in a long while a block is summed
-ONES = sum(1 << s for s in SHIFTS)
-BLOCK = (1 << 15) - 1                         # paragraphs, so that lanes of 15 bits hold their sums
+BITS = [s + t for s in range(15) for t in (0, 15, 30, 45)]   # of a hash, in the order of its lanes
+WIDTH = 7                                     # bits of a lane while a block is summed, nine lanes in a long
+ONES = sum(1 << s for s in range(0, 63, WIDTH))
+BLOCK = (1 << WIDTH) - 1                      # paragraphs, so that lanes of WIDTH bits hold their sums
 PIECE_WORDS = 8
 LONG_RUN = 32                                 # code points
 WORDS = 4                                     # of 64 bits; kept as their high and low halves, as sums must not overflow
@@ -34,49 +35,61 @@ def pieces(text: Column, words: int = PIECE_WORDS) -> Column:
     return F.filter(cut, lambda p: p != "")
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)``, in which ``value`` is computed once, however often ``use`` names it: what stands inside a lambda
+    function or beside one is otherwise computed again at each mention."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _hashes(text: Column) -> Column:
-    p = pieces(text)
-    return F.struct(F.transform(p, lambda x: F.xxhash64(x)).alias("a"),
-                    F.transform(p, lambda x: F.xxhash64(F.lit(1), x)).alias("b"),
-                    F.transform(p, lambda x: F.sha2(x.cast("binary"), 256)).alias("d"),
-                    F.char_length(text).cast("long").alias("chars"))
+    return _once(pieces(text), lambda p: F.struct(
+        F.transform(p, lambda x: F.xxhash64(x)).alias("a"),
+        F.transform(p, lambda x: F.xxhash64(F.lit(1), x)).alias("b"),
+        F.transform(p, lambda x: F.sha2(x.cast("binary"), 256)).alias("d"),
+        F.char_length(text).cast("long").alias("chars")))
 
 
 def _packed(hashes: Column) -> Column:
-    """15 longs of 4 lanes: the sums over at most BLOCK hashes."""
-    return F.transform(F.sequence(F.lit(0), F.lit(14)), lambda s: F.aggregate(
+    """WIDTH longs of 9 lanes: the sums over at most BLOCK hashes."""
+    return F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda s: F.aggregate(
         hashes, F.lit(0).cast("long"), lambda acc, h: acc + F.call_function("shiftrightunsigned", h, s).bitwiseAND(F.lit(ONES))))
 
 
 def _lanes(packed: Column) -> Column:
-    return F.flatten(F.transform(packed, lambda x: F.array(*(F.shiftright(x, s).bitwiseAND(F.lit(BLOCK)) for s in SHIFTS))))
+    return _once(packed, lambda x: F.array(*(F.shiftright(F.get(x, F.lit(b % WIDTH)), b - b % WIDTH).bitwiseAND(F.lit(BLOCK)) for b in BITS)))
 
 
 def _sum(hashes: str) -> Column:
     """60 longs: each lane's sum over all hashes, block by block."""
     h = F.col(hashes)
     blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(h) - 1) / BLOCK).cast("int")), lambda k: _lanes(_packed(F.slice(h, k * BLOCK + 1, F.lit(BLOCK)))))
-    several = F.aggregate(blocks, F.array_repeat(F.lit(0).cast("long"), 15 * len(SHIFTS)), lambda acc, v: F.zip_with(acc, v, lambda x, y: x + y))
+    several = F.aggregate(blocks, F.array_repeat(F.lit(0).cast("long"), len(BITS)), lambda acc, v: F.zip_with(acc, v, lambda x, y: x + y))
     return F.when(F.size(h) <= BLOCK, _lanes(_packed(h))).otherwise(several)
 
 
 def _carried(halves: Column) -> Column:
     """High and low halves of words modulo 2^64, from sums (or differences) of halves."""
-    def word(k):
-        high, low = F.get(halves, 2 * k), F.get(halves, 2 * k + 1)
-        return F.array((high + F.shiftright(low, 32)).bitwiseAND(F.lit(HALF)), low.bitwiseAND(F.lit(HALF)))
+    def words(sums):
+        def word(k):
+            high, low = F.get(sums, 2 * k), F.get(sums, 2 * k + 1)
+            return F.array((high + F.shiftright(low, 32)).bitwiseAND(F.lit(HALF)), low.bitwiseAND(F.lit(HALF)))
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), word))
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), word))
+
+    return _once(halves, words)
 
 
 def _words(digests: Column) -> Column:
     """The sums of the digests' words modulo 2^64. A word is a 64-bit hash of the whole digest, seeded by its number: reading
     the digest's own words out of its hexadecimal form takes ten times the time of all else."""
-    def half(k, cut):
-        return F.aggregate(digests, F.lit(0).cast("long"), lambda acc, x: acc + cut(F.xxhash64(F.lit(k), x)))
+    def total(hashes, cut):
+        return F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: acc + cut(h))
+
+    def halves(k):
+        return _once(F.transform(digests, lambda x: F.xxhash64(F.lit(k), x)), lambda hashes: F.array(
+            total(hashes, lambda h: F.call_function("shiftrightunsigned", h, F.lit(32))), total(hashes, lambda h: h.bitwiseAND(F.lit(HALF)))))
 
-    sums = [half(k, cut) for k in range(WORDS) for cut in (lambda h: F.call_function("shiftrightunsigned", h, F.lit(32)), lambda h: h.bitwiseAND(F.lit(HALF)))]
-    return _carried(F.array(*sums))
+    return _carried(F.flatten(F.array(*(halves(k) for k in range(WORDS)))))
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
